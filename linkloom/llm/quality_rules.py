@@ -80,7 +80,9 @@ def document_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for k, pattern in enumerate(CLASSES):
         df = df.withColumn(f"rest{k}", F.regexp_replace("text" if k == 0 else f"rest{k - 1}", pattern, ""))
     lengths = [F.length("text"), *(F.length(f"rest{k}") for k in range(len(CLASSES)))]
-    classes = F.array(*((a - b).cast("double") for a, b in zip(lengths, lengths[1:], strict=False)), lengths[-1].cast("double"))
+    removed = [(a - b).cast("double") for a, b in zip(lengths, lengths[1:], strict=False)]
+    # ASCII and other small letters are one class, and so are capitals: quoting another language is no fault.
+    classes = F.array(removed[0] + removed[4], removed[1], removed[2] + removed[5], removed[3], *removed[6:], lengths[-1].cast("double"))
     # The common words alone, each between two blanks, so that each word is counted by one replacement.
     known = sorted({form for words in COMMON_WORDS.values() for x in words.split() for form in (x, x.capitalize(), x.upper())})
     df = df.withColumn("common", F.concat(F.lit(" "), F.lower(F.array_join(F.filter("w", lambda x: x.isin(known)), "  ")), F.lit(" ")))
@@ -109,7 +111,7 @@ def quality_verdicts(docs: DataFrame, max_class_distance: float = MAX_CLASS_DIST
     total = lambda name, n: F.array(*(F.coalesce(F.sum(F.col(name)[k]), F.lit(0.0)) for k in range(n)))
 
     def compared(good: DataFrame) -> DataFrame:
-        reference = good.groupBy("lang_key").agg(total("classes", len(CLASSES) + 1).alias("ref_classes"), total("word_counts", n_words).alias("ref_words"))
+        reference = good.groupBy("lang_key").agg(total("classes", len(CLASSES) - 1).alias("ref_classes"), total("word_counts", n_words).alias("ref_words"))
         df = counts.join(stage(reference, "quality-references"), "lang_key", "left")
         return df.withColumns({"class_distance": js_distance(F.col("classes"), F.col("ref_classes")), "word_distance": js_distance(F.col("word_counts"), F.col("ref_words"))})
 
