@@ -2,17 +2,19 @@
 
 A document is posted under each (coordinate, value) pair of its MinHash signature. Two documents that
 agree in at least MATCHES of COORDINATES coordinates are candidates; each candidate pair is confirmed on
-the full shingle sets. At a similarity of 0.85 a pair is missed with a probability of about 1e-6.
+the full shingle sets. At a similarity of 0.85 a pair is missed with a probability of about 2e-5, and with
+a similarity of 0.9 of 1e-9.
 
 * Prefix: coordinate-value pairs are ordered by their number of documents, rare ones first. Documents
   with m shared pairs agree in MATCHES of them only if they meet in the first m - MATCHES + 1 of each,
-  so only these are posted. Pairs that one document alone has are never posted.
+  so only these are posted. Pairs that one document alone has are never posted. With so high a share of
+  matches a prefix is the rarest third of a signature, so groups that share a passage meet in few lists.
 * Skip: documents with equal sets are one representative from the start. Lists are merged in rounds. In
   each round a list links a few hub documents with the list's other documents, skipping those already
   connected; a hub whose pairs are all tested leaves its list, and a list whose documents are all
   connected is done. Hubs are taken from the smallest components of a list, one in the first round and
-  then more in each, so a list of n copies costs about n pairs and not n * n, yet no untested pair of
-  unconnected documents is left at the end: the components are those of all links.
+  four times as many in each further one, so a list of n copies costs about n pairs and not n * n, yet no
+  untested pair of unconnected documents is left at the end: the components are those of all links.
 * Connection is kept by label propagation with pointer jumping over the confirmed links.
 
 Confirmation groups a hub's members in blocks, so a hub with very many members is many tasks' work.
@@ -35,17 +37,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._common import drop_ids, small_side, stage
+from ._common import BROADCAST_ROWS, drop_ids, stage
 from ._shingles import chunks, shingle_sets
 
-COORDINATES, MATCHES = 24, 11
+COORDINATES, MATCHES = 64, 42
 MIN_PERCENT = 85
 #: Members of a hub that are confirmed together, and the hubs that a list has in the second round, times four in each further.
 BLOCK, HUBS = 64, 4
 
 _SEEDS = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, (2, COORDINATES), dtype=np.uint64)
 _ODD = _SEEDS[1] * np.uint64(2) + np.uint64(1)
-_SIGNATURE = "doc_id long, n_shingles long, d1 long, d2 long, sig array<long>"
+_SIGNATURE = "doc_id long, n_shingles long, d1 long, d2 long, sig array<int>"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,14 +58,15 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.bincount(rows, minlength=n)
             has = np.flatnonzero(size)
             at = np.searchsorted(rows, has)
-            digests, sig = np.zeros((2, n), np.uint64), np.zeros((n, COORDINATES), np.uint64)
+            digests, sig = np.zeros((2, n), np.uint64), np.zeros((n, COORDINATES), np.uint32)
             if len(has):
                 for d in range(2):
                     digests[d, has] = np.add.reduceat((h ^ (h >> np.uint64(29))) * _ODD[d] ^ (h >> np.uint64(17)), at)
                 for k in range(COORDINATES):
                     v = (h ^ _SEEDS[0, k]) * _ODD[k]
-                    sig[has, k] = np.minimum.reduceat(v ^ (v >> np.uint64(32)), at)
-            values = pa.array(sig[has].reshape(-1).view(np.int64))
+                    # The low half of a minimum is as random as a hash; the high half is near 0 in large sets.
+                    sig[has, k] = np.minimum.reduceat(v ^ (v >> np.uint64(32)), at).astype(np.uint32)
+            values = pa.array(sig[has].reshape(-1).view(np.int32))
             ends = np.concatenate([[0], np.cumsum((size > 0) * COORDINATES)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(first, n), pa.array(size.astype(np.int64)), *(pa.array(d.view(np.int64)) for d in digests), pa.ListArray.from_arrays(pa.array(ends), values)],
@@ -104,11 +107,13 @@ def _confirm(min_percent: int):
 
 def confirmed(docs: DataFrame, pairs: DataFrame, min_percent: int) -> DataFrame:
     """The pairs (a a hub, b) whose full sets are similar enough. pairs is staged, docs has doc_id and text."""
-    blocks = stage(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")), "minhash-blocks")
+    blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     spread = pairs.join(blocks, "a").select("a", "b", F.pmod(F.xxhash64("b"), "blocks").alias("block"))
     members = spread.select(F.col("b").alias("doc_id"), "a", "block", F.lit(False).alias("is_hub"))
     hubs = blocks.select(F.col("a").alias("doc_id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("is_hub"))
-    roles = small_side(stage(members.unionByName(hubs), "minhash-roles"))
+    roles = members.unionByName(hubs)
+    # There are at most twice as many roles as pairs.
+    roles = F.broadcast(roles) if 2 * pairs.count() <= BROADCAST_ROWS else roles
     texts = docs.join(roles, "doc_id").select("text", "doc_id", "a", "block", "is_hub")
     sets = texts.mapInArrow(_sets, "shingles binary, doc_id long, a long, block long, is_hub boolean")
     return sets.groupBy("a", "block").applyInArrow(_confirm(min_percent), "a long, b long")
@@ -116,7 +121,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, min_percent: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for the nodes of staged edges (a, b): comp is the smallest node that is reachable."""
-    both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "minhash-graph")
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).select(F.col("a").alias("node"), "comp", F.lit(True).alias("moved")), "minhash-labels")
     while labels.filter("moved").limit(1).count():
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
@@ -146,37 +151,42 @@ def near_groups(docs: DataFrame, min_percent: int = MIN_PERCENT, matches: int =
     digest = ["d1", "d2", "n_shingles"]
     reps = stage(sig.filter("n_shingles > 0 and doc_id is not null").groupBy(digest).agg(F.min("doc_id").alias("rep")), "minhash-reps")
     posted = stage(_posted(sig, reps, matches), "minhash-posted")
-    active = stage(posted.select("doc", F.explode("prefix.tok").alias("tok")), "minhash-lists")
-    links, tested, labels = None, None, None
-    hubs = 1
+    lists = posted.select("doc", F.explode("prefix.tok").alias("tok"))
+    side = lambda name: posted.select(F.col("doc").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("all_toks").alias(f"toks_{name}"))
+    similar: Column = (100 * F.least("n_a", "n_b") >= min_percent * F.greatest("n_a", "n_b")) & (F.size(F.array_intersect("toks_a", "toks_b")) >= matches)
+    links, tested, spent, labels, hubs = None, None, None, None, 1
     while True:
         if labels is None:
-            chosen = active.groupBy("tok").agg(F.min("doc").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("tok", "hub", F.col("hub").alias("hub_comp"))
-            chosen = stage(chosen, "minhash-hubs")
-            placed = active.withColumn("comp", F.col("doc"))
+            placed = lists.withColumn("comp", F.col("doc"))
+            chosen = lists.groupBy("tok").agg(F.min("doc").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("tok", "hub", F.col("hub").alias("hub_comp"))
         else:
-            placed = active.join(labels, active["doc"] == labels["node"], "left").select("tok", "doc", F.coalesce("comp", "doc").alias("comp"))
-            placed = stage(placed, "minhash-placed")
-            parts = stage(placed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("hub")), "minhash-parts")
-            several = stage(parts.groupBy("tok").agg(F.count(F.lit(1)).alias("parts")).filter("parts > 1"), "minhash-several")
-            order = Window.partitionBy("tok").orderBy("n", "hub")
-            smallest = parts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs)
-            chosen = stage(smallest.join(several.select("tok"), "tok", "left_semi").select("tok", "hub", F.col("comp").alias("hub_comp")), "minhash-hubs")
+            left = lists.join(spent, ["tok", "doc"], "left_anti")
+            placed = stage(left.join(labels, left["doc"] == labels["node"], "left").select("tok", "doc", F.coalesce("comp", "doc").alias("comp")), "minhash-placed")
+            several = placed.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("tok")
+            sizes = placed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("n")).join(several, "tok", "left_semi")
+            order = Window.partitionBy("tok").orderBy("n", "comp", "doc")
+            first = placed.join(sizes, ["tok", "comp"]).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs)
+            chosen = first.select("tok", F.col("doc").alias("hub"), F.col("comp").alias("hub_comp"))
+        chosen = stage(chosen, "minhash-hubs")
         if not chosen.limit(1).count():
             break
+        used = chosen.select("tok", F.col("hub").alias("doc"))
+        spent = used if spent is None else spent.unionByName(used)
+        hubs = HUBS if hubs == 1 else hubs * 4
         pairs = placed.join(chosen, "tok").filter("comp != hub_comp and doc != hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
+        met = pairs.join(side("a"), "a").join(side("b"), "b").filter(similar).select("a", "b")
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        pairs = stage(pairs, "minhash-met")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        side = lambda name: posted.select(F.col("doc").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("all_toks").alias(f"toks_{name}"))
-        close: Column = 100 * F.least("n_a", "n_b") >= min_percent * F.greatest("n_a", "n_b")
-        met = pairs.join(side("a"), "a").join(side("b"), "b").filter(close & (F.size(F.array_intersect("toks_a", "toks_b")) >= matches)).select("a", "b")
-        found = confirmed(docs, stage(met, "minhash-candidates"), min_percent)
-        links = stage(found if links is None else links.unionByName(found), "minhash-links")
-        labels = components(links)
-        active = stage(placed.join(chosen.select("tok", F.col("hub").alias("doc")), ["tok", "doc"], "left_anti").select("doc", "tok"), "minhash-lists") if hubs > 1 else placed.join(chosen.select("tok", F.col("hub").alias("doc")), ["tok", "doc"], "left_anti").select("doc", "tok")
-        hubs = HUBS if hubs == 1 else hubs * 4
+            met = met.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+        met = stage(met, "minhash-candidates")
+        if met.limit(1).count():
+            tested = met if tested is None else tested.unionByName(met)
+            found = stage(confirmed(docs, met, min_percent), "minhash-links")
+            if found.limit(1).count():
+                links = found if links is None else links.unionByName(found)
+                labels = components(links)
+        if labels is None:
+            # Nothing is connected yet: every document is its own component.
+            labels = met.select(F.col("a").alias("node"), F.col("a").alias("comp")).limit(0)
     classes = reps
     if labels is not None:
         classes = reps.join(labels, reps["rep"] == labels["node"], "left").select(*digest, F.coalesce("comp", "rep").alias("rep"))
