@@ -82,10 +82,10 @@ SELECT doc_id, domain, lang, source, n_tokens, tokens AS leaf_tokens, b3 AS leaf
 
 SQL["op8_tool_linking"] = """WITH c AS (SELECT conv_id, turn, conv_id || '-' || turn AS call_id, CASE role WHEN 'system' THEN 'configure' ELSE 'ask' END AS name, text FROM conversations WHERE role IN ('user', 'system')),
 r AS (SELECT conv_id, turn, conv_id || '-' || (turn - 1) AS call_id, text FROM conversations WHERE role NOT IN ('user', 'system')),
-m AS (SELECT conv_id, 'call' AS kind, call_id, turn AS seq, turn AS at, 0 AS part, CASE WHEN call_id IN (SELECT call_id FROM r) THEN 'linked' ELSE 'unanswered' END AS link,
+m AS (SELECT conv_id, 'call' AS kind, call_id, turn AS seq, turn AS spot, 0 AS part, CASE WHEN call_id IN (SELECT call_id FROM r) THEN 'linked' ELSE 'unanswered' END AS link,
 '{"arguments":{"chars":' || length(text) || ',"prompt":' || to_json(text)::VARCHAR || ',"turn":' || turn || '},"call_id":"' || call_id || '","name":"' || name || '","role":"tool_call"}' AS json FROM c
 UNION ALL SELECT r.conv_id, 'result', r.call_id, r.turn, coalesce(c.turn, r.turn), CASE WHEN c.turn IS NULL THEN 2 ELSE 1 END, CASE WHEN c.turn IS NULL THEN 'orphan' ELSE 'linked' END, '{"call_id":"' || r.call_id || '","content":' || to_json(r.text)::VARCHAR || ',"role":"tool_result"}' FROM r LEFT JOIN c USING (call_id))
-SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY at, call_id, part, seq, json) AS position, kind, call_id, seq, link, false AS cyclic, '' AS errors, json, 1::BIGINT AS repeats FROM m"""
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY spot, call_id, part, seq, json) AS position, kind, call_id, seq, link, false AS cyclic, '' AS errors, json, 1::BIGINT AS repeats FROM m"""
 
 # ---------------------------------------------------------------- MinHash near-dedup: all links, by all shared shingles
 
