@@ -11,6 +11,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .text import tokens
 
@@ -156,32 +157,32 @@ def _per_pair(function, a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64", index=a.index)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro(a: pd.Series, b: pd.Series) -> pd.Series:
     return _per_pair(jaro_of, a, b)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return _per_pair(jaro_winkler_of, a, b)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_sort(a: pd.Series, b: pd.Series) -> pd.Series:
     return _per_pair(token_sort_of, a, b)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_set(a: pd.Series, b: pd.Series) -> pd.Series:
     return _per_pair(token_set_of, a, b)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return _per_pair(sequence_of, a, b)
 
 
-@F.pandas_udf("struct<jaro:double,jaro_winkler:double,token_set:double,token_sort:double>")
+@F.pandas_udf(StructType([StructField(name, DoubleType()) for name in ("jaro", "jaro_winkler", "token_set", "token_sort")]))
 def outside_sql(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """The four measures of one field in one crossing to Python."""
     a, b = a.fillna(""), b.fillna("")

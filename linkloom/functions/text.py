@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Token mappings, legal suffixes, and the names of scripts.
 NAME_MAPPINGS = {"pvt": "private", "ltd": "limited", "corp": "corporation", "inc": "incorporated", "co": "company"}
@@ -25,12 +26,12 @@ LATIN_LETTERS = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð":
 
 # ---------------------------------------------------------------- cleaning
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold_compatible(values: pd.Series) -> pd.Series:
     return values.map(lambda x: x if x is None else x.lower() if x.isascii() else unicodedata.normalize("NFKC", x).casefold())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold_decomposed(values: pd.Series) -> pd.Series:
     def one(x):
         if x is None or x.isascii():
@@ -40,7 +41,7 @@ def _fold_decomposed(values: pd.Series) -> pd.Series:
     return values.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _to_latin(values: pd.Series) -> pd.Series:
     def letter(c: str) -> str:
         if c in LATIN_LETTERS:

@@ -7,6 +7,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 from pyspark.sql.window import Window
 
 from ..sources.staging import stage
@@ -41,7 +42,7 @@ def components_of(links: DataFrame, queries: DataFrame, whole_graph: bool = True
 # ---------------------------------------------------------------- sampling
 
 
-@F.pandas_udf("decimal(20,0)")
+@F.pandas_udf(DecimalType(20, 0))
 def _blake_key(text: pd.Series) -> pd.Series:
     from decimal import Decimal
 

@@ -57,7 +57,7 @@ def bm25(p: str, q: str, t: str, k: int = 20) -> str:
 def grams(source: str, key: str, low: int, high: int) -> str:
     words = f"SELECT {key}, w, length(w) + 2 AS l FROM (SELECT {key}, unnest({toks('text')}) AS w FROM {source})"
     sized = f"SELECT {key}, ' ' || w || ' ' AS p, l, unnest(range({low}, least({high}, greatest(l, {low})) + 1)) AS n FROM ({words})"
-    return f"SELECT {key}, substr(p, at, n) AS term FROM (SELECT {key}, p, n, unnest(range(1, greatest(l - n + 1, 1) + 1)) AS at FROM ({sized}))"
+    return f"SELECT {key}, substr(p, place, n) AS term FROM (SELECT {key}, p, n, unnest(range(1, greatest(l - n + 1, 1) + 1)) AS place FROM ({sized}))"
 
 
 def tfidf(p: str, q: str, t: str, kind: str = "char", low: int = 3, high: int = 5, sublinear: bool = True, min_df: int = 2, k: int = 20) -> str:
@@ -220,8 +220,8 @@ SQL["macro_f05"] = f"WITH {CANDIDATES} SELECT count(*) AS s1_count, round(avg({F
 SQL["micro_metrics"] = f"WITH {CANDIDATES} SELECT * EXCLUDE (macro_f05) FROM (SELECT {MEASURES} FROM per)"
 SQL["slice_breakdown"] = f"WITH {CANDIDATES}, s AS (SELECT *, unnest(['all', 'country:' || country, 'script:' || script, 'writing:' || CASE script WHEN 'LATIN' THEN 'Latin' WHEN 'NONE' THEN 'unknown' ELSE 'non-Latin' END, 'cardinality:' || CASE n_true WHEN 0 THEN 'singleton' WHEN 1 THEN 'one-match' ELSE 'multi-match' END]) AS slice FROM per) SELECT slice, {MEASURES} FROM s GROUP BY slice"
 TRACE = f"""{CANDIDATES}, grid AS (SELECT step, CASE WHEN step = 201 THEN 1.000001 ELSE step / 200 END AS threshold FROM (SELECT unnest(range(0, 202)) AS step)),
-at AS (SELECT g.step, p.qid, p.n_true, count(c.rid) AS n_predicted, coalesce(sum(c.y), 0) AS n_hit FROM grid g CROSS JOIN per p LEFT JOIN y c ON c.qid = p.qid AND round(c.score * 200, 9) >= g.step GROUP BY ALL),
-trace AS (SELECT step, round(threshold, 6) AS threshold, round(avg({F_HALF}), 6) AS macro_f05 FROM at JOIN grid USING (step) GROUP BY ALL)"""
+steps AS (SELECT g.step, p.qid, p.n_true, count(c.rid) AS n_predicted, coalesce(sum(c.y), 0) AS n_hit FROM grid g CROSS JOIN per p LEFT JOIN y c ON c.qid = p.qid AND round(c.score * 200, 9) >= g.step GROUP BY ALL),
+trace AS (SELECT step, round(threshold, 6) AS threshold, round(avg({F_HALF}), 6) AS macro_f05 FROM steps JOIN grid USING (step) GROUP BY ALL)"""
 SQL["threshold_trace"] = f"WITH {TRACE} SELECT * FROM trace"
 SQL["threshold_search"] = f"WITH {TRACE} SELECT threshold, macro_f05 FROM trace ORDER BY macro_f05 DESC, threshold DESC LIMIT 1"
 HITS = "per_q AS (SELECT q.qid, count(l.rid) AS n_true, count(c.rid) AS n_found, {at} FROM q LEFT JOIN links l USING (qid) LEFT JOIN cand c ON c.qid = l.qid AND c.rid = l.rid GROUP BY q.qid)"
