@@ -9,17 +9,19 @@ a similarity of 0.9 of 1e-9.
   with m shared pairs agree in MATCHES of them only if they meet in the first m - MATCHES + 1 of each,
   so only these are posted. Pairs that one document alone has are never posted. With so high a share of
   matches a prefix is the rarest third of a signature, so groups that share a passage meet in few lists.
-* Skip: documents with equal sets are one representative from the start. Lists are merged in rounds. In
-  each round a list links a few hub documents with the list's other documents, skipping those already
-  connected; a hub whose pairs are all tested leaves its list, and a list whose documents are all
-  connected is done. Hubs are taken from the smallest components of a list, one in the first round and
-  four times as many in each further one, so a list of n copies costs about n pairs and not n * n, yet no
-  untested pair of unconnected documents is left at the end: the components are those of all links.
+* Skip: documents with equal sets are one representative from the start. First each list links one hub,
+  its document with the most frequent coordinate values, with its other documents; near a group's middle,
+  it is the hub of many lists and connects most of the group at once. It then leaves its lists, and lists
+  whose documents are all connected are done.
+* Merging: the documents of the lists that remain are dealt into blocks, a large component into blocks of
+  its own and others by the hub they met. Lists are merged block by block: two blocks that share a list
+  and hold different components are compared once, however many lists they share, on full sets. So every
+  pair that meets in a list is tested or already connected, and no pair of documents becomes a row.
 * Connection is kept by label propagation with pointer jumping over the confirmed links.
 
-Confirmation groups a hub's members in blocks, so a hub with very many members is many tasks' work.
-Counts and minima are combined before they are shuffled. Signatures, lists and links are written to the
-shared folder between steps.
+Blocks are bounded by documents and by shingles, so a hot group is many tasks' work. A hub's members are
+confirmed in blocks too. Counts and minima are combined before they are shuffled. Signatures, lists and
+links are written to the shared folder between steps.
 
 Defined cases: a null text, and one without words, has an empty set and is linked with nothing. A text of
 one to four words is one shingle, its whole sequence. Words are compared after lower-casing A-Z. Repeated
@@ -35,15 +37,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ._common import BROADCAST_ROWS, drop_ids, stage
 from ._shingles import chunks, shingle_sets
 
 COORDINATES, MATCHES = 64, 42
 MIN_PERCENT = 85
-#: Members of a hub that are confirmed together, and the hubs that a list has in the second round, times four in each further.
-BLOCK, HUBS = 64, 4
+#: Members of a hub, or documents of a block, that are compared together, and the shingles that a block aims at.
+BLOCK, BLOCK_SHINGLES = 128, 1 << 20
+#: Shingles that are counted at once when two blocks are compared.
+_COLUMNS = 1 << 13
 
 _SEEDS = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, (2, COORDINATES), dtype=np.uint64)
 _ODD = _SEEDS[1] * np.uint64(2) + np.uint64(1)
@@ -119,6 +122,72 @@ def confirmed(docs: DataFrame, pairs: DataFrame, min_percent: int) -> DataFrame:
     return sets.groupBy("a", "block").applyInArrow(_confirm(min_percent), "a long, b long")
 
 
+def _merge(min_percent: int):
+    def merge(table: pa.Table) -> pa.Table:
+        """Links that span the components of the two sides; both sides are the same block if there is one side."""
+        ids, comp, side = (table.column(c).to_numpy() for c in ("doc_id", "comp", "side"))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        left = np.flatnonzero(side == 0)
+        right = np.flatnonzero(side == 1) if side.any() else left
+        _, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), size)[uses[column] > 1]
+        column = (np.cumsum(uses > 1) - 1)[column[uses[column] > 1]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        both = np.zeros((len(left), len(right)), np.int64)
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+            low, high = np.searchsorted(column, [first, first + _COLUMNS])
+            has = np.zeros((len(sets), _COLUMNS), np.float32)
+            has[row[low:high], column[low:high] - first] = 1
+            both += (has[left] @ has[right].T).astype(np.int64)
+        union = size[left][:, None] + size[right][None, :] - both
+        near = (100 * both >= min_percent * union) & (comp[left][:, None] != comp[right][None, :])
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        a, b = [], []
+        for i, j in np.argwhere(near):
+            x, y = top(int(comp[left[i]])), top(int(comp[right[j]]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                a.append(ids[left[i]])
+                b.append(ids[right[j]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return merge
+
+
+def merged(docs: DataFrame, rest: DataFrame, met: DataFrame, min_percent: int) -> DataFrame:
+    """Links between the components of the documents that share a list of rest (tok, doc, n_shingles, comp), staged.
+
+    met (a a hub, b) says which documents are dealt into blocks together.
+    """
+    own = stage(rest.select("doc", "n_shingles", "comp").distinct(), "minhash-rest-docs")
+    degree = met.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
+    anchors = met.join(degree, "a").groupBy(F.col("b").alias("doc")).agg(F.max(F.struct("degree", "a"))["a"].alias("anchor"))
+    large = own.groupBy("comp").count().filter(F.col("count") >= BLOCK // 2).select("comp", F.col("comp").alias("large"))
+    keyed = stage(own.join(anchors, "doc", "left").join(large, "comp", "left").withColumn("key", F.coalesce("large", "anchor", "doc")), "minhash-keyed")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))
+    dealt = keyed.join(keyed.groupBy("key").agg(parts.alias("parts")), "key")
+    members = stage(dealt.select("doc", "comp", F.xxhash64("key", F.pmod(F.xxhash64("doc"), "parts")).alias("block")), "minhash-blocks")
+    posts = rest.select("tok", "doc").join(members, "doc").groupBy("tok", "block").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    posts = stage(posts, "minhash-block-posts")
+    sides = [posts.select("tok", F.col("block").alias(x), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in "ab"]
+    meet = sides[0].join(sides[1], "tok").filter("a <= b and least(low_a, low_b) < greatest(high_a, high_b)").select("a", "b").distinct()
+    meet = stage(meet, "minhash-block-pairs")
+    sets = docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").select("text", "doc_id")
+    sets = stage(sets.mapInArrow(_sets, "shingles binary, doc_id long").dropDuplicates(["doc_id"]), "minhash-sets")
+    full = members.join(sets, members["doc"] == sets["doc_id"]).select("block", "doc_id", "comp", "shingles")
+    roles = meet.select("a", "b", F.col("a").alias("block"), F.lit(0).alias("side"))
+    roles = roles.unionByName(meet.filter("a < b").select("a", "b", F.col("b").alias("block"), F.lit(1).alias("side")))
+    return stage(roles.join(full, "block").groupBy("a", "b").applyInArrow(_merge(min_percent), "a long, b long"), "minhash-links")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for the nodes of staged edges (a, b): comp is the smallest node that is reachable."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -134,14 +203,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _posted(sig: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
-    """(tok, doc, n, tokens of all shared coordinates) of each representative's prefix."""
+    """(doc, n_shingles, tokens of all shared coordinates, prefix, weight) of each representative; the weight is high for the middle of a group."""
     own = sig.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     tokens = own.select(F.col("doc_id").alias("doc"), "n_shingles", F.posexplode("sig").alias("k", "v")).select("doc", "n_shingles", F.xxhash64("k", "v").alias("tok"))
     shared = stage(tokens.groupBy("tok").count().filter("count > 1").withColumnRenamed("count", "df"), "minhash-shared")
     lists = tokens.join(shared, "tok").groupBy("doc", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("toks"))
     lists = lists.filter(F.size("toks") >= matches)
     all_toks = F.sort_array(F.transform("toks", lambda x: x["tok"])).alias("all_toks")
-    return lists.select("doc", "n_shingles", all_toks, F.slice("toks", 1, F.size("toks") - (matches - 1)).alias("prefix"))
+    weight = F.aggregate("toks", F.lit(0).cast("long"), lambda total, x: total + x["df"]).alias("weight")
+    return lists.select("doc", "n_shingles", weight, all_toks, F.slice("toks", 1, F.size("toks") - (matches - 1)).alias("prefix"))
 
 
 def near_groups(docs: DataFrame, min_percent: int = MIN_PERCENT, matches: int = MATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,46 +221,24 @@ def near_groups(docs: DataFrame, min_percent: int = MIN_PERCENT, matches: int =
     digest = ["d1", "d2", "n_shingles"]
     reps = stage(sig.filter("n_shingles > 0 and doc_id is not null").groupBy(digest).agg(F.min("doc_id").alias("rep")), "minhash-reps")
     posted = stage(_posted(sig, reps, matches), "minhash-posted")
-    lists = posted.select("doc", F.explode("prefix.tok").alias("tok"))
+    lists = posted.select("doc", "n_shingles", "weight", F.explode("prefix.tok").alias("tok"))
+    hubs = lists.groupBy("tok").agg(F.max(F.struct("weight", "doc"))["doc"].alias("hub"), F.count(F.lit(1)).alias("n"))
+    hubs = stage(hubs.filter("n > 1").select("tok", "hub"), "minhash-hubs")
+    met = lists.join(hubs, "tok").filter("doc != hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
+    met = stage(met, "minhash-met")
     side = lambda name: posted.select(F.col("doc").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("all_toks").alias(f"toks_{name}"))
     similar: Column = (100 * F.least("n_a", "n_b") >= min_percent * F.greatest("n_a", "n_b")) & (F.size(F.array_intersect("toks_a", "toks_b")) >= matches)
-    links, tested, spent, labels, hubs = None, None, None, None, 1
-    while True:
-        if labels is None:
-            placed = lists.withColumn("comp", F.col("doc"))
-            chosen = lists.groupBy("tok").agg(F.min("doc").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("tok", "hub", F.col("hub").alias("hub_comp"))
-        else:
-            left = lists.join(spent, ["tok", "doc"], "left_anti")
-            placed = stage(left.join(labels, left["doc"] == labels["node"], "left").select("tok", "doc", F.coalesce("comp", "doc").alias("comp")), "minhash-placed")
-            several = placed.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("tok")
-            sizes = placed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("n")).join(several, "tok", "left_semi")
-            order = Window.partitionBy("tok").orderBy("n", "comp", "doc")
-            first = placed.join(sizes, ["tok", "comp"]).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs)
-            chosen = first.select("tok", F.col("doc").alias("hub"), F.col("comp").alias("hub_comp"))
-        chosen = stage(chosen, "minhash-hubs")
-        if not chosen.limit(1).count():
-            break
-        used = chosen.select("tok", F.col("hub").alias("doc"))
-        spent = used if spent is None else spent.unionByName(used)
-        hubs = HUBS if hubs == 1 else hubs * 4
-        pairs = placed.join(chosen, "tok").filter("comp != hub_comp and doc != hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
-        met = pairs.join(side("a"), "a").join(side("b"), "b").filter(similar).select("a", "b")
-        if tested is not None:
-            met = met.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        met = stage(met, "minhash-candidates")
-        if met.limit(1).count():
-            tested = met if tested is None else tested.unionByName(met)
-            found = stage(confirmed(docs, met, min_percent), "minhash-links")
-            if found.limit(1).count():
-                links = found if links is None else links.unionByName(found)
-                labels = components(links)
-        if labels is None:
-            # Nothing is connected yet: every document is its own component.
-            labels = met.select(F.col("a").alias("node"), F.col("a").alias("comp")).limit(0)
-    classes = reps
-    if labels is not None:
-        classes = reps.join(labels, reps["rep"] == labels["node"], "left").select(*digest, F.coalesce("comp", "rep").alias("rep"))
-    classes = stage(classes.withColumnRenamed("rep", "component"), "minhash-classes")
+    candidates = stage(met.join(side("a"), "a").join(side("b"), "b").filter(similar).select("a", "b"), "minhash-candidates")
+    links = stage(confirmed(docs, candidates, min_percent), "minhash-links")
+    labels = components(links)
+    placed = lists.join(hubs, "tok").filter("doc != hub").join(labels, F.col("doc") == labels["node"], "left")
+    placed = stage(placed.select("tok", "doc", "n_shingles", F.coalesce("comp", "doc").alias("comp")), "minhash-placed")
+    several = placed.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("tok")
+    more = merged(docs, stage(placed.join(several, "tok", "left_semi"), "minhash-rest"), met, min_percent)
+    if more.limit(1).count():
+        labels = components(stage(links.unionByName(more), "minhash-links"))
+    classes = reps.join(labels, reps["rep"] == labels["node"], "left").select(*digest, F.coalesce("comp", "rep").alias("component"))
+    classes = stage(classes, "minhash-classes")
     out = sig.join(classes, digest, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
