@@ -136,3 +136,18 @@ def test_near_dedup_keeps_one_of_each_group(spark):
 def test_thresholds_of_matches_change_no_result_on_clear_copies(spark, matches):
     docs = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(60)) + (" end" if k % 2 else "")) for k in range(6)], "doc_id bigint, text string")
     assert {r.component_id for r in near_groups(docs, matches=matches).collect()} == {0}
+
+
+def test_variants_that_hardly_link_are_all_compared(spark):
+    """Most variants of one text are too far apart to link; some do, and only with each other."""
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for k in range(160):
+        own = list(base)
+        for j in range(1 + k % 5):
+            own[(k * 13 + j * 29) % 120] = f"v{k % 40}-{j}"
+        docs.append((1000 - k, " ".join(own)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = [tuple(r) for r in near_groups(df).select(*NEAR).orderBy("doc_id").collect()]
+    expected = brute_near(docs)
+    assert found == expected and 1 < sum(r[3] for r in expected) < len(docs)
