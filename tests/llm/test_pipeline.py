@@ -1,3 +1,5 @@
+import pytest
+from pyspark.sql import functions as F
 from test_dedup import brute_near, normal
 
 import corpus_pipeline
@@ -6,7 +8,17 @@ from linkloom.llm.quality_rules import quality_verdicts
 from linkloom.llm.source_mixing import mixture
 
 
-def test_each_stage_works_on_its_predecessor(spark, sf_dir):
+@pytest.fixture
+def planted_dir(spark, sf_dir, tmp_path):
+    """The table with near copies added: of the table's own, none outlast the first two stages at the smallest size."""
+    docs = read(spark, sf_dir, "documents")
+    copies = docs.filter(F.size(F.split("text", " ")) > 60).withColumn("doc_id", F.col("doc_id") + 1_000_000).withColumn("text", F.concat("text", F.lit(" und so on")))
+    docs.unionByName(copies).write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_each_stage_works_on_its_predecessor(spark, planted_dir):
+    sf_dir = planted_dir
     docs = read(spark, sf_dir, "documents")
     columns = docs.columns
     kept = docs
