@@ -1,8 +1,8 @@
 """One query per operator over the driver's tables. Their SQL is in ``oracles``.
 
 The business sources are not among the tables, so records are made of the documents: every fifth document
-is a query of source 1, the others are targets of sources 2 and 3; the name is the start of the first line,
-the address the text after it. Links are equal texts.
+is a query of source 1, the others are targets of sources 2 and 3; the name is the whole first line, the
+address all text after it. Links are equal texts.
 """
 
 from __future__ import annotations
@@ -45,10 +45,11 @@ def long(c: Column) -> Column:
 def records(spark: SparkSession, d: str) -> DataFrame:
     """entity_id, source, doc_id, name, address, country, digest."""
     source = F.when(F.col("doc_id") % 5 == 0, 1).when(F.col("doc_id") % 2 == 0, 2).otherwise(3)
-    body = F.trim(F.substring(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), 41, 100))
+    name = F.substring_index("text", "\n", 1)
+    body = F.trim(F.replace(F.substr(F.col("text"), F.length(name) + 2), F.lit("\n"), F.lit(" ")))
     return read(spark, d, "documents").select(
         F.concat(F.lit("S"), source, F.lit("-"), "doc_id").alias("entity_id"), source.alias("source"), "doc_id",
-        F.substring(F.split("text", "\n")[0], 1, 40).alias("name"), F.concat(body, F.lit(" "), F.col("n_chars").cast("string")).alias("address"),
+        name.alias("name"), F.concat(body, F.lit(" "), F.col("n_chars").cast("string")).alias("address"),
         F.col("lang").alias("country"), F.md5("text").alias("digest"),
     )
 
