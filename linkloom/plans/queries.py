@@ -2,7 +2,8 @@
 
 The business sources are not among the tables, so records are made of the documents: every fifth document
 is a query of source 1, the others are targets of sources 2 and 3; the name is the whole first line, the
-address all text after it. Links are equal texts.
+address all text after it. Links are equal texts. Searches take every row whose id is divisible by 20 as a
+query, and all rows as targets.
 """
 
 from __future__ import annotations
@@ -54,12 +55,16 @@ def records(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def sides(spark: SparkSession, d: str, query: str = "source = 1", target: str = "source > 1") -> tuple[DataFrame, DataFrame]:
     """queries (qid, name, address, country) and targets (rid, ...), cleaned."""
     rows = records(spark, d).withColumns({"name": t.clean(F.col("name")), "address": t.clean(F.col("address"))})
     rows = stage(rows, "records")
     side = lambda cond, key: rows.filter(cond).select(F.col("doc_id").alias(key), "entity_id", "name", "address", "country", "digest")
-    return side("source = 1", "qid"), side("source > 1", "rid")
+    return side(query, "qid"), side(target, "rid")
+
+
+def search_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return sides(spark, d, "doc_id % 20 = 0", "true")
 
 
 def true_links(queries: DataFrame, targets: DataFrame) -> DataFrame:
@@ -69,7 +74,7 @@ def true_links(queries: DataFrame, targets: DataFrame) -> DataFrame:
 def part_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     names = read(spark, d, "part").select("p_partkey", t.clean_ascii(F.col("p_name")).alias("text"))
     size = F.size(retrieval.search_tokens(F.col("text"))).alias("row_size")
-    return names.filter("p_partkey % 50 = 0").select(F.col("p_partkey").alias("qid"), "text"), names.select(F.col("p_partkey").alias("rid"), "text", size)
+    return names.filter("p_partkey % 20 = 0").select(F.col("p_partkey").alias("qid"), "text"), names.select(F.col("p_partkey").alias("rid"), "text", size)
 
 
 def part_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -106,11 +111,11 @@ def tfidf_legacy_topk(spark, d):
 
 @query
 def bm25_topk_two_field(spark, d):
-    return retrieval.bm25_union(*sides(spark, d), ["name", "address"])
+    return retrieval.bm25_union(*search_sides(spark, d), ["name", "address"])
 
 
 def _channels(spark, d, fields=("name", "address")):
-    return retrieval.channels(*sides(spark, d), list(fields))
+    return retrieval.channels(*search_sides(spark, d), list(fields))
 
 
 @query

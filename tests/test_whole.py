@@ -31,3 +31,18 @@ def test_records_hold_whole_texts(spark, tables):
     whole = "\n".join([name, *body])
     assert found == {1: (name, f"{' '.join(body)} {len(whole)}"), 2: ("only line", "9"), 3: (name + " end", str(len(name) + 4))}
     assert driver.queries()["repeated_names"](spark, d).first().n_repeated == 0
+
+
+@pytest.mark.parametrize("name", ["bm25_topk", "tfidf_char_topk", "tfidf_word_topk", "tfidf_legacy_topk"])
+def test_parts_divisible_by_twenty_are_searched(spark, tables, name):
+    d = tables(part=([(k, f"word{k} common") for k in range(1, 101)], "p_partkey bigint, p_name string"))
+    assert {r.qid for r in driver.queries()[name](spark, d).collect()} == {20, 40, 60, 80, 100}
+
+
+@pytest.mark.parametrize("name", ["bm25_topk_two_field", "channel_scores"])
+def test_documents_divisible_by_twenty_are_searched_in_all(spark, tables, name):
+    d = tables(documents=documents({k: f"same{k % 20}x text\nbody{k} more" for k in range(1, 81)}))
+    found = {(r.qid, r.rid) for r in driver.queries()[name](spark, d).collect()}
+    assert {q for q, _ in found} == {20, 40, 60, 80}
+    # The copies' ids are divisible by 5, and the row itself is a target too.
+    assert {(q, r) for q in (20, 40, 60, 80) for r in (20, 40, 60, 80)} <= found
