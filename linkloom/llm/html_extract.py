@@ -1,18 +1,20 @@
 """HTML extraction with removal of site templates.
 
 Each page becomes a tree of elements. Elements that are boilerplate by their tag, role or class name go
-(menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments of readers). Of
-what is left, each block-level subtree is hashed; Spark counts the hashes per host, and subtrees that
-recur across many pages of the host are templates, whose text is deleted from every page of that host.
+(menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments of readers). Block
+subtrees of the whole page are hashed, inside and outside the main text and also those that go by name;
+Spark counts the hashes per host, and subtrees that recur across many pages of the host are templates,
+whose text is deleted from every page of that host.
 
-What is a template: it recurs on at least MIN_PAGES pages and MIN_SHARE of the host's pages. Inside the
-page's `article` or `main` element a recurring subtree goes only if most of its text is links, since a
-paragraph that a site repeats inside its articles is still the articles' text.
+What is a template: it recurs on at least MIN_PAGES pages of the host, however many the host has. On pages
+with an `article` or `main` element these are subtrees of CONTAINERS, and others if most of their text is
+links; a bare paragraph, heading or list item that a site repeats inside its articles is still the
+articles' text. A subtree is hashed with all its text, also that of templates within it.
 
-Only hashes are shuffled: (host, hash, page) rows of subtrees that could be deleted. A host has at most
-(subtrees per page) / MIN_SHARE templates. The few pages that hold a template are extracted again without
-it; their list is broadcast if its counted rows are few, and joined by shuffle otherwise. One host may
-hold any share of the pages, as counts are combined before they are shuffled.
+Only hashes are shuffled: (host, hash, page) rows. A host has at most (its pages' subtrees) / MIN_PAGES
+templates. The pages that hold a template in their main text are extracted again without it; their list
+is broadcast if its counted rows are few, and joined by shuffle otherwise. One host may hold any share of
+the pages, as counts are combined before they are shuffled.
 
 Text: character references are decoded; white space in a block becomes one space; blocks are trimmed and
 joined in page order by one line end. A `br` is white space within its block. If the page has `article`
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ._common import small_side, stage
 
-MIN_PAGES, MIN_SHARE = 10, 0.2
+MIN_PAGES = 10
 #: A subtree of links inside an article is one whose link text is at least this share of its text.
 LINK_SHARE = 0.5
 
@@ -46,6 +48,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
 SKIPPED = frozenset("script style noscript template head title iframe noembed noframes object svg math canvas audio video select option datalist button input textarea form nav footer aside menu dialog label fieldset".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
+#: Blocks that recur as a whole also inside articles; others hold the text itself.
+CONTAINERS = frozenset("address aside center details dialog div dl fieldset figure footer form header hgroup menu nav ol search section table ul".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 #: An open element of the key's kind ends where one of the value's kinds begins.
 ENDS_BEFORE = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "option": frozenset(["option", "optgroup"])}
@@ -138,20 +142,32 @@ def _mains(root: Node) -> tuple[list[Node], bool]:
 
 
 class Extraction:
-    """Blocks of a page, and the hashes of the subtrees that may be deleted."""
+    """Blocks of a page, the hashes of the subtrees that may be deleted, and those of subtrees outside the main text."""
 
-    def __init__(self, page: str, templates: frozenset[bytes] = frozenset()):
+    def __init__(self, page: str, templates: frozenset[bytes] = frozenset(), outside: bool = False):
         self.templates = templates
         self.blocks: list[list[str]] = [[]]
+        self.cut: set[int] = set()
         self.hashes: set[bytes] = set()
-        mains, self.named = _mains(parse(page))
+        self.outer: set[bytes] = set()
+        root = parse(page)
+        mains, self.named = _mains(root)
         for node in mains:
             self._walk(node)
-
-    def _walk(self, top: Node) -> None:
+        if outside:
+            blocks, cut, inner = self.blocks, self.cut, self.hashes
+            # Where the page names no main text, only what goes by name is outside.
+            tops, self.hashes, self.named, apart = [root], self.outer, True, {id(x) for x in mains if x is not root}
+            while tops:
+                self.blocks = [[]]
+                self._walk(tops.pop(), apart, tops)
+            self.blocks, self.cut, self.hashes = blocks, cut, inner
+
+    def _walk(self, top: Node, apart: set[int] = frozenset(), skipped: list[Node] | None = None) -> None:
+        """Appends the blocks of top; leaves out the nodes of apart, and puts blocks that go by name on skipped."""
         # Each frame: node, next child, block before it, length before it, length of links in it.
-        stack = [[top, 0, len(self.blocks), 0]]
         self._new_block()
+        stack = [[top, 0, len(self.blocks) - 1, 0]]
         links = 0
         while stack:
             frame = stack[-1]
@@ -165,18 +181,22 @@ class Extraction:
                         links += len(child.strip())
                 elif child.tag == "br":
                     self.blocks[-1].append(" ")
+                elif id(child) in apart:
+                    self._new_block()
                 elif child.tag in BLOCKS and not child.skip and child.tag != "hr":
                     self._new_block()
                     stack.append([child, 0, len(self.blocks) - 1, links])
                 elif child.tag in BLOCKS:
                     self._new_block()
+                    if skipped is not None and child.skip:
+                        skipped.append(child)
                 elif not child.skip:
                     stack.append([child, 0, None, links])
                 continue
             stack.pop()
             if node.tag not in BLOCKS:
                 continue
-            if node is not top:
+            if node is not top or node.skip:
                 self._judge(node, frame[2], links - frame[3])
             self._new_block()
 
@@ -188,16 +208,16 @@ class Extraction:
         texts = [x for x in map(_clean, self.blocks[first:]) if x]
         if not texts:
             return
-        if self.named and links < LINK_SHARE * sum(map(len, texts)):
+        if self.named and node.tag not in CONTAINERS and links < LINK_SHARE * sum(map(len, texts)):
             return
         digest = blake2b("\n".join([node.tag, *texts]).encode("utf-8", "surrogatepass"), digest_size=8).digest()
         self.hashes.add(digest)
         if digest in self.templates:
-            del self.blocks[first:]
-            self.blocks.append([])
+            # A last block that is still empty takes the text after the subtree.
+            self.cut.update(range(first, len(self.blocks) - (not self.blocks[-1])))
 
     def text(self) -> str:
-        return "\n".join(x for x in map(_clean, self.blocks) if x)
+        return "\n".join(x for k, x in enumerate(map(_clean, self.blocks)) if x and k not in self.cut)
 
 
 def _clean(block: list[str]) -> str:
@@ -206,8 +226,9 @@ def _clean(block: list[str]) -> str:
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [sorted(Extraction(x or "").hashes) for x in batch.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), pa.array(found, pa.list_(pa.binary()))], names=["page_id", "host", "hashes"])
+        found = [Extraction(x or "", outside=True) for x in batch.column("html").to_pylist()]
+        inner, outer = ([sorted(x) for x in sets] for sets in ((x.hashes for x in found), (x.outer - x.hashes for x in found)))
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), pa.array(inner, pa.list_(pa.binary())), pa.array(outer, pa.list_(pa.binary()))], names=["page_id", "host", "hashes", "outer"])
 
 
 def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,17 +237,17 @@ def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text and n_chars of each row of pages (page_id, url, html)."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^/]*//(?:[^/@]*@)?([^/:?#]*)", 1))
     pages = pages.select("page_id", "url", "html", host.alias("host"))
     kind = dict(pages.dtypes)["page_id"]
     known = pages.filter(F.col("page_id").isNotNull()).select("page_id", "host", "html")
-    found = stage(known.mapInArrow(_first_pass, f"page_id {kind}, host string, hashes array<binary>"), "html-subtrees")
-    sizes = stage(found.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "html-hosts")
+    found = stage(known.mapInArrow(_first_pass, f"page_id {kind}, host string, hashes array<binary>, outer array<binary>"), "html-subtrees")
+    counted = found.select("host", F.explode(F.concat("hashes", "outer")).alias("hash"))
     one_each = found.select("page_id", "host", F.explode("hashes").alias("hash"))
-    often = stage(one_each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages), "html-often")
-    templates = stage(often.join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages")).select("host", "hash"), "html-templates")
+    often = counted.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+    templates = stage(often.select("host", "hash"), "html-templates")
     # A page's list holds subtrees of that page only.
     per_page = one_each.join(small_side(templates), ["host", "hash"], "left_semi").groupBy("page_id").agg(F.collect_set("hash").alias("templates"))
     per_page = small_side(stage(per_page, "html-deleted"))
