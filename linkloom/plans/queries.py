@@ -19,7 +19,7 @@ from ..operators import evaluate as ev
 from ..operators import exact, graph, profile, retrieval, validate
 from ..operators import features as feat
 from ..operators import model as m
-from ..operators.fusion import fused_topk, restricted
+from ..operators.fusion import budgeted, fused_topk, restricted
 from ..sources import tables
 from ..sources.staging import stage
 
@@ -118,9 +118,22 @@ def _channels(spark, d, fields=("name", "address")):
     return retrieval.channels(*search_sides(spark, d), list(fields))
 
 
+def _normalized(spark, d):
+    r = records(spark, d)
+    return stage(r.withColumns(t.normalized_record(F.col("name"), F.col("address"), F.col("country"))), "normalized")
+
+
+def _all_channels(queries, targets, k=retrieval.TOP_K):
+    """The lists of all eight channels; queries has qid, targets rid, both the columns of normalized_record."""
+    named = lambda df, key: df.select(key, *(F.col(c).alias(f) for f, c in feat.FIELDS.items()))
+    return retrieval.channels(named(queries, "qid"), named(targets, "rid"), list(feat.FIELDS), k)
+
+
 @query
 def hybrid_rrf_topk(spark, d):
-    return fused_topk(_channels(spark, d)).select("qid", "rid", F.round("rrf", 8).alias("rrf"), "n_channels", "best_rank", "global_rank")
+    rows = _normalized(spark, d)
+    found = _all_channels(rows.filter("doc_id % 20 = 0").withColumnRenamed("doc_id", "qid"), rows.withColumnRenamed("doc_id", "rid"))
+    return fused_topk(found).select("qid", "rid", F.round("rrf", 8).alias("rrf"), "n_channels", "best_rank", "global_rank")
 
 
 @query
@@ -499,6 +512,22 @@ def _candidates(spark, d):
     return q, t_, true_links(q, t_).withColumnRenamed("rid", "tid"), pairs
 
 
+def _normalized_sides(spark, d):
+    rows = _normalized(spark, d)
+    return rows.filter("source = 1").withColumnRenamed("doc_id", "qid"), rows.filter("source > 1").withColumnRenamed("doc_id", "rid")
+
+
+def _retrieved(spark, d):
+    """queries, links (qid, tid), and the lists of all eight channels (qid, tid) with room for recall at 50."""
+    q, t_ = _normalized_sides(spark, d)
+    as_tid = lambda df: df.withColumnRenamed("rid", "tid")
+    return q, as_tid(true_links(q, t_)), as_tid(stage(_all_channels(q, t_, 50), "channels"))
+
+
+def _fused(found):
+    return fused_topk(found.withColumnRenamed("tid", "rid"), None).withColumnRenamed("rid", "tid")
+
+
 @query
 def label_join(spark, d):
     _, _, links, pairs = _candidates(spark, d)
@@ -549,8 +578,8 @@ def threshold_search(spark, d):
 
 @query
 def recall_at_k(spark, d):
-    q, _, links, pairs = _candidates(spark, d)
-    return ev.recall_at(q, links, pairs)
+    q, links, found = _retrieved(spark, d)
+    return ev.recall_at(q, links, _fused(found))
 
 
 @query
@@ -559,22 +588,25 @@ def candidate_sizes(spark, d):
     return ev.candidate_sizes(q, pairs, t_.count())
 
 
+def _pilot(spark, d):
+    q, links, found = _retrieved(spark, d)
+    return ev.cap_pilot(q, links, _fused(budgeted(found)))
+
+
 @query
 def cap_pilot(spark, d):
-    q, _, links, pairs = _candidates(spark, d)
-    return ev.cap_pilot(q, links, pairs, (5, 20))
+    return _pilot(spark, d)
 
 
 @query
 def cap_decision(spark, d):
-    q, _, links, pairs = _candidates(spark, d)
-    return ev.cap_decision(ev.cap_pilot(q, links, pairs, (5, 20)), 5, 20)
+    return ev.cap_decision(_pilot(spark, d))
 
 
 @query
 def attribution(spark, d):
-    q, t_ = sides(spark, d)
-    return ev.attribution(true_links(q, t_).withColumnRenamed("rid", "tid"), retrieval.channels(q, t_, ["name", "address"]).withColumnRenamed("rid", "tid"))
+    _, links, found = _retrieved(spark, d)
+    return ev.attribution(links, budgeted(found))
 
 
 @query
@@ -607,16 +639,9 @@ def pair_features_12(spark, d):
     return feat.legacy_features(pairs.select("qid", F.col("tid").alias("rid")).join(side("q", "qid"), "qid").join(side("t", "rid"), "rid"))
 
 
-def _normalized(spark, d):
-    r = records(spark, d)
-    rows = stage(r.withColumns(t.normalized_record(F.col("name"), F.col("address"), F.col("country"))), "normalized")
-    return rows.filter("source = 1").withColumnRenamed("doc_id", "qid"), rows.filter("source > 1").withColumnRenamed("doc_id", "rid")
-
-
 def _features(spark, d):
-    q, t_ = _normalized(spark, d)
-    found = retrieval.channels(*(x.select(key, F.col("name_norm").alias("name"), F.col("name_translit").alias("tname")) for x, key in ((q, "qid"), (t_, "rid"))), ["name", "tname"])
-    return q, t_, feat.pair_features(fused_topk(found).select("qid", "rid", "scores"), q, t_)
+    q, t_ = _normalized_sides(spark, d)
+    return q, t_, feat.pair_features(fused_topk(_all_channels(q, t_)).select("qid", "rid", "scores"), q, t_)
 
 
 @query

@@ -46,3 +46,18 @@ def test_documents_divisible_by_twenty_are_searched_in_all(spark, tables, name):
     assert {q for q, _ in found} == {20, 40, 60, 80}
     # The copies' ids are divisible by 5, and the row itself is a target too.
     assert {(q, r) for q in (20, 40, 60, 80) for r in (20, 40, 60, 80)} <= found
+
+
+def copies(n=60):
+    """n copies of one text, of which those whose id is divisible by 5 are queries."""
+    return documents({k: "one name\none body" for k in range(1, n + 1)})
+
+
+def test_recall_goes_to_rank_fifty(spark, tables):
+    d = tables(documents=copies())
+    row = driver.queries()["recall_at_k"](spark, d).first()
+    assert (row.recall_at_20, row.recall_at_30, row.recall_at_50) == (round(20 / 48, 6), round(30 / 48, 6), 1.0)
+
+
+def test_pilot_has_its_own_caps(spark, tables):
+    assert {r.k for r in driver.queries()["cap_pilot"](spark, tables(documents=copies(30))).collect()} == {20, 50}
