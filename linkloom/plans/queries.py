@@ -650,22 +650,25 @@ def pair_features_91(spark, d):
 
 
 def _training(spark, d):
+    """Labelled pairs, and the component (qid, component) of every query in the graph of links."""
     q, t_, pairs = _features(spark, d)
-    links = q.select("qid", "digest").join(t_.select("rid", "digest"), "digest").select("qid", "rid")
-    return stage(feat.labelled(pairs, links), "training")
+    links = true_links(q, t_)
+    groups = graph.components_of(links.withColumnRenamed("rid", "tid"), q)
+    return stage(feat.labelled(pairs, links), "training"), groups
 
 
 @query
 def logistic_oof(spark, d):
-    pairs = _training(spark, d)
-    folds = graph.folds(pairs.select("qid", F.col("qid").alias("component")).distinct(), 3)
-    return m.out_of_fold(pairs.join(folds.select("qid", "fold"), "qid"), feat.FEATURE_NAMES).select("qid", "rid", "fold", "y", "score")
+    pairs, groups = _training(spark, d)
+    return m.out_of_fold(pairs.join(graph.folds(groups).select("qid", "fold"), "qid"), feat.FEATURE_NAMES).select("qid", "rid", "fold", "y", "score")
 
 
 @query
 def gbt_score(spark, d):
-    pairs = _training(spark, d)
-    return m.scored(m.fit_trees(pairs, feat.FEATURE_NAMES, rounds=20), pairs).select("qid", "rid", "y", "score")
+    """Scores of the pairs outside the training split."""
+    pairs, groups = _training(spark, d)
+    pairs = stage(pairs.join(graph.grouped_split(groups).select("qid", "split"), "qid"), "split-pairs")
+    return m.scored(m.fit_trees(pairs.filter("split = 'train'"), feat.FEATURE_NAMES), pairs.filter("split <> 'train'")).select("qid", "rid", "y", "score")
 
 
 def queries() -> dict[str, Query]:

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
+from linkloom.plans import queries as plans
 
 
 @pytest.fixture
@@ -61,3 +62,32 @@ def test_recall_goes_to_rank_fifty(spark, tables):
 
 def test_pilot_has_its_own_caps(spark, tables):
     assert {r.k for r in driver.queries()["cap_pilot"](spark, tables(documents=copies(30))).collect()} == {20, 50}
+
+
+@pytest.fixture
+def labelled_pairs(spark, monkeypatch):
+    """Stands in for the features: 40 queries, of which each two share a target; the first feature is the label."""
+    digests = [(k, f"digest{k // 2}") for k in range(40)]
+    q, t_ = spark.createDataFrame(digests, "qid bigint, digest string"), spark.createDataFrame([(100 + k, f"digest{k}") for k in range(20)], "rid bigint, digest string")
+    rows = [(k, 100 + (k // 2 if right else (k // 2 + 1) % 20), float(right), 0.0) for k in range(40) for right in (True, False)]
+    monkeypatch.setattr(plans.feat, "FEATURE_NAMES", ("a", "b"))
+    monkeypatch.setattr(plans, "_features", lambda spark, d: (q, t_, spark.createDataFrame(rows, "qid bigint, rid bigint, a double, b double")))
+
+
+def test_folds_are_those_of_the_components(spark, labelled_pairs):
+    found = driver.queries()["logistic_oof"](spark, "").select("qid", "fold").distinct().collect()
+    fold = {r.qid: r.fold for r in found}
+    assert len(found) == len(fold) == 40 and all(fold[k] == fold[k + 1] for k in range(0, 40, 2)) and max(fold.values()) >= 3
+
+
+def test_trees_score_what_they_were_not_fitted_on(spark, labelled_pairs, monkeypatch):
+    fitted = {}
+
+    def fit(pairs, names, rounds=200, **options):
+        fitted.update(qids={r.qid for r in pairs.select("qid").collect()}, rounds=rounds)
+        return None
+
+    monkeypatch.setattr(plans.m, "fit_trees", fit)
+    monkeypatch.setattr(plans.m, "scored", lambda model, pairs: pairs.selectExpr("*", "0.5D as score"))
+    scored = {r.qid for r in driver.queries()["gbt_score"](spark, "").collect()}
+    assert fitted["rounds"] == 200 and fitted["qids"] | scored == set(range(40)) and not fitted["qids"] & scored and fitted["qids"] and scored
