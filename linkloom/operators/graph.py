@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -62,13 +63,19 @@ def hash_sample(rows: DataFrame, id_col: str, n: int, seed: int = 42, exact: boo
 
 
 def label_complete_sample(targets: DataFrame, links: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """All linked targets (tid, source) and n sampled others of each source, seeded by seed + source (Q2)."""
+    """All linked targets (tid, source) and n sampled others of each source, seeded by seed + source (Q2).
+
+    A bounded heap per task and source; a handful of sources is expected.
+    """
     positives = targets.join(links.select("tid").distinct(), "tid", "left_semi").withColumn("role", F.lit("positive"))
     rest = targets.join(links.select("tid").distinct(), "tid", "left_anti")
     seeded = F.sha2(F.concat((F.col("source") + seed).cast("string"), F.lit(":"), F.col("tid").cast("string")), 256)
-    order = Window.partitionBy("source").orderBy("sample_key", "tid")
-    chosen = rest.withColumn("sample_key", seeded).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n)
-    return positives.unionByName(chosen.drop("sample_key", "place").withColumn("role", F.lit("distractor")))
+    rest = stage(rest.withColumn("sample_key", seeded), "sample-keys")
+    out = positives
+    for row in rest.select("source").distinct().orderBy("source").collect():  # the sources of the data model
+        chosen = rest.filter(F.col("source") == row.source).orderBy("sample_key", "tid").limit(n)
+        out = out.unionByName(chosen.drop("sample_key").withColumn("role", F.lit("distractor")))
+    return out
 
 
 def missing_positives(targets: DataFrame, links: DataFrame) -> DataFrame:
@@ -79,13 +86,30 @@ def missing_positives(targets: DataFrame, links: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- splits
 
 
+MIN_GROUPS = 5
+
+
 def grouped_split(groups: DataFrame, seed: int = 42, holdout: float = 0.4) -> DataFrame:
-    """groups (qid, component): train, calibration and holdout, 60/20/20 of the components, none divided (M1)."""
-    distinct = groups.select("component").distinct().withColumn("key", F.sha2(F.concat(F.lit(f"{seed}:"), F.col("component").cast("string")), 256))
-    # Equal shares of a uniform hash; no sort of all components is needed.
-    place = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    split = F.when(place < 1 - holdout, "train").when(place < 1 - holdout / 2, "calibration").otherwise("holdout")
-    return groups.join(distinct.select("component", split.alias("split")), "component").select("qid", "component", "split")
+    """groups (qid, component): train, calibration and holdout, 60/20/20 of the components, none divided (M1).
+
+    Components are ranked by a hash, so the shares are exact: the rest takes the ceiling of its share, and so
+    does the holdout of the rest. The rank is the sum of cells of leading hash digits and a place within the
+    cell, so no task sorts all components.
+    """
+    key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("component").cast("string")), 256)
+    distinct = stage(groups.select("component").distinct().withColumn("key", key).withColumn("cell", F.substring("key", 1, 4)), "split-groups")
+    cells = stage(distinct.groupBy("cell").agg(F.count(F.lit(1)).alias("c")), "split-cells")
+    total = cells.agg(F.sum("c")).first()[0] or 0
+    if total < MIN_GROUPS:
+        raise ValueError(f"at least {MIN_GROUPS} groups are needed, there are {total}")
+    rest = math.ceil(round(total * holdout, 9))
+    held = math.ceil(rest / 2)
+    # At most 65,536 cells.
+    before = cells.withColumn("before", F.coalesce(F.sum("c").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("cell").orderBy("key", "component"))
+    ranked = distinct.join(F.broadcast(before), "cell").withColumn("place", place)
+    split = F.when(F.col("place") <= total - rest, "train").when(F.col("place") <= total - held, "calibration").otherwise("holdout")
+    return groups.join(ranked.select("component", split.alias("split")), "component").select("qid", "component", "split")
 
 
 def folds(groups: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -28,6 +27,24 @@ def require_both_classes(pairs: DataFrame) -> tuple[int, int]:
     return row.pos, row.neg
 
 
+#: So many pairs are one task of a fit; each pass over fewer pairs would cost more in tasks than in work.
+FIT_ROWS = 50_000
+
+
+def _training(pairs: DataFrame) -> DataFrame:
+    """pairs kept in memory, in as many partitions as their counted number is worth."""
+    pos, neg = require_both_classes(pairs)
+    return pairs.repartition(max(1, -(-(pos + neg) // FIT_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _fit(pipeline: Pipeline, pairs: DataFrame) -> PipelineModel:
+    known = _training(pairs)
+    try:
+        return pipeline.fit(known)
+    finally:
+        known.unpersist()
+
+
 def _assembled(names) -> VectorAssembler:
     return VectorAssembler(inputCols=list(names), outputCol="raw", handleInvalid="error")
 
@@ -37,22 +54,20 @@ def fit_logistic(pairs: DataFrame, names, c: float = 1.0, max_iter: int = 1000)
     pos, neg = require_both_classes(pairs)
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="raw", outputCol="features")
     model = LogisticRegression(labelCol="y", featuresCol="features", maxIter=max_iter, regParam=1 / (c * (pos + neg)), standardization=False)
-    return Pipeline(stages=[_assembled(names), scaler, model]).fit(pairs)
+    return _fit(Pipeline(stages=[_assembled(names), scaler, model]), pairs)
 
 
 def fit_reference(pairs: DataFrame, names, alpha: float = 1e-4, max_iter: int = 200) -> PipelineModel:
     """The linear reference model: the same loss and penalty as averaged stochastic descent, solved exactly (M4)."""
-    require_both_classes(pairs)
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="raw", outputCol="features")
     model = LogisticRegression(labelCol="y", featuresCol="features", maxIter=max_iter, regParam=alpha, standardization=False)
-    return Pipeline(stages=[_assembled(names), scaler, model]).fit(pairs)
+    return _fit(Pipeline(stages=[_assembled(names), scaler, model]), pairs)
 
 
 def fit_trees(pairs: DataFrame, names, rounds: int = 200, depth: int = 5, rate: float = 0.05, min_rows: int = 20, seed: int = 42) -> PipelineModel:
     """Boosted trees, the primary model (M5)."""
-    require_both_classes(pairs)
-    model = GBTClassifier(labelCol="y", featuresCol="raw", maxIter=rounds, maxDepth=depth, stepSize=rate, minInstancesPerNode=min_rows, seed=seed)
-    return Pipeline(stages=[_assembled(names), model]).fit(pairs)
+    model = GBTClassifier(labelCol="y", featuresCol="raw", maxIter=rounds, maxDepth=depth, stepSize=rate, minInstancesPerNode=min_rows, seed=seed, cacheNodeIds=True, maxMemoryInMB=512)
+    return _fit(Pipeline(stages=[_assembled(names), model]), pairs)
 
 
 def scored(model: PipelineModel, pairs: DataFrame) -> DataFrame:
@@ -99,7 +114,3 @@ def load_model(spark: SparkSession, folder: str, names) -> tuple[PipelineModel,
     if read_json(f"{folder}/threshold.json")["threshold"] != about["threshold"]:
         raise ValueError("the threshold file differs from the model's")
     return PipelineModel.load(f"{folder}/model"), validate_threshold(about["threshold"]), about["config"]
-
-
-def identity(names, threshold: float, config: dict) -> str:
-    return json.dumps({"features": list(names), "threshold": threshold, "config": config}, sort_keys=True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import character_flags, is_missing, script_label, tokens
+from ..sources.staging import stage
 
 
 def distribution(rows: DataFrame, value: str, by: str | None = None) -> DataFrame:
@@ -86,31 +87,75 @@ def truth_cardinality(queries: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+CELLS = 4096
+
+
+def exact_quantiles(rows: DataFrame, value: str, keys: list[str], shares: tuple[float, ...]) -> DataFrame:
+    """keys, n, mean and q0, q1, ...: the interpolated quantiles of each group (A8); nulls are left out.
+
+    Values are counted in CELLS cells between a group's smallest and largest one. Only the cells in which the
+    wanted ranks lie are counted by value and sorted, so no group is ever sorted or held as a whole.
+    """
+    rows = rows.select(*(F.col(k).alias(f"g{i}") for i, k in enumerate(keys)), F.col(value).cast("double").alias("v")).filter("v is not null")
+    by = [f"g{i}" for i in range(len(keys))] or ["one"]
+    rows = rows if keys else rows.withColumn("one", F.lit(0))
+    same = lambda a, b, columns: [a[c].eqNullSafe(b[c]) for c in columns]
+    rest = lambda df, other: df.drop(*(other[c] for c in by))
+    spans = stage(rows.groupBy(*by).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean")), "quantile-spans")
+    width = F.col("high") - F.col("low")
+    cell = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("low")) / width * CELLS), F.lit(CELLS - 1))).otherwise(F.lit(0)).cast("int")
+    placed = rest(rows.join(F.broadcast(spans) if spans.count() <= 250_000 else spans, same(rows, spans, by)), spans).withColumn("cell", cell)
+    counts = stage(placed.groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("c")), "quantile-cells")
+    upto = Window.partitionBy(*by).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("c").over(upto), F.lit(0)))
+    each = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(up).alias("up"), (F.ceil if up else F.floor)((F.col("n") - 1) * F.lit(p)).alias("rank")) for i, p in enumerate(shares) for up in (False, True)))
+    wanted = spans.select(*by, F.explode(each).alias("x")).select(*by, "x.*")
+    found = rest(wanted.join(counts, [*same(wanted, counts, by), F.col("rank") >= F.col("before"), F.col("rank") < F.col("before") + F.col("c")]), counts).drop("c")
+    found = stage(found, "quantile-ranks")
+    cells = found.select(*by, "cell").distinct()
+    inside = placed.join(cells, same(placed, cells, [*by, "cell"]), "left_semi").groupBy(*by, "cell", "v").agg(F.count(F.lit(1)).alias("c"))
+    ordered = Window.partitionBy(*by, "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumn("upto", F.sum("c").over(ordered))
+    at = F.col("rank") - F.col("before")
+    hits = found.join(inside, [*same(found, inside, [*by, "cell"]), at >= F.col("upto") - F.col("c"), at < F.col("upto")]).select(*(found[c] for c in by), "i", "up", "v")
+    values = hits.groupBy(*by).agg(*(F.max(F.when((F.col("i") == i) & (F.col("up") == up), F.col("v"))).alias(f"v{i}_{int(up)}") for i in range(len(shares)) for up in (False, True)))
+    out = spans.join(values, same(spans, values, by))
+    place = lambda p: (F.col("n") - 1) * F.lit(p)
+    lines = [(F.col(f"v{i}_0") + (F.col(f"v{i}_1") - F.col(f"v{i}_0")) * (place(p) - F.floor(place(p)))).alias(f"q{i}") for i, p in enumerate(shares)]
+    return out.select(*(spans[f"g{i}"].alias(k) for i, k in enumerate(keys)), "n", "mean", *lines)
+
+
 def quantiles(rows: DataFrame, value: str, by: str) -> DataFrame:
     """Mean and interpolated median and p95 by group."""
-    return rows.groupBy(by).agg(F.round(F.avg(value), 6).alias("mean"), F.round(F.percentile(value, 0.5), 6).alias("p50"), F.round(F.percentile(value, 0.95), 6).alias("p95"))
+    found = exact_quantiles(rows, value, [by], (0.5, 0.95))
+    return found.select(by, F.round("mean", 6).alias("mean"), F.round("q0", 6).alias("p50"), F.round("q1", 6).alias("p95"))
 
 
 def feature_summary(pairs: DataFrame, names: list[str], by: str = "sample_type") -> DataFrame:
     """Mean, median and p95 of each feature in each sample, one row per sample and feature."""
     each = F.explode(F.array(*(F.struct(F.lit(k).alias("feature"), F.col(k).cast("double").alias("value")) for k in names)))
     long = pairs.select(by, each.alias("x")).select(by, "x.feature", "x.value")
-    return long.groupBy(by, "feature").agg(F.round(F.avg("value"), 6).alias("mean"), F.round(F.percentile("value", 0.5), 6).alias("p50"), F.round(F.percentile("value", 0.95), 6).alias("p95"))
+    found = exact_quantiles(long, "value", [by, "feature"], (0.5, 0.95))
+    return found.select(by, "feature", F.round("mean", 6).alias("mean"), F.round("q0", 6).alias("p50"), F.round("q1", 6).alias("p95"))
+
+
+TRIES = 20
 
 
 def pair_samples(queries: DataFrame, links: DataFrame, candidates: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
     """Per query up to two true pairs, two best-ranked wrong candidates and one random wrong target.
 
-    candidates has best_rank. The random target of a query is the first of a hashed place among the targets'
-    equally hashed places, so no query meets all targets.
+    candidates has best_rank. Targets are hashed into as many places as there are targets, and each query tries
+    TRIES hashed places; its random target is the first that is not a true one. No query meets all targets, and
+    one misses all tries with a probability of about exp(-TRIES).
     """
     true = links.select("qid", "tid").distinct()
     top = lambda df, order, n: df.withColumn("r", F.row_number().over(Window.partitionBy("qid").orderBy(*order))).filter(F.col("r") <= n).select("qid", "tid")
     wrong = candidates.join(true, ["qid", "tid"], "left_anti")
-    n = max(targets.count(), 1)
-    place = lambda c: F.pmod(F.xxhash64(F.lit(seed), c), F.lit(max(n // 8, 1)))  # noqa: E731  about eight targets a place
-    near = queries.select("qid", place(F.col("qid")).alias("place")).join(targets.select("tid", place(F.col("tid")).alias("place")), "place").join(true, ["qid", "tid"], "left_anti")
-    kinds = {"true_positive": top(true, ["tid"], 2), "hard_negative": top(wrong, ["best_rank", "tid"], 2), "random_negative": top(near, [F.xxhash64("qid", "tid"), "tid"], 1)}
+    n = F.lit(max(targets.count(), 1))
+    tries = queries.select("qid", F.explode(F.sequence(F.lit(0), F.lit(TRIES - 1))).alias("try")).withColumn("place", F.pmod(F.xxhash64(F.lit(seed), "qid", "try"), n))
+    near = tries.join(targets.select("tid", F.pmod(F.xxhash64("tid"), n).alias("place")), "place").join(true, ["qid", "tid"], "left_anti")
+    kinds = {"true_positive": top(true, ["tid"], 2), "hard_negative": top(wrong, ["best_rank", "tid"], 2), "random_negative": top(near, ["try", "tid"], 1)}
     out = None
     for kind, rows in kinds.items():
         rows = rows.withColumn("sample_type", F.lit(kind))
@@ -118,6 +163,17 @@ def pair_samples(queries: DataFrame, links: DataFrame, candidates: DataFrame, ta
     return out
 
 
-def first_rows(rows: DataFrame, order: str, n: int) -> DataFrame:
-    """A prefix of the ordered rows, as a report over the first n has it."""
-    return rows.orderBy(order).limit(n)
+def cardinality_histogram(queries: DataFrame, links: DataFrame) -> DataFrame:
+    """n_matches, n_queries: how many queries have how many links (A20); links (qid, tid)."""
+    per_query = queries.select("qid").join(links.select("qid", "tid").distinct().groupBy("qid").agg(F.count(F.lit(1)).alias("n")), "qid", "left")
+    return per_query.groupBy(F.coalesce("n", F.lit(0)).cast("long").alias("n_matches")).agg(F.count(F.lit(1)).alias("n_queries"))
+
+
+def first_rows(rows: DataFrame, n: int, file: str = "file", place: str = "n") -> DataFrame:
+    """The first n rows of each file, by their place in it, as a report over a file's head has it.
+
+    At most n places are kept of each part of a file before they are ranked, so no file is ranked as a whole.
+    """
+    parted = Window.partitionBy(file, F.shiftright(F.col(place), 16)).orderBy(place)
+    few = rows.withColumn("_r", F.row_number().over(parted)).filter(F.col("_r") <= n)
+    return few.withColumn("_r", F.row_number().over(Window.partitionBy(file).orderBy(place))).filter(F.col("_r") <= n).drop("_r")

@@ -1,26 +1,47 @@
-"""Top-k text retrieval joins: TF-IDF cosine and BM25 as term equi-joins, partial sums and window ranks.
+"""Top-k text retrieval as a blocked product: TF-IDF cosine and BM25 of stated queries against all targets.
 
-Rows with equal texts have equal scores, so all scoring is done on distinct texts. A distinct text stands
-for its rows by its smallest row id; the k best distinct texts by (score, that id) hold the k best rows, so
-only they are expanded again, each to its k smallest row ids. A corpus that repeats a few texts many times
-costs what its distinct texts cost, and no term's list is longer than the number of distinct texts.
+A query is a sparse vector over hashed terms, and so is a target's field; a score is their product. Queries
+are dealt into blocks of a counted number of vector entries. A block is sent to all tasks (its size is
+bounded by BLOCK_ENTRIES, whatever the number of queries), and each task multiplies its targets' vectors
+with it, some hundred queries at a time, and keeps the k best targets of each query. Only these, k rows a
+query and task, are shuffled to one last rank. So no term, however frequent, is a key of any shuffle, no pair
+of texts becomes a row, equal texts need no grouping, and the work is the same for a target wherever it lies.
 
-Scores are rounded to six places before they are ranked, so the order of sums cannot change a rank.
+What a TF-IDF channel must know beforehand, its vocabulary, is counted over all targets in one pass (tasks
+add up their own counts first) and has at most max_features terms. BM25 needs the document frequencies of a
+block's own terms only.
+
+Scores are rounded to six places before they are ranked, so the order of sums cannot change a rank. Ties go
+to the smaller target id.
+
+Defined cases: a null text is an empty one; an empty query text finds nothing; targets without a shared term
+are not found; an empty vocabulary leaves a channel without rows. Repeated rows of an id are each scored and
+ranked. Other columns are never read.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import first_tokens
+from ..functions.terms import Points, chunks, counted, phrases
+from ..functions.text import without_marks
+from ..sources.staging import append_stages, spread, stage
 
 PLACES = 6
 K1, B, IDF_FLOOR = 1.2, 0.75, 1e-6
 TOP_K, MAX_TOKENS = 20, 16
+MAX_FEATURES = 150_000
+#: Entries of query vectors and queries that are sent to the tasks at once: at most some 50 MB.
+BLOCK_ENTRIES, BLOCK_QUERIES = 1 << 22, 1 << 12
+#: Cells of the dense part of a block that a task multiplies with at a time, and entries of targets at a time.
+DENSE_CELLS, GATHERED = 1 << 22, 1 << 14
 
 
 # ---------------------------------------------------------------- terms
@@ -37,11 +58,6 @@ def char_ngrams(text: Column, low: int = 3, high: int = 5) -> Column:
     return F.flatten(F.transform(F.array_remove(F.split(text, " "), ""), of_word))
 
 
-def word_terms(text: Column) -> Column:
-    """Words of letters, digits and underscores (V3)."""
-    return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-
-
 def search_tokens(text: Column) -> Column:
     """Runs of letters and digits (V6)."""
     return F.array_remove(F.split(text, r"[^\p{L}\p{N}]+"), "")
@@ -49,188 +65,497 @@ def search_tokens(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Analyzer:
-    """How a text becomes terms."""
+    """How a text becomes weighted terms (V1, V2, V3). vocabulary_rows takes the vocabulary from a sample (Q3)."""
 
     kind: str = "char"
     low: int = 3
     high: int = 5
     sublinear: bool = True
     min_df: int = 2
-    max_features: int | None = None
+    max_features: int = MAX_FEATURES
     max_df: int | None = None
+    vocabulary_rows: int | None = None
 
-    def terms(self, text: Column) -> Column:
-        return char_ngrams(text, self.low, self.high) if self.kind == "char" else word_terms(text)
+    def terms(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Row and hash of each term (a word is a run of letters, digits and underscores)."""
+        points = Points(texts)
+        return points.grams(self.low, self.high) if self.kind == "char" else points.words("LN_")
 
 
 #: The retrieval channel, the word model of the features, and the oldest generation's channel.
 CHAR, WORD, LEGACY = Analyzer(), Analyzer(kind="word", sublinear=False), Analyzer(low=2, high=5, sublinear=False, min_df=1, max_features=200_000)
 
 
-# ---------------------------------------------------------------- distinct texts
-
-
-def distinct_texts(rows: DataFrame, id_col: str, *columns: str) -> DataFrame:
-    """Distinct values of columns among rows: text_id (smallest id of its rows), the columns, n_rows."""
-    return rows.groupBy(*columns).agg(F.min(id_col).alias("text_id"), F.count(F.lit(1)).alias("n_rows"))
-
-
-def expanded(top: DataFrame, queries: DataFrame, q_texts: DataFrame, targets: DataFrame, t_texts: DataFrame, columns: list[str], k: int) -> DataFrame:
-    """Best rows (qid, rid, score, rank) of best texts (q_text, t_text, score)."""
-    by_row = Window.partitionBy("text_id").orderBy("rid")
-    used = t_texts.join(top.select(F.col("t_text").alias("text_id")).distinct(), "text_id", "left_semi")
-    members = targets.join(used.select("text_id", *columns), columns).select("text_id", "rid")
-    members = members.withColumn("place", F.row_number().over(by_row)).filter(F.col("place") <= k).select(F.col("text_id").alias("t_text"), "rid")
-    best = Window.partitionBy("q_text").orderBy(F.desc("score"), "rid")
-    ranked = top.join(members, "t_text").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    owners = queries.join(q_texts.select(F.col("text_id").alias("q_text"), "text"), "text").select("qid", "q_text")
-    return ranked.join(owners, "q_text").select("qid", "rid", "score", F.col("rank").cast("long").alias("rank"))
-
-
-def _best_texts(scored: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("q_text").orderBy(F.desc("score"), "t_text")
-    return scored.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).drop("r")
-
-
-# ---------------------------------------------------------------- TF-IDF
+@dataclass(frozen=True)
+class Channel:
+    """One retriever over one field. BM25's tokens lose their diacritics if fold is set, as the oldest generation's did."""
+
+    name: str
+    field: str
+    kind: str
+    analyzer: Analyzer = CHAR
+    max_tokens: int = MAX_TOKENS
+    fold: bool = False
+
+
+@dataclass
+class Vocabulary:
+    """Sorted term hashes and their inverse document frequencies; at most max_features of them."""
+
+    analyzer: Analyzer
+    terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def vectors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, term (place in the vocabulary) and weight of the unit vectors, ordered by row."""
+        row, h = self.analyzer.terms(texts)
+        if not len(self.terms) or not len(row):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
+        known = self.terms[at] == h
+        key, tf = np.unique(row[known] * len(self.terms) + at[known], return_counts=True)
+        row, at = np.divmod(key, len(self.terms))
+        w = (1 + np.log(tf) if self.analyzer.sublinear else tf.astype(float)) * self.idf[at]
+        norm = np.sqrt(np.bincount(row, w * w, len(texts)))
+        return row, at, w / norm[row]
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return [x or "" for x in column.to_pylist()]
+
+
+def vocabularies(rows: DataFrame, wanted: dict[str, tuple[str, Analyzer]]) -> dict[str, Vocabulary]:
+    """The vocabulary of each wanted name: (field of rows, analyzer), all counted in one pass over rows."""
+    names = list(wanted)
+    fields = list(dict.fromkeys(f for f, _ in wanted.values()))
+    limits = {a.vocabulary_rows for _, a in wanted.values()} - {None}
+    if len(limits) > 1:
+        raise ValueError("one sample of rows serves all vocabularies")
+    if limits:
+        rows = rows.withColumn("_order", F.xxhash64(F.lit(42), *fields)).orderBy("_order", *fields).limit(limits.pop())
+    places = [(fields.index(f), a) for f, a in wanted.values()]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [[np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)] for _ in places]
+        n = 0
+
+        def out(k: int) -> pa.RecordBatch:
+            h, df, cf = kept[k]
+            kept[k] = [h[:0], df[:0], cf[:0]]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k, np.int32)), pa.array(h.view(np.int64)), pa.array(df), pa.array(cf)], names=["channel", "term", "df", "cf"])
+
+        for batch in batches:
+            n += batch.num_rows
+            texts = [_strings(c) for c in batch.columns]
+            for k, (place, analyzer) in enumerate(places):
+                for first, end in chunks(texts[place]):
+                    _, term, tf = counted(*analyzer.terms(texts[place][first:end]))
+                    both = np.concatenate([kept[k][0], term])
+                    h, inverse = np.unique(both, return_inverse=True)
+                    df = np.bincount(inverse, np.concatenate([kept[k][1], np.ones(len(term), np.int64)]), len(h)).astype(np.int64)
+                    kept[k] = [h, df, np.bincount(inverse, np.concatenate([kept[k][2], tf]), len(h)).astype(np.int64)]
+                    if len(h) > 1 << 20:
+                        yield out(k)
+        for k in range(len(places)):
+            yield out(k)
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([n], pa.int64()), pa.array([0], pa.int64())], names=["channel", "term", "df", "cf"])
+
+    counts = spread(rows.select(*fields)).mapInArrow(count, "channel int, term long, df long, cf long")
+    counts = stage(counts.groupBy("channel", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")), "term-counts")
+    n_rows = counts.filter("channel = -1").agg(F.sum("df")).first()[0] or 0
+    out = {}
+    for k, (name, (_, a)) in enumerate(wanted.items()):
+        df = counts.filter((F.col("channel") == k) & (F.col("df") >= a.min_df))
+        if a.max_df is not None:
+            df = df.filter(F.col("df") <= a.max_df)
+        table = df.orderBy(F.desc("cf"), "term").limit(a.max_features).select("term", "df").toArrow()  # at most max_features rows
+        terms = table.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(terms)
+        out[name] = Vocabulary(a, terms[order], np.log((1 + n_rows) / (1 + table.column("df").to_numpy()[order])) + 1)
+    assert list(out) == names
+    return out
 
 
-def document_frequencies(postings: DataFrame, n_rows: Column | int, analyzer: Analyzer) -> DataFrame:
-    """term and idf of the vocabulary; postings (term, tf, n_rows) of distinct texts, weighted by their rows."""
-    df = postings.groupBy("term").agg(F.sum("n_rows").alias("df"), F.sum(F.col("tf") * F.col("n_rows")).alias("cf"))
-    df = df.filter(F.col("df") >= analyzer.min_df)
-    if analyzer.max_df is not None:
-        df = df.filter(F.col("df") <= analyzer.max_df)
-    if analyzer.max_features is not None:
-        df = df.orderBy(F.desc("cf"), "term").limit(analyzer.max_features)
-    return df.select("term", (F.log((1 + n_rows) / (1 + F.col("df"))) + 1).alias("idf"))
+# ---------------------------------------------------------------- query vectors
 
 
-def postings_of(texts: DataFrame, analyzer: Analyzer) -> DataFrame:
-    """text_id, term, tf, n_rows."""
-    terms = texts.select("text_id", "n_rows", F.explode(analyzer.terms(F.col("text"))).alias("term"))
-    return terms.groupBy("text_id", "n_rows", "term").agg(F.count(F.lit(1)).alias("tf"))
+def query_phrases(text: str, max_tokens: int) -> list[list[str]]:
+    """The first max_tokens distinct words of a query, each as its tokens: a word of several tokens is a phrase."""
+    out = []
+    for word in list(dict.fromkeys(text.split()))[:max_tokens]:
+        points = Points([word])
+        starts, ends = points.runs(_search_letters())
+        if len(starts):
+            out.append([word[s - 1 : e - 1] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
+    return out
 
 
-def weighted(postings: DataFrame, vocabulary: DataFrame, analyzer: Analyzer) -> DataFrame:
-    """text_id, term and the weight of a unit vector (V2)."""
-    tf = 1 + F.log("tf") if analyzer.sublinear else F.col("tf").cast("double")
-    raw = postings.join(vocabulary, "term").select("text_id", "term", (tf * F.col("idf")).alias("w"))
-    norms = raw.groupBy("text_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, "text_id").select("text_id", "term", (F.col("w") / F.col("norm")).alias("w"))
+def _search_letters() -> np.ndarray:
+    from ..functions.terms import letters
+
+    return letters("LN")
+
+
+def _folded(channel: Channel, texts: list[str]) -> list[str]:
+    return [without_marks(x) for x in texts] if channel.fold else texts
+
+
+def _query_terms(channel: Channel, vocabulary: Vocabulary | None, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, term and weight of the queries. A BM25 term is a phrase's hash, its weight the phrase's length."""
+    if channel.kind == "tfidf":
+        row, at, w = vocabulary.vectors(texts)
+        return row, vocabulary.terms[at] if len(at) else np.zeros(0, np.uint64), w
+    found = [(k, phrase) for k, x in enumerate(_folded(channel, texts)) for phrase in query_phrases(x, channel.max_tokens)]
+    row, words = Points([" ".join(phrase) for _, phrase in found]).words("LN") if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    size = np.bincount(row, minlength=len(found)).astype(np.int64) if found else np.zeros(0, np.int64)
+    h = np.zeros(len(found), np.uint64)
+    at = np.concatenate([[0], np.cumsum(size)])
+    for length in np.unique(size).tolist():
+        pick = np.flatnonzero(size == length)
+        for k in pick.tolist():
+            h[k] = phrases(np.zeros(length, np.int64), words[at[k] : at[k] + length], length)[1][0]
+    owner = np.array([k for k, _ in found], np.int64)
+    # Two phrases of a query with one hash are one term.
+    _, first = np.unique(np.column_stack([owner.astype(np.uint64), h]), axis=0, return_index=True) if len(h) else (None, np.zeros(0, np.int64))
+    first.sort()
+    return owner[first], h[first], size[first].astype(float)
+
+
+def _query_vectors(queries: DataFrame, channels: list[Channel], vocabulary: dict[str, Vocabulary]) -> DataFrame:
+    """qid, channel, terms, weights (both as bytes) and their number, a row per query and channel that has any."""
+    kind = dict(queries.dtypes)["qid"]
+    fields = list(dict.fromkeys(c.field for c in channels))
+    shared = queries.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            texts = {f: _strings(batch.column(1 + k)) for k, f in enumerate(fields)}
+            for number, channel in enumerate(channels):
+                for first, end in chunks(texts[channel.field]):
+                    row, term, w = _query_terms(channel, shared.value.get(channel.name), texts[channel.field][first:end])
+                    has, start, size = np.unique(row, return_index=True, return_counts=True)
+                    parts = [(term[a : a + n].tobytes(), w[a : a + n].tobytes()) for a, n in zip(start, size, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(has + first)), pa.array(np.full(len(has), number, np.int32)), pa.array([t for t, _ in parts], pa.binary()), pa.array([v for _, v in parts], pa.binary()), pa.array(size.astype(np.int64))],
+                        names=["qid", "channel", "terms", "weights", "size"],
+                    )
+
+    rows = spread(queries.select("qid", *fields)).mapInArrow(run, f"qid {kind}, channel int, terms binary, weights binary, size long")
+    return stage(rows, "query-vectors")
+
+
+# ---------------------------------------------------------------- the product
+
+
+class Block:
+    """The vectors of some queries of one channel."""
+
+    def __init__(self, channel: Channel, ids: list, terms: list[np.ndarray], weights: list[np.ndarray]):
+        self.channel, self.ids = channel, ids
+        owner = np.repeat(np.arange(len(ids)), [len(x) for x in terms])
+        self.terms, at = np.unique(np.concatenate(terms), return_inverse=True)
+        self.parts = []
+        values = np.concatenate(weights)
+        # Queries that are multiplied with together, so that terms * queries stays within DENSE_CELLS.
+        first = 0
+        while first < len(ids):
+            end = first + 1
+            width = max(1, min(256, DENSE_CELLS // max(len(self.terms), 1)))
+            end = min(len(ids), first + width)
+            low, high = np.searchsorted(owner, [first, end])
+            own, place = np.unique(at[low:high], return_inverse=True)
+            self.parts.append((first, end, own, place, owner[low:high] - first, values[low:high]))
+            first = end
+
+    def set_weights(self, by_term: np.ndarray) -> None:
+        """BM25: every query's weight of a term is the term's."""
+        self.parts = [(a, b, own, place, col, by_term[own[place]]) for a, b, own, place, col, _ in self.parts]
+
+
+class Best:
+    """The k best targets of each query of a block so far, by falling score and rising id."""
+
+    def __init__(self, n: int, k: int):
+        self.n, self.k = n, k
+        self.query, self.score, self.target = np.zeros(0, np.int64), np.zeros(0), None
+        self.least = np.zeros(n)
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.pending = 0
+
+    def add(self, query: np.ndarray, score: np.ndarray, target: np.ndarray) -> None:
+        self.waiting.append((query, score, target))
+        self.pending += len(query)
+        if self.pending > 4 * self.n * self.k:
+            self.settle()
+
+    def settle(self) -> None:
+        if not self.waiting:
+            return
+        parts = self.waiting if self.target is None else [(self.query, self.score, self.target), *self.waiting]
+        query, score, target = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((target, -score, query))
+        query, score, target = query[order], score[order], target[order]
+        begin = np.searchsorted(query, np.arange(self.n))
+        rank = np.arange(len(query)) - begin[query]
+        keep = rank < self.k
+        last = rank == self.k - 1
+        self.least[query[last]] = score[last]
+        self.query, self.score, self.target = query[keep], score[keep], target[keep]
+        self.waiting, self.pending = [], 0
+
+
+def _product(block: Block, row: np.ndarray, term: np.ndarray, w: np.ndarray, ids: np.ndarray, best: Best) -> None:
+    """Multiplies target vectors (row, place among the block's terms, weight; ordered by row) with the block."""
+    if not len(row):
+        return
+    n = int(row[-1]) + 1
+    place = np.full(len(block.terms), -1, np.int32)
+    for first, end, own, at, column, values in block.parts:
+        place[:] = -1
+        place[own] = np.arange(len(own))
+        dense = np.zeros((len(own), end - first))
+        dense[at, column] = values
+        local = place[term]
+        used = np.flatnonzero(local >= 0)
+        r, p, v = row[used], local[used], w[used]
+        scores = np.zeros((n, end - first))
+        for low in range(0, len(used), GATHERED):
+            high = min(low + GATHERED, len(used))
+            gathered = dense[p[low:high]]
+            gathered *= v[low:high, None]
+            some = r[low:high]
+            starts = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
+            scores[some[starts]] += np.add.reduceat(gathered, starts, axis=0)
+        np.round(scores, PLACES, out=scores)
+        hit = (scores > 0) & (scores >= best.least[first:end])
+        t, q = np.nonzero(hit)
+        if len(t):
+            best.add(q + first, scores[t, q], ids[t])
+
+
+def _ids(column: pa.Array) -> np.ndarray:
+    return np.array(column.to_pylist()) if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else column.to_numpy(zero_copy_only=False)
+
+
+def _phrase_counts(block: Block, lengths: list[int], texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place among the block's terms, and frequency of the block's phrases in the texts."""
+    row, words = Points(_folded(block.channel, texts)).words("LN")
+    rows, places = [], []
+    for length in lengths:
+        r, h = phrases(row, words, length)
+        at = np.minimum(np.searchsorted(block.terms, h), len(block.terms) - 1)
+        known = block.terms[at] == h
+        rows.append(r[known])
+        places.append(at[known])
+    key, f = np.unique(np.concatenate(rows) * len(block.terms) + np.concatenate(places), return_counts=True)
+    row, at = np.divmod(key, len(block.terms))
+    return row, at, f
+
+
+def _frequencies(targets: DataFrame, blocks: list[tuple[Block, list[int]]], fields: list[str]) -> None:
+    """Sets the BM25 weights of the blocks: inverse document frequencies of their own phrases."""
+    shared = targets.sparkSession.sparkContext.broadcast(blocks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, n = [np.zeros(len(b.terms), np.int64) for b, _ in shared.value], 0
+        for batch in batches:
+            n += batch.num_rows
+            for k, (block, lengths) in enumerate(shared.value):
+                texts = _strings(batch.column(fields.index(block.channel.field)))
+                for first, end in chunks(texts):
+                    _, at, _ = _phrase_counts(block, lengths, texts[first:end])
+                    counts[k] += np.bincount(at, minlength=len(block.terms))
+        for k, c in enumerate([np.array([n]), *counts]):
+            at = np.flatnonzero(c)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int64)), pa.array(c[at].astype(np.int64))], names=["block", "place", "df"])
+
+    counts = targets.select(*fields).mapInArrow(run, "block int, place long, df long").groupBy("block", "place").agg(F.sum("df").alias("df")).toArrow()  # one row a term of the blocks
+    number, place, df = (counts.column(c).to_numpy() for c in ("block", "place", "df"))
+    n = int(df[number == 0].sum())
+    for k, (block, _) in enumerate(blocks):
+        own = number == k + 1
+        total = np.zeros(len(block.terms))
+        total[place[own]] = df[own]
+        block.set_weights(np.maximum(np.log((n - total + 0.5) / (total + 0.5)), IDF_FLOOR))
+    shared.unpersist()
+
+
+def search(queries: DataFrame, targets: DataFrame, channels: list[Channel], k: int = TOP_K, block_entries: int = BLOCK_ENTRIES, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+    """qid, rid, channel, score, rank: the k best targets of each query in each channel.
+
+    queries: qid and the channels' fields. targets: rid, the fields, and row_size (number of tokens of all
+    indexed fields) if a channel is BM25, whose scores are negative.
+    """
+    spark = queries.sparkSession
+    fields = list(dict.fromkeys(c.field for c in channels))
+    has_bm25 = any(c.kind == "bm25" for c in channels)
+    targets = spread(targets.select("rid", *fields, *(["row_size"] if has_bm25 else [])))
+    vocabulary = vocabularies(targets, {c.name: (c.field, c.analyzer) for c in channels if c.kind == "tfidf"}) if any(c.kind == "tfidf" for c in channels) else {}
+    vectors = _query_vectors(queries, channels, vocabulary)
+    mean = float(targets.agg(F.avg("row_size")).first()[0] or 1.0) if has_bm25 else 1.0
+    total = vectors.agg(F.sum("size").alias("entries"), F.approx_count_distinct("qid").alias("queries")).first()
+    n_blocks = max(1, -(-(total.entries or 0) // block_entries), -(-(total.queries or 0) // block_queries))
+    kinds = {c: dict(df.dtypes)[c] for df, c in ((queries, "qid"), (targets, "rid"))}
+    schema = f"qid {kinds['qid']}, rid {kinds['rid']}, channel int, score double"
+    words = spark.sparkContext.broadcast(vocabulary)
+
+    def scored(number: int) -> DataFrame:
+        part = vectors.filter(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == number).toArrow()  # about block_entries entries
+        blocks: list[tuple[int, Block, list[int]]] = []
+        channel = part.column("channel").to_numpy()
+        for c in range(len(channels)):
+            rows = part.filter(pa.array(channel == c))
+            if rows.num_rows:
+                terms = [np.frombuffer(x, np.uint64) for x in rows.column("terms").to_pylist()]
+                weights = [np.frombuffer(x) for x in rows.column("weights").to_pylist()]
+                lengths = np.unique(np.concatenate(weights)).astype(int).tolist() if channels[c].kind == "bm25" else []
+                blocks.append((c, Block(channels[c], rows.column("qid").to_pylist(), terms, weights), lengths))
+        if bm25 := [(b, lengths) for _, b, lengths in blocks if b.channel.kind == "bm25"]:
+            _frequencies(targets, bm25, fields)
+        shared = spark.sparkContext.broadcast(blocks)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, mine = words.value, shared.value
+            best = [Best(len(b.ids), k) for _, b, _ in mine]
+            for batch in batches:
+                ids = _ids(batch.column(0))
+                sizes = batch.column(len(fields) + 1).to_numpy(zero_copy_only=False).astype(float) if has_bm25 else None
+                texts = {f: _strings(batch.column(1 + at)) for at, f in enumerate(fields)}
+                for (_, block, lengths), top in zip(mine, best, strict=True):
+                    own = texts[block.channel.field]
+                    for first, end in chunks(own):
+                        if block.channel.kind == "bm25":
+                            row, at, f = _phrase_counts(block, lengths, own[first:end])
+                            w = f * (K1 + 1) / (f + K1 * (1 - B + B * sizes[first:end][row] / mean))
+                        else:
+                            v = known[block.channel.name]
+                            row, at, w = v.vectors(own[first:end])
+                            if len(row):
+                                h = v.terms[at]
+                                at = np.minimum(np.searchsorted(block.terms, h), len(block.terms) - 1)
+                                shared_terms = block.terms[at] == h
+                                row, at, w = row[shared_terms], at[shared_terms], w[shared_terms]
+                        _product(block, row, at, w, ids[first:end], top)
+            for (number, block, _), top in zip(mine, best, strict=True):
+                top.settle()
+                if top.target is not None:
+                    score = -top.score if block.channel.kind == "bm25" else top.score
+                    columns = [pa.array([block.ids[q] for q in top.query.tolist()]), pa.array(top.target), pa.array(np.full(len(score), number, np.int32)), pa.array(score)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["qid", "rid", "channel", "score"])
+
+        return targets.mapInArrow(run, schema)
+
+    found = append_stages(spark, (scored(number) for number in range(n_blocks)), "channel-bests", schema)
+    best = Window.partitionBy("channel", "qid").orderBy(F.desc(F.abs("score")), "rid")
+    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    name = F.get(F.array(*(F.lit(c.name) for c in channels)), F.col("channel"))
+    return ranked.select("qid", "rid", name.alias("channel"), "score", F.col("rank").cast("long").alias("rank"))
+
+
+# ---------------------------------------------------------------- one channel, and all of them
 
 
 def tfidf_topk(queries: DataFrame, targets: DataFrame, k: int = TOP_K, analyzer: Analyzer = CHAR) -> DataFrame:
     """queries (qid, text), targets (rid, text): the k most similar targets of each query by cosine."""
-    queries, targets = queries.filter("text <> ''"), targets.select("rid", F.coalesce("text", F.lit("")).alias("text"))
-    q_texts, t_texts = distinct_texts(queries, "qid", "text"), distinct_texts(targets, "rid", "text")
-    n_rows = targets.count()
-    t_post = postings_of(t_texts, analyzer)
-    vocabulary = document_frequencies(t_post, F.lit(n_rows), analyzer)
-    t_vec, q_vec = weighted(t_post, vocabulary, analyzer), weighted(postings_of(q_texts, analyzer), vocabulary, analyzer)
-    pairs = q_vec.select(F.col("text_id").alias("q_text"), "term", F.col("w").alias("wq")).join(t_vec.select(F.col("text_id").alias("t_text"), "term", F.col("w").alias("wt")), "term")
-    scored = pairs.groupBy("q_text", "t_text").agg(F.round(F.sum(F.col("wq") * F.col("wt")), PLACES).alias("score")).filter("score > 0")
-    return expanded(_best_texts(scored, k), queries, q_texts, targets, t_texts, ["text"], k)
+    return search(queries, targets, [Channel("tfidf_text", "text", "tfidf", analyzer)], k).drop("channel")
 
 
-def tfidf_cosine(pairs: DataFrame, targets: DataFrame, analyzer: Analyzer = CHAR) -> DataFrame:
-    """pairs (a, b texts): their cosine under the targets' vocabulary, 0 where nothing is shared."""
-    texts = distinct_texts(targets, "rid", "text")
-    vocabulary = document_frequencies(postings_of(texts, analyzer), F.lit(targets.count()), analyzer)
-    pairs = pairs.select("a", "b").distinct()
-    both = pairs.select(F.col("a").alias("text")).union(pairs.select("b")).distinct().select("text", F.col("text").alias("text_id"), F.lit(1).alias("n_rows"))
-    vec = weighted(postings_of(both, analyzer), vocabulary, analyzer)
-    left = pairs.join(vec.select(F.col("text_id").alias("a"), "term", F.col("w").alias("wa")), "a")
-    shared = left.join(vec.select(F.col("text_id").alias("b"), "term", F.col("w").alias("wb")), ["b", "term"])
-    sums = shared.groupBy("a", "b").agg(F.round(F.sum(F.col("wa") * F.col("wb")), PLACES).alias("cosine"))
-    return pairs.join(sums, ["a", "b"], "left").select("a", "b", F.coalesce("cosine", F.lit(0.0)).alias("cosine"))
-
-
-# ---------------------------------------------------------------- BM25
-
-
-def bm25_topk(queries: DataFrame, targets: DataFrame, k: int = TOP_K, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def bm25_topk(queries: DataFrame, targets: DataFrame, k: int = TOP_K, max_tokens: int = MAX_TOKENS, fold: bool = False) -> DataFrame:
     """queries (qid, text), targets (rid, text, row_size): the k best targets by BM25, whose scores are negative.
 
     row_size is the number of tokens of all indexed fields of the row; frequencies are the field's own (V5).
     """
-    queries, targets = queries.filter("text <> ''"), targets.select("rid", F.coalesce("text", F.lit("")).alias("text"), "row_size")
-    q_texts, t_texts = distinct_texts(queries, "qid", "text"), distinct_texts(targets, "rid", "text", "row_size")
-    total = targets.agg(F.count(F.lit(1)).alias("n"), F.avg("row_size").alias("d")).first()
-    n, mean = total["n"], total["d"] or 1.0
-    post = t_texts.select("text_id", "row_size", "n_rows", F.explode(search_tokens(F.col("text"))).alias("tok")).groupBy("text_id", "row_size", "n_rows", "tok").agg(F.count(F.lit(1)).alias("f"))
-    df = post.groupBy("tok").agg(F.sum("n_rows").alias("df"))
-    idf = df.select("tok", F.greatest(F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(IDF_FLOOR)).alias("idf"))
-    q_terms = q_texts.select(F.col("text_id").alias("q_text"), F.explode(first_tokens(F.array_join(search_tokens(F.col("text")), " "), max_tokens)).alias("tok"))
-    part = F.col("idf") * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("row_size") / F.lit(mean)))
-    scored = q_terms.join(idf, "tok").join(post, "tok").groupBy("q_text", F.col("text_id").alias("t_text")).agg(F.round(F.sum(part), PLACES).alias("score"))
-    best = expanded(_best_texts(scored, k), queries, q_texts, targets, t_texts, ["text", "row_size"], k)
-    return best.withColumn("score", -F.col("score"))
-
-
-def fields_long(rows: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
-    """id, field, text, row_size of wide rows."""
-    sizes = sum((F.size(search_tokens(F.coalesce(F.col(f), F.lit("")))) for f in fields), F.lit(0))
-    each = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.coalesce(F.col(f), F.lit("")).alias("text")) for f in fields)))
-    return rows.select(id_col, sizes.alias("row_size"), each.alias("x")).select(id_col, "x.field", "x.text", "row_size")
+    return search(queries, targets, [Channel("bm25_text", "text", "bm25", max_tokens=max_tokens, fold=fold)], k).drop("channel")
+
+
+def sized(targets: DataFrame, fields: list[str]) -> DataFrame:
+    """rid, the fields and row_size, written once, as all channels need it."""
+    size = sum((F.size(search_tokens(F.coalesce(F.col(f), F.lit("")))) for f in fields), F.lit(0))
+    return stage(spread(targets.select("rid", *fields)).withColumn("row_size", size), "sized")
 
 
 def bm25_union(queries: DataFrame, targets: DataFrame, fields: list[str], k: int = TOP_K) -> DataFrame:
-    """Distinct (qid, rid) that any field's BM25 list has."""
-    return _union([bm25_topk(q, t, k) for q, t in _per_field(queries, targets, fields)])
+    """Distinct (qid, rid) that any field's BM25 list has."""
+    return search(queries, sized(targets, fields), [Channel(f"bm25_{f}", f, "bm25") for f in fields], k).select("qid", "rid").distinct()
 
 
 def tfidf_union(queries: DataFrame, targets: DataFrame, fields: list[str], k: int = TOP_K, analyzer: Analyzer = LEGACY) -> DataFrame:
-    return _union([tfidf_topk(q, t, k, analyzer) for q, t in _per_field(queries, targets, fields)])
+    return search(queries, targets, [Channel(f"tfidf_{f}", f, "tfidf", analyzer) for f in fields], k).select("qid", "rid").distinct()
 
 
-def _union(lists: list[DataFrame]) -> DataFrame:
-    out = lists[0].select("qid", "rid")
-    for x in lists[1:]:
-        out = out.unionByName(x.select("qid", "rid"))
-    return out.distinct()
+def channels(queries: DataFrame, targets: DataFrame, fields: list[str], k: int = TOP_K, analyzer: Analyzer = CHAR, max_tokens: int = MAX_TOKENS) -> DataFrame:
+    """qid, rid, channel, score, rank of every retriever and field."""
+    wanted = [Channel(f"{kind}_{f}", f, kind, analyzer, max_tokens) for f in fields for kind in ("tfidf", "bm25")]
+    return search(queries, sized(targets, fields), wanted, k)
 
 
-def _per_field(queries: DataFrame, targets: DataFrame, fields: list[str]):
-    q, t = fields_long(queries, "qid", fields), fields_long(targets, "rid", fields)
-    for f in fields:
-        yield q.filter(F.col("field") == f).select("qid", "text"), t.filter(F.col("field") == f).select("rid", "text", "row_size")
+def pair_cosines(pairs: DataFrame, wanted: dict[str, tuple[str, str, Vocabulary]]) -> DataFrame:
+    """pairs with a column per wanted name: the cosine of two text columns under a vocabulary, 0 where nothing is shared."""
+    shared = pairs.sparkSession.sparkContext.broadcast(wanted)
+    columns = list(dict.fromkeys(c for a, b, _ in wanted.values() for c in (a, b)))
+    plain = pairs.drop(*columns).columns
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields), *(f"`{name}` double" for name in wanted)])
 
+    def cosine(texts: list[str], other: list[str], vocabulary: Vocabulary) -> np.ndarray:
+        out = np.zeros(len(texts))
+        for first, end in chunks([a + b for a, b in zip(texts, other, strict=True)]):
+            n = len(vocabulary.terms) or 1
+            (ra, ta, wa), (rb, tb, wb) = vocabulary.vectors(texts[first:end]), vocabulary.vectors(other[first:end])
+            _, x, y = np.intersect1d(ra * n + ta, rb * n + tb, assume_unique=True, return_indices=True)
+            out[first:end] = np.bincount(ra[x], wa[x] * wb[y], end - first)
+        return np.round(out, PLACES)
 
-def channels(queries: DataFrame, targets: DataFrame, fields: list[str], k: int = TOP_K, analyzer: Analyzer = CHAR) -> DataFrame:
-    """qid, rid, channel, score, rank of every retriever and field."""
-    out = None
-    for f, (q, t) in zip(fields, _per_field(queries, targets, fields), strict=True):
-        for kind, found in (("tfidf", tfidf_topk(q, t, k, analyzer)), ("bm25", bm25_topk(q, t, k))):
-            found = found.withColumn("channel", F.lit(f"{kind}_{f}"))
-            out = found if out is None else out.unionByName(found)
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = {c: _strings(batch.column(c)) for c in columns}
+            found = [pa.array(cosine(texts[a], texts[b], v)) for a, b, v in shared.value.values()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, *shared.value])
 
+    assert set(plain) <= set(pairs.columns)
+    return pairs.mapInArrow(run, schema)
 
-def dense_topk(queries: DataFrame, targets: DataFrame, k: int = TOP_K, block: int = 2048) -> DataFrame:
-    """queries (qid, vec), targets (rid, vec): most similar vectors by cosine, block by block.
 
-    The stated queries go against all targets: each task multiplies blocks of its targets with all queries and
-    keeps k a query. The number of queries is bounded by the caller, as they are sent to every task.
-    """
-    import numpy as np
-    import pandas as pd
+def tfidf_cosine(pairs: DataFrame, targets: DataFrame, analyzer: Analyzer = CHAR) -> DataFrame:
+    """pairs (a, b and other columns) with their cosine under the vocabulary of targets (text)."""
+    vocabulary = vocabularies(targets, {"text": ("text", analyzer)})["text"]
+    return pair_cosines(pairs, {"cosine": ("a", "b", vocabulary)})
+
 
-    rows = queries.select("qid", "vec").orderBy("qid").collect()
-    ids = np.array([r.qid for r in rows], dtype=np.int64)
+# ---------------------------------------------------------------- dense vectors
+
+
+def dense_topk(queries: DataFrame, targets: DataFrame, k: int = TOP_K, block_queries: int = 4096, rows: int = 1024) -> DataFrame:
+    """queries (qid, vec), targets (rid, vec): most similar vectors by cosine, in blocks.
+
+    About block_queries queries are sent to the tasks at a time; each task multiplies rows of its targets with
+    them and keeps k a query.
+    """
+    spark = queries.sparkSession
+    n_blocks = max(1, -(-queries.count() // block_queries))
     unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
-    shared = queries.sparkSession.sparkContext.broadcast(unit(np.array([r.vec for r in rows], dtype=np.float64)) if rows else None)
-
-    def run(frames):
-        matrix = shared.value
-        for frame in frames:
-            for first in range(0, len(frame) if matrix is not None else 0, block):
-                part = frame.iloc[first : first + block]
-                score = np.round(matrix @ unit(np.stack(part["vec"].to_numpy()).astype(np.float64)).T, PLACES)
-                rid = part["rid"].to_numpy()
-                order = np.lexsort((np.broadcast_to(rid, score.shape), -score), axis=1)[:, :k]
-                yield pd.DataFrame({"qid": np.repeat(ids, order.shape[1]), "rid": rid[order].ravel(), "score": np.take_along_axis(score, order, 1).ravel()})
-
-    found = targets.select("rid", "vec").mapInPandas(run, "qid long, rid long, score double").filter("score > 0")
+    matrix = lambda column: column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    targets = spread(targets.select("rid", "vec"))
+
+    def scored(number: int) -> DataFrame:
+        part = queries.select("qid", "vec").filter(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == number).toArrow()  # about block_queries rows
+        ids = part.column("qid").to_numpy()
+        shared = spark.sparkContext.broadcast(unit(matrix(part.column("vec"))) if len(ids) else None)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = Best(len(ids), k)
+            for batch in batches:
+                for first in range(0, batch.num_rows if len(ids) else 0, rows):
+                    some = batch.slice(first, rows)
+                    score = np.round(unit(matrix(pa.chunked_array([some.column(1)]))) @ shared.value.T, PLACES)
+                    t, q = np.nonzero((score > 0) & (score >= best.least))
+                    best.add(q, score[t, q], some.column(0).to_numpy()[t])
+            best.settle()
+            if best.target is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(ids[best.query]), pa.array(best.target), pa.array(best.score)], names=["qid", "rid", "score"])
+
+        return targets.mapInArrow(run, "qid long, rid long, score double")
+
+    found = append_stages(spark, (scored(number) for number in range(n_blocks)), "dense-bests", "qid long, rid long, score double")
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "rid")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))

@@ -34,12 +34,26 @@ def jaccard(a: str, b: str) -> str:
 
 RECORDS = """rec AS (SELECT *, 'S' || source || '-' || doc_id AS entity_id FROM (
   SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 1 WHEN doc_id % 2 = 0 THEN 2 ELSE 3 END AS source,
-    substr(split_part(text, chr(10), 1), 1, 40) AS name, trim(substr(replace(text, chr(10), ' '), 41, 100), ' ') || ' ' || n_chars AS address, lang AS country, md5(text) AS digest FROM documents))"""
+    split_part(text, chr(10), 1) AS name, trim(replace(substr(text, length(split_part(text, chr(10), 1)) + 2), chr(10), ' '), ' ') || ' ' || n_chars AS address, lang AS country, md5(text) AS digest FROM documents))"""
 SIDES = f"""{RECORDS}, crec AS (SELECT doc_id, source, entity_id, {clean("name")} AS name, {clean("address")} AS address, country, digest FROM rec),
 q AS (SELECT doc_id AS qid, * FROM crec WHERE source = 1), t AS (SELECT doc_id AS rid, * FROM crec WHERE source > 1),
 links AS (SELECT qid, rid FROM q JOIN t USING (digest))"""
+SEARCH = f"""{RECORDS}, crec AS (SELECT doc_id, {clean("name")} AS name, {clean("address")} AS address FROM rec), q AS (SELECT doc_id AS qid, * FROM crec WHERE doc_id % 20 = 0), t AS (SELECT doc_id AS rid, * FROM crec)"""
+
+
+def latin(x: str) -> str:
+    """For the Latin letters of the documents."""
+    return f"lower(strip_accents(replace({x}, 'ß', 'ss')))"
+
+
+def normal(query: str, target: str) -> str:
+    """Normalised records with all four fields."""
+    return f"""{RECORDS}, nrec0 AS (SELECT doc_id, source, digest, {mapped(clean("name"), NAME_MAPPINGS)} AS name, {mapped(clean("address"), ADDRESS_MAPPINGS)} AS address FROM rec),
+nrec AS (SELECT *, {clean(latin("name"))} AS tname, {clean(latin("address"))} AS taddress FROM nrec0), q AS (SELECT doc_id AS qid, * FROM nrec WHERE {query}), t AS (SELECT doc_id AS rid, * FROM nrec WHERE {target}), links AS (SELECT qid, rid FROM q JOIN t USING (digest))"""
+
+
 PARTS = f"""names AS (SELECT p_partkey, {clean_ascii("p_name")} AS text FROM part),
-pq AS (SELECT p_partkey AS qid, text FROM names WHERE p_partkey % 50 = 0), pt AS (SELECT p_partkey AS rid, text, len({toks("text")}) AS row_size FROM names)"""
+pq AS (SELECT p_partkey AS qid, text FROM names WHERE p_partkey % 20 = 0), pt AS (SELECT p_partkey AS rid, text, len({toks("text")}) AS row_size FROM names)"""
 PAIRS = f"names AS (SELECT p_partkey, {clean_ascii('p_name')} AS text FROM part), pairs AS (SELECT x.p_partkey, x.text AS a, y.text AS b FROM names x JOIN names y ON y.p_partkey = x.p_partkey + 1)"
 
 
@@ -60,24 +74,32 @@ def grams(source: str, key: str, low: int, high: int) -> str:
     return f"SELECT {key}, substr(p, place, n) AS term FROM (SELECT {key}, p, n, unnest(range(1, greatest(l - n + 1, 1) + 1)) AS place FROM ({sized}))"
 
 
-def tfidf(p: str, q: str, t: str, kind: str = "char", low: int = 3, high: int = 5, sublinear: bool = True, min_df: int = 2, k: int = 20) -> str:
+def tfidf(p: str, q: str, t: str, kind: str = "char", low: int = 3, high: int = 5, sublinear: bool = True, min_df: int = 2, k: int = 20, max_features: int = 150_000) -> str:
     of = lambda source, key: grams(source, key, low, high) if kind == "char" else f"SELECT {key}, unnest({toks('text')}) AS term FROM {source}"
     tf = "(1 + ln(tf))" if sublinear else "tf"
     return f"""{p}_tg AS (SELECT rid, term, count(*) AS tf FROM ({of(t, "rid")}) GROUP BY ALL), {p}_qg AS (SELECT qid, term, count(*) AS tf FROM ({of(q, "qid")}) GROUP BY ALL),
-{p}_v AS (SELECT term, ln((1 + (SELECT count(*) FROM {t})) / (1 + count(*))) + 1 AS idf FROM {p}_tg GROUP BY term HAVING count(*) >= {min_df}),
+{p}_v AS (SELECT term, ln((1 + (SELECT count(*) FROM {t})) / (1 + count(*))) + 1 AS idf FROM {p}_tg GROUP BY term HAVING count(*) >= {min_df} ORDER BY sum(tf) DESC, term LIMIT {max_features}),
 {p}_tw AS (SELECT rid, term, {tf} * idf AS w FROM {p}_tg JOIN {p}_v USING (term)), {p}_qw AS (SELECT qid, term, {tf} * idf AS w FROM {p}_qg JOIN {p}_v USING (term)),
 {p}_tn AS (SELECT rid, sqrt(sum(w * w)) AS norm FROM {p}_tw GROUP BY rid), {p}_qn AS (SELECT qid, sqrt(sum(w * w)) AS norm FROM {p}_qw GROUP BY qid),
 {p}_sc AS (SELECT qid, rid, round(sum((a.w / x.norm) * (b.w / y.norm)), 6) AS s FROM {p}_qw a JOIN {p}_tw b USING (term) JOIN {p}_qn x USING (qid) JOIN {p}_tn y USING (rid) GROUP BY qid, rid),
 {p}_top AS (SELECT qid, rid, s AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC, rid) AS rank FROM {p}_sc WHERE s > 0) WHERE rank <= {k})"""
 
 
-def field_sides(field: str) -> str:
-    return f"q_{field} AS (SELECT qid, {field} AS text FROM q WHERE {field} <> ''), t_{field} AS (SELECT rid, {field} AS text, len({toks('name')}) + len({toks('address')}) AS row_size FROM t)"
+def field_sides(field: str, fields: tuple[str, ...] = ("name", "address")) -> str:
+    size = " + ".join(f"len({toks(f)})" for f in fields)
+    return f"q_{field} AS (SELECT qid, {field} AS text FROM q WHERE {field} <> ''), t_{field} AS (SELECT rid, {field} AS text, {size} AS row_size FROM t)"
+
 
+def channels(sides: str, fields: tuple[str, ...], k: int = 20) -> str:
+    """CTEs that end in ch (qid, rid, score, rank, channel)."""
+    parts = [x for f in fields for x in (field_sides(f, fields), bm25(f"b_{f}", f"q_{f}", f"t_{f}", k), tfidf(f"c_{f}", f"q_{f}", f"t_{f}", k=k))]
+    union = " UNION ALL ".join(f"SELECT *, '{kind}_{f}' AS channel FROM {p}_{f}_top" for f in fields for kind, p in (("bm25", "b"), ("tfidf", "c")))
+    return f"{sides}, {', '.join(parts)}, ch AS ({union})"
 
-CHANNELS = f"""{SIDES}, {field_sides("name")}, {field_sides("address")},
-{bm25("bn", "q_name", "t_name")}, {bm25("ba", "q_address", "t_address")}, {tfidf("cn", "q_name", "t_name")}, {tfidf("ca", "q_address", "t_address")},
-ch AS (SELECT *, 'bm25_name' AS channel FROM bn_top UNION ALL SELECT *, 'bm25_address' FROM ba_top UNION ALL SELECT *, 'tfidf_name' FROM cn_top UNION ALL SELECT *, 'tfidf_address' FROM ca_top)"""
+
+ALL_FIELDS = ("name", "address", "tname", "taddress")
+CHANNELS = channels(SEARCH, ("name", "address"))
+HYBRID = channels(normal("doc_id % 20 = 0", "true"), ALL_FIELDS)
 
 
 def fused(source: str) -> str:
@@ -89,11 +111,12 @@ def fused(source: str) -> str:
 SQL["bm25_topk"] = f"WITH {PARTS}, {bm25('x', 'pq', 'pt')} SELECT * FROM x_top"
 SQL["tfidf_char_topk"] = f"WITH {PARTS}, {tfidf('x', 'pq', 'pt')} SELECT * FROM x_top"
 SQL["tfidf_word_topk"] = f"WITH {PARTS}, {tfidf('x', 'pq', 'pt', 'word', sublinear=False)} SELECT * FROM x_top"
-SQL["tfidf_legacy_topk"] = f"WITH {PARTS}, {tfidf('x', 'pq', 'pt', low=2, sublinear=False, min_df=1)} SELECT * FROM x_top"
-SQL["bm25_topk_two_field"] = f"WITH {SIDES}, {field_sides('name')}, {field_sides('address')}, {bm25('bn', 'q_name', 't_name')}, {bm25('ba', 'q_address', 't_address')} SELECT qid, rid FROM bn_top UNION SELECT qid, rid FROM ba_top"
-SQL["hybrid_rrf_topk"] = f"WITH {CHANNELS} SELECT qid, rid, round(rrf, 8) AS rrf, n_channels, best_rank, global_rank FROM ({fused('ch')}) WHERE global_rank <= 20"
+SQL["tfidf_legacy_topk"] = f"WITH {PARTS}, {tfidf('x', 'pq', 'pt', low=2, sublinear=False, min_df=1, max_features=200_000)} SELECT * FROM x_top"
+SQL["bm25_topk_two_field"] = f"WITH {SEARCH}, {field_sides('name')}, {field_sides('address')}, {bm25('bn', 'q_name', 't_name')}, {bm25('ba', 'q_address', 't_address')} SELECT qid, rid FROM bn_top UNION SELECT qid, rid FROM ba_top"
+SQL["budget_recut"] = f"WITH {PARTS}, {bm25('b', 'pq', 'pt', 50)}, {tfidf('c', 'pq', 'pt', k=50)} SELECT qid, rid, 'bm25_text' AS channel, rank FROM b_top WHERE rank <= 10 UNION ALL SELECT qid, rid, 'tfidf_text', rank FROM c_top WHERE rank <= 20"
+SQL["hybrid_rrf_topk"] = f"WITH {HYBRID} SELECT qid, rid, round(rrf, 8) AS rrf, n_channels, best_rank, global_rank FROM ({fused('ch')}) WHERE global_rank <= 20"
 SQL["rrf_mode_subset"] = f"WITH {CHANNELS} SELECT qid, rid, round(rrf, 8) AS rrf, global_rank FROM ({fused('(SELECT * FROM ch WHERE channel LIKE $$tfidf%$$)')})"
-SQL["channel_scores"] = f"WITH {SIDES}, q_name AS (SELECT qid, name AS text FROM q WHERE name <> ''), t_name AS (SELECT rid, name AS text, len({toks('name')}) AS row_size FROM t), {bm25('bn', 'q_name', 't_name')}, {tfidf('cn', 'q_name', 't_name')} SELECT qid, rid, c.score AS tfidf, b.score AS bm25, (c.score IS NOT NULL)::BIGINT + (b.score IS NOT NULL)::BIGINT AS n_ranks FROM cn_top c FULL JOIN bn_top b USING (qid, rid)"
+SQL["channel_scores"] = f"WITH {SEARCH}, q_name AS (SELECT qid, name AS text FROM q WHERE name <> ''), t_name AS (SELECT rid, name AS text, len({toks('name')}) AS row_size FROM t), {bm25('bn', 'q_name', 't_name')}, {tfidf('cn', 'q_name', 't_name')} SELECT qid, rid, c.score AS tfidf, b.score AS bm25, (c.score IS NOT NULL)::BIGINT + (b.score IS NOT NULL)::BIGINT AS n_ranks FROM cn_top c FULL JOIN bn_top b USING (qid, rid)"
 SQL["tfidf_pair_cosine"] = f"WITH {PAIRS}, pt AS (SELECT p_partkey AS rid, text FROM names), pq AS (SELECT p_partkey AS qid, text FROM names), {tfidf('x', 'pq', 'pt')} SELECT p_partkey, round(coalesce(sum((a.w / m.norm) * (b.w / n.norm)), 0), 6) AS cosine FROM pairs LEFT JOIN x_qw a ON a.qid = p_partkey LEFT JOIN x_tw b ON b.rid = p_partkey + 1 AND b.term = a.term LEFT JOIN x_qn m ON m.qid = p_partkey LEFT JOIN x_tn n ON n.rid = p_partkey + 1 GROUP BY p_partkey"
 SQL["embedding_cosine_topk"] = "WITH s AS (SELECT a.vec_id AS qid, b.vec_id AS rid, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings a, embeddings b WHERE a.vec_id % 20 = 0) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, rid) AS rank FROM s WHERE score > 0) WHERE rank <= 20"
 
@@ -111,9 +134,23 @@ SQL["exact_unmatched"] = f"WITH {BLOCKED} SELECT qid FROM q WHERE qid NOT IN (SE
 SQL["clean_text"] = f"WITH {RECORDS} SELECT doc_id, {clean('name')} AS name, {clean('address')} AS address FROM rec"
 SQL["clean_ascii"] = "SELECT p_partkey, " + clean_ascii("p_name || ' & ' || p_type") + " AS text FROM part"
 SQL["normalize_legacy"] = f"WITH {RECORDS} SELECT doc_id, trim(regexp_replace(regexp_replace(replace(strip_accents(replace(lower(name), 'ß', 'ss')), '&', ' and '), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS name FROM rec"
-SQL["transliterated"] = f"WITH {RECORDS} SELECT doc_id, CASE WHEN regexp_matches(name, '[^\\x00-\\x7F]') THEN lower(strip_accents(replace(name, 'ß', 'ss'))) ELSE name END AS name FROM rec"
+SQL["transliterated"] = f"WITH {RECORDS} SELECT doc_id, {latin('name')} AS name FROM rec"
+# Greek v has no letter of its own; Hebrew stands in with other letters.
+SQL["transliterated_scripts"] = "WITH n AS (SELECT p_partkey, regexp_replace(p_name, '[^abdegiklmnoprstuv ]', '', 'g') AS name FROM part) SELECT p_partkey, name AS cyrillic, translate(name, 'v', 'b') AS greek, translate(name, 'eikou', 'ayqvb') AS hebrew FROM n"
 COMPANIES = """comp AS (SELECT c_custkey, lower(c_mktsegment) || ['', ' pvt ltd', ' inc', ' company', ' llc co', ' corporation limited', ' ltda'][c_custkey % 7 + 1] AS name,
 c_custkey || ' st mary rd apt ' || (c_nationkey * 997 + 10000) || CASE WHEN c_custkey % 3 = 0 THEN ' 12ab 7b' ELSE '' END || CASE WHEN c_custkey % 4 = 0 THEN ' hwy 123456' ELSE '' END AS address FROM customer)"""
+WORDS_OF_KEY = "array_to_string(list_transform(string_split(c_custkey::VARCHAR, ''), lambda c: ['Orchid', 'Maple', 'Falcon', 'Cedar', 'Lotus', 'Amber', 'River', 'Coral', 'Silver', 'Olive'][c::INT + 1]), ' ')"
+FIRMS = f"""firm0 AS (SELECT c_custkey, {WORDS_OF_KEY} AS w, c_custkey // 20 % 4 AS form, (c_nationkey * 997 + 10000)::VARCHAR AS zip, 'Nation ' || c_nationkey AS nation FROM customer),
+firm AS (SELECT c_custkey, w || ' Pvt Ltd' AS qn, CASE WHEN form = 1 THEN replace(w, ' ', '') ELSE w END || ' ' || ['', 'Ltd', 'Private Limited'][c_custkey % 3 + 1] AS tn, c_custkey || ' St Mary Rd, Apt ' || zip AS qa, CASE WHEN form = 2 THEN '9' || c_custkey || ' Market Ln' ELSE c_custkey || ' St. Mary Road ' || zip END AS ta, CASE WHEN form = 3 THEN '' ELSE nation END AS tc FROM firm0)"""
+
+
+def firm_fields(key: str, name: str, address: str) -> str:
+    return f"SELECT c_custkey AS {key}, {mapped(clean_ascii(name), NAME_MAPPINGS)} AS name, {mapped(clean_ascii(address), ADDRESS_MAPPINGS)} AS address FROM firm"
+
+
+FIRM_SIDES = f"{FIRMS}, q AS (SELECT *, name AS tname, address AS taddress FROM ({firm_fields('qid', 'qn', 'qa')}) WHERE qid % 20 = 0), t AS (SELECT *, name AS tname, address AS taddress FROM ({firm_fields('rid', 'tn', 'ta')}))"
+SQL["hybrid_companies_topk"] = f"WITH {channels(FIRM_SIDES, ALL_FIELDS)} SELECT qid, rid, round(rrf, 8) AS rrf, n_channels, best_rank, global_rank FROM ({fused('ch')}) WHERE global_rank <= 20"
+SQL["normalized_companies"] = f"WITH {FIRM_SIDES} SELECT rid, t.name AS name_norm, t.address AS address_norm, regexp_replace(t.name, '(?:(?:^| )(?:{'|'.join(SUFFIXES)}))+$', '') AS name_core, tname AS name_translit, taddress AS address_translit, {clean_ascii('tc')} AS country_norm, 'LATIN' AS script FROM t JOIN firm ON c_custkey = rid"
 SQL["token_mapping"] = f"WITH {COMPANIES} SELECT c_custkey, {mapped('name', NAME_MAPPINGS)} AS name, {mapped('address', ADDRESS_MAPPINGS)} AS address, {mapped('address', ADDRESS_MAPPINGS | STREET_MAPPING)} AS street FROM comp"
 SQL["suffix_strip"] = f"WITH {COMPANIES} SELECT c_custkey, regexp_replace({mapped('name', NAME_MAPPINGS)}, '(?:(?:^| )(?:{'|'.join(SUFFIXES)}))+$', '') AS core FROM comp"
 SQL["first_distinct_tokens"] = f"WITH {RECORDS}, c AS (SELECT doc_id, {toks(clean('address'))} AS w FROM rec), p AS (SELECT doc_id, unnest(w) AS tok, generate_subscripts(w, 1) AS pos FROM c), o AS (SELECT doc_id, tok, min(pos) AS pos FROM p GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS r FROM o) SELECT doc_id, coalesce(string_agg(tok, ' ' ORDER BY pos) FILTER (WHERE r <= 16), '') AS tokens FROM c LEFT JOIN r USING (doc_id) GROUP BY doc_id"
@@ -177,6 +214,7 @@ SQL["repeated_names"] = f"WITH {RECORDS} SELECT count(*) AS n_repeated FROM (SEL
 SQL["truth_cardinality"] = f"""WITH {RECORDS}, l AS (SELECT a.entity_id AS qid, b.entity_id AS tid FROM rec a JOIN rec b USING (digest) WHERE a.source = 1 AND b.source > 1),
 n AS (SELECT r.entity_id, count(tid) AS n, count(*) FILTER (WHERE tid LIKE 'S2-%') AS s2, count(*) FILTER (WHERE tid LIKE 'S3-%') AS s3 FROM rec r LEFT JOIN l ON l.qid = r.entity_id WHERE r.source = 1 GROUP BY 1)
 SELECT count(*) AS n_queries, round(100 * count(*) FILTER (WHERE n = 0) / count(*), 6) AS singleton_percentage, count(*) FILTER (WHERE n = 1) AS one_match, count(*) FILTER (WHERE n = 2) AS two_matches, count(*) FILTER (WHERE n >= 3) AS three_plus, sum(n)::BIGINT AS total_links, sum(s2)::BIGINT AS source2_links, sum(s3)::BIGINT AS source3_links, round(avg(n), 6) AS average_matches FROM n"""
+SQL["cardinality_histogram"] = f"WITH {RECORDS}, l AS (SELECT a.entity_id AS qid, b.entity_id AS tid FROM rec a JOIN rec b USING (digest) WHERE a.source = 1 AND b.source > 1), n AS (SELECT r.entity_id, count(tid) AS n_matches FROM rec r LEFT JOIN l ON l.qid = r.entity_id WHERE r.source = 1 GROUP BY 1) SELECT n_matches, count(*) AS n_queries FROM n GROUP BY 1"
 LEVENSHTEIN = "(CASE WHEN a <> '' AND b <> '' THEN 1 - levenshtein(a, b) / greatest(length(a), length(b)) ELSE 0.0 END)"
 SQL["feature_summary"] = f"WITH {PAIRS}, v AS (SELECT 'k' || p_partkey % 3 AS sample_type, {LEVENSHTEIN} AS levenshtein, {jaccard(toks('a'), toks('b'))} AS jaccard FROM pairs) " + " UNION ALL ".join(f"SELECT sample_type, '{k}' AS feature, round(avg({k}), 6) AS mean, round(quantile_cont({k}::DOUBLE, 0.5), 6) AS p50, round(quantile_cont({k}::DOUBLE, 0.95), 6) AS p95 FROM v GROUP BY sample_type" for k in ("levenshtein", "jaccard"))
 
@@ -189,9 +227,10 @@ SELECT tid, source, 'distractor' FROM (SELECT tid, source, row_number() OVER (PA
 COMPONENTS = """RECURSIVE e AS (SELECT DISTINCT doc_id AS qid, md5(split_part(text, chr(10), 1)) AS tid FROM documents UNION SELECT doc_id, md5(text) FROM documents),
 n AS (SELECT DISTINCT a.qid AS x, b.qid AS y FROM e a JOIN e b USING (tid)), reach AS (SELECT x, y FROM n UNION SELECT r.x, n.y FROM reach r JOIN n ON r.y = n.x),
 comp AS (SELECT x AS qid, min(y) AS component FROM reach GROUP BY x)"""
-PLACE = "(('0x' || substr(sha256('42:' || component), 1, 8))::BIGINT)"
 SQL["components"] = f"WITH {COMPONENTS} SELECT * FROM comp"
-SQL["grouped_split"] = f"WITH {COMPONENTS} SELECT qid, component, CASE WHEN {PLACE} / 4294967296.0 < 0.6 THEN 'train' WHEN {PLACE} / 4294967296.0 < 0.8 THEN 'calibration' ELSE 'holdout' END AS split FROM comp"
+SQL["components_of_sample"] = f"WITH {COMPONENTS.replace('e AS (', 'e AS (SELECT * FROM (').replace(' FROM documents),', ' FROM documents) WHERE qid % 20 = 0),')} SELECT * FROM comp"
+SQL["grouped_split"] = f"WITH {COMPONENTS}, g AS (SELECT component, row_number() OVER (ORDER BY sha256('42:' || component), component) AS place, count(*) OVER () AS n FROM (SELECT DISTINCT component FROM comp)), h AS (SELECT *, ceil(round(n * 0.4, 9)) AS rest FROM g) SELECT qid, component, CASE WHEN place <= n - rest THEN 'train' WHEN place <= n - ceil(rest / 2) THEN 'calibration' ELSE 'holdout' END AS split FROM comp JOIN h USING (component)"
+PLACE = "(('0x' || substr(sha256('42:' || component), 1, 8))::BIGINT)"
 SQL["grouped_folds"] = f"WITH {COMPONENTS} SELECT qid, component, {PLACE} % 5 AS fold FROM comp"
 
 # ---------------------------------------------------------------- similarities
@@ -224,13 +263,14 @@ steps AS (SELECT g.step, p.qid, p.n_true, count(c.rid) AS n_predicted, coalesce(
 trace AS (SELECT step, round(threshold, 6) AS threshold, round(avg({F_HALF}), 6) AS macro_f05 FROM steps JOIN grid USING (step) GROUP BY ALL)"""
 SQL["threshold_trace"] = f"WITH {TRACE} SELECT * FROM trace"
 SQL["threshold_search"] = f"WITH {TRACE} SELECT threshold, macro_f05 FROM trace ORDER BY macro_f05 DESC, threshold DESC LIMIT 1"
-HITS = "per_q AS (SELECT q.qid, count(l.rid) AS n_true, count(c.rid) AS n_found, {at} FROM q LEFT JOIN links l USING (qid) LEFT JOIN cand c ON c.qid = l.qid AND c.rid = l.rid GROUP BY q.qid)"
-SQL["recall_at_k"] = f"WITH {CANDIDATES}, {HITS.format(at=', '.join(f'count(*) FILTER (WHERE c.rank <= {k}) AS at_{k}' for k in (5, 10, 20, 30, 50)))} SELECT count(*) AS s1_count, round(sum(n_found) / nullif(sum(n_true), 0), 6) AS candidate_micro_recall, round(avg(CASE WHEN n_true > 0 THEN n_found / n_true END), 6) AS macro_coverage, " + ", ".join(f"round(sum(at_{k}) / nullif(sum(n_true), 0), 6) AS recall_at_{k}" for k in (5, 10, 20, 30, 50)) + " FROM per_q"
 SQL["candidate_sizes"] = f"WITH {CANDIDATES} SELECT round(avg(n_candidates), 6) AS average_candidates, round(quantile_cont(n_candidates::DOUBLE, 0.5), 6) AS median_candidates, round(quantile_cont(n_candidates::DOUBLE, 0.95), 6) AS p95_candidates, round(quantile_cont(n_candidates::DOUBLE, 0.99), 6) AS p99_candidates, sum(n_candidates)::BIGINT AS candidate_pairs, round(1 - avg(n_candidates) / (SELECT count(*) FROM t), 6) AS reduction_ratio FROM per"
-PILOT = f"{CANDIDATES}, caps AS (SELECT unnest([5, 20])::BIGINT AS k), pc AS (SELECT k, p.qid, p.n_true, count(c.rid) AS pairs, coalesce(sum(c.y), 0) AS found FROM caps CROSS JOIN per p LEFT JOIN y c ON c.qid = p.qid AND c.rank <= k GROUP BY ALL), pilot AS (SELECT k, round(sum(found) / nullif(sum(n_true), 0), 6) AS candidate_micro_recall, round(avg(CASE WHEN n_true > 0 THEN found / n_true END), 6) AS macro_coverage, count(*) FILTER (WHERE found > 0) AS query_hits, count(*) FILTER (WHERE n_true > 0) AS non_singletons, sum(pairs)::BIGINT AS candidate_pairs FROM pc GROUP BY k)"
+RETRIEVED = channels(normal("source = 1", "source > 1"), ALL_FIELDS, 50) + f", fused AS ({fused('ch')}), within AS (SELECT * FROM ch WHERE rank <= 20), cut AS ({fused('within')})"
+HITS = "per_q AS (SELECT q.qid, count(l.rid) AS n_true, count(c.rid) AS n_found, {at} FROM q LEFT JOIN links l USING (qid) LEFT JOIN fused c ON c.qid = l.qid AND c.rid = l.rid GROUP BY q.qid)"
+SQL["recall_at_k"] = f"WITH {RETRIEVED}, {HITS.format(at=', '.join(f'count(*) FILTER (WHERE c.global_rank <= {k}) AS at_{k}' for k in (5, 10, 20, 30, 50)))} SELECT count(*) AS s1_count, round(sum(n_found) / nullif(sum(n_true), 0), 6) AS candidate_micro_recall, round(avg(CASE WHEN n_true > 0 THEN n_found / n_true END), 6) AS macro_coverage, " + ", ".join(f"round(sum(at_{k}) / nullif(sum(n_true), 0), 6) AS recall_at_{k}" for k in (5, 10, 20, 30, 50)) + " FROM per_q"
+PILOT = f"{RETRIEVED}, cy AS (SELECT cut.*, (l.rid IS NOT NULL)::BIGINT AS y FROM cut LEFT JOIN links l USING (qid, rid)), nt AS (SELECT q.qid, count(l.rid) AS n_true FROM q LEFT JOIN links l USING (qid) GROUP BY q.qid), caps AS (SELECT unnest([20, 50])::BIGINT AS k), pc AS (SELECT k, p.qid, p.n_true, count(c.rid) AS pairs, coalesce(sum(c.y), 0) AS found FROM caps CROSS JOIN nt p LEFT JOIN cy c ON c.qid = p.qid AND c.global_rank <= k GROUP BY ALL), pilot AS (SELECT k, round(sum(found) / nullif(sum(n_true), 0), 6) AS candidate_micro_recall, round(avg(CASE WHEN n_true > 0 THEN found / n_true END), 6) AS macro_coverage, count(*) FILTER (WHERE found > 0) AS query_hits, count(*) FILTER (WHERE n_true > 0) AS non_singletons, sum(pairs)::BIGINT AS candidate_pairs FROM pc GROUP BY k)"
 SQL["cap_pilot"] = f"WITH {PILOT} SELECT * FROM pilot"
-SQL["cap_decision"] = f"WITH {PILOT}, r AS (SELECT max(candidate_micro_recall) FILTER (WHERE k = 5) AS low, max(candidate_micro_recall) FILTER (WHERE k = 20) AS high FROM pilot) SELECT CASE WHEN low IS NULL OR high IS NULL THEN 'run_k20' WHEN high < 0.93 THEN 'targeted_rescue_required' WHEN round(high - low, 9) >= 0.01 THEN 'consider_k50_only_if_gain_justifies_cost' ELSE 'select_k20' END AS decision FROM r"
-SQL["attribution"] = f"WITH {CHANNELS}, f AS (SELECT DISTINCT qid, rid, CASE WHEN channel LIKE 'tfidf%' THEN 'tfidf' ELSE 'bm25' END AS family FROM ch), p AS (SELECT l.qid, l.rid, count(family) AS n, min(family) AS family FROM links l LEFT JOIN f ON f.qid = l.qid AND f.rid = l.rid GROUP BY ALL) SELECT CASE n WHEN 0 THEN 'missed_all' WHEN 1 THEN 'only_' || family ELSE 'multiple_families' END AS attribution, count(*) AS n_links FROM p GROUP BY 1"
+SQL["cap_decision"] = f"WITH {PILOT}, r AS (SELECT max(candidate_micro_recall) FILTER (WHERE k = 20) AS low, max(candidate_micro_recall) FILTER (WHERE k = 50) AS high FROM pilot) SELECT CASE WHEN low IS NULL OR high IS NULL THEN 'run_k20' WHEN high < 0.93 THEN 'targeted_rescue_required' WHEN round(high - low, 9) >= 0.01 THEN 'consider_k50_only_if_gain_justifies_cost' ELSE 'select_k20' END AS decision FROM r"
+SQL["attribution"] = f"WITH {RETRIEVED}, f AS (SELECT DISTINCT qid, rid, CASE WHEN channel LIKE '%tname' OR channel LIKE '%taddress' THEN 'transliteration' WHEN channel LIKE 'tfidf%' THEN 'tfidf' ELSE 'bm25' END AS family FROM within), p AS (SELECT l.qid, l.rid, count(family) AS n, min(family) AS family FROM links l LEFT JOIN f ON f.qid = l.qid AND f.rid = l.rid GROUP BY ALL) SELECT CASE n WHEN 0 THEN 'missed_all' WHEN 1 THEN 'only_' || family ELSE 'multiple_families' END AS attribution, count(*) AS n_links FROM p GROUP BY 1"
 
 
 def ascii_only(x: str) -> str:

@@ -1,9 +1,11 @@
 """One query per operator over the driver's tables. Their SQL is in ``oracles``.
 
-The business sources are not among the tables, so records are made of the documents: every fifth document
-is a query of source 1, the others are targets of sources 2 and 3; the name is the whole first line, the
-address all text after it. Links are equal texts. Searches take every row whose id is divisible by 20 as a
-query, and all rows as targets.
+The business sources are not among the tables. Text, retrieval and evaluation run on records made of the
+documents: every fifth document is of source 1, the others of sources 2 and 3; the name is the whole first line,
+the address all text after it. Links are equal texts. Searches take every row whose id is divisible by 20 as a
+query, and all rows as targets. Pairwise features and models run on companies made of the customers, since edit
+distances of whole documents are not what these are for: each customer is a target, each whose id is divisible
+by 20 also a query under another form of its name and address, linked to the target of its id.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from ..operators import features as feat
 from ..operators import model as m
 from ..operators.fusion import budgeted, fused_topk, restricted
 from ..sources import tables
-from ..sources.staging import stage
+from ..sources.staging import spread, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,7 +50,7 @@ def records(spark: SparkSession, d: str) -> DataFrame:
     source = F.when(F.col("doc_id") % 5 == 0, 1).when(F.col("doc_id") % 2 == 0, 2).otherwise(3)
     name = F.substring_index("text", "\n", 1)
     body = F.trim(F.replace(F.substr(F.col("text"), F.length(name) + 2), F.lit("\n"), F.lit(" ")))
-    return read(spark, d, "documents").select(
+    return spread(read(spark, d, "documents")).select(
         F.concat(F.lit("S"), source, F.lit("-"), "doc_id").alias("entity_id"), source.alias("source"), "doc_id",
         name.alias("name"), F.concat(body, F.lit(" "), F.col("n_chars").cast("string")).alias("address"),
         F.col("lang").alias("country"), F.md5("text").alias("digest"),
@@ -131,9 +133,20 @@ def _all_channels(queries, targets, k=retrieval.TOP_K):
 
 @query
 def hybrid_rrf_topk(spark, d):
+    return _fused_documents(spark, d).select("qid", "rid", F.round("rrf", 8).alias("rrf"), "n_channels", "best_rank", "global_rank")
+
+
+def _fused_documents(spark, d):
     rows = _normalized(spark, d)
-    found = _all_channels(rows.filter("doc_id % 20 = 0").withColumnRenamed("doc_id", "qid"), rows.withColumnRenamed("doc_id", "rid"))
-    return fused_topk(found).select("qid", "rid", F.round("rrf", 8).alias("rrf"), "n_channels", "best_rank", "global_rank")
+    return fused_topk(_all_channels(rows.filter("doc_id % 20 = 0").withColumnRenamed("doc_id", "qid"), rows.withColumnRenamed("doc_id", "rid")))
+
+
+@query
+def budget_recut(spark, d):
+    """Lists of 50 cut again at 20 per TF-IDF channel and 10 per BM25 channel."""
+    q, t_ = part_sides(spark, d)
+    found = retrieval.channels(q, t_, ["text"], 50)
+    return budgeted(found, 20, 10).select("qid", "rid", "channel", "rank")
 
 
 @query
@@ -149,9 +162,7 @@ def channel_scores(spark, d):
 
 @query
 def tfidf_pair_cosine(spark, d):
-    pairs = part_pairs(spark, d)
-    targets = part_sides(spark, d)[1].select("rid", "text")
-    return pairs.join(retrieval.tfidf_cosine(pairs, targets), ["a", "b"]).select("p_partkey", "cosine")
+    return retrieval.tfidf_cosine(part_pairs(spark, d), part_sides(spark, d)[1].select("rid", "text")).select("p_partkey", "cosine")
 
 
 @query
@@ -212,6 +223,18 @@ def transliterated(spark, d):
     return records(spark, d).select("doc_id", t.transliterate(F.col("name")).alias("name"))
 
 
+#: Letters of each script whose Latin forms are those of LATIN_KEYS, in order.
+LATIN_KEYS = "abdegiklmnoprstuv"
+SCRIPT_LETTERS = {"CYRILLIC": "абдегиклмнопрстув", "GREEK": "αβδεγικλμνοπρστυβ", "HEBREW": "אבדאגיקלמנופרסטבו"}
+
+
+@query
+def transliterated_scripts(spark, d):
+    """Part names written in other scripts, and back."""
+    p = read(spark, d, "part").select("p_partkey", F.regexp_replace("p_name", f"[^{LATIN_KEYS} ]", "").alias("name"))
+    return p.select("p_partkey", *(t.transliterate(F.translate("name", LATIN_KEYS, letters)).alias(script.lower()) for script, letters in SCRIPT_LETTERS.items()))
+
+
 def _companies(spark, d):
     suffix = F.get(F.array(*map(F.lit, ("", " pvt ltd", " inc", " company", " llc co", " corporation limited", " ltda"))), F.pmod("c_custkey", F.lit(7)).cast("int"))
     return read(spark, d, "customer").select("c_custkey", F.concat(F.lower("c_mktsegment"), suffix).alias("name"), F.concat(F.col("c_custkey").cast("string"), F.lit(" st mary rd apt "), (F.col("c_nationkey") * 997 + 10000).cast("string"), F.when(F.col("c_custkey") % 3 == 0, F.lit(" 12ab 7b")).otherwise(""), F.when(F.col("c_custkey") % 4 == 0, F.lit(" hwy 123456")).otherwise("")).alias("address"))
@@ -343,7 +366,7 @@ def integrity_status(spark, d):
 def validate_output(spark, d):
     q, targets, links, _ = _guessed(spark, d)
     lists = links.groupBy("qid").agg(F.collect_set("tid").alias("ids"))
-    capped = links.filter(F.pmod(F.xxhash64("qid"), F.lit(1)) == 0).join(targets.select("tid"), "tid", "left_semi").groupBy("qid").agg(F.collect_set("tid").alias("ids"))
+    capped = links.join(targets.select("tid"), "tid", "left_semi").groupBy("qid").agg(F.collect_set("tid").alias("ids"))
     return validate.output_problems(lists, capped, q, targets)
 
 
@@ -413,6 +436,11 @@ def truth_cardinality(spark, d):
     return profile.truth_cardinality(*_truth(spark, d))
 
 
+@query
+def cardinality_histogram(spark, d):
+    return profile.cardinality_histogram(*_truth(spark, d))
+
+
 @query
 def feature_summary(spark, d):
     p = part_pairs(spark, d).withColumn("sample_type", F.concat(F.lit("k"), (F.col("p_partkey") % 3).cast("string")))
@@ -451,6 +479,14 @@ def components(spark, d):
     return graph.components(_shared_lines(spark, d))
 
 
+@query
+def components_of_sample(spark, d):
+    """Components of the queries divisible by 20, over their own links only."""
+    links = _shared_lines(spark, d)
+    sample = links.filter("qid % 20 = 0").select("qid").distinct()
+    return graph.components_of(links, sample, whole_graph=False)
+
+
 @query
 def grouped_split(spark, d):
     return graph.grouped_split(graph.components(_shared_lines(spark, d)))
@@ -633,14 +669,52 @@ def pair_sample_kinds(spark, d):
 
 @query
 def pair_features_12(spark, d):
-    _, _, _, pairs = _candidates(spark, d)
-    r = records(spark, d)
-    side = lambda mark, key: r.select(F.col("doc_id").alias(key), *(F.col(c).alias(f"{c}_{mark}") for c in ("name", "address", "country")))
-    return feat.legacy_features(pairs.select("qid", F.col("tid").alias("rid")).join(side("q", "qid"), "qid").join(side("t", "rid"), "rid"))
+    q, t_ = _company_sides(spark, d)
+    found = retrieval.bm25_topk(q.select("qid", F.col("business_name").alias("text")), t_.select("rid", F.col("business_name").alias("text"), F.size(retrieval.search_tokens(F.col("business_name"))).alias("row_size")))
+    side = lambda df, key, mark: df.select(key, *(F.col(c).alias(f"{n}_{mark}") for n, c in (("name", "business_name"), ("address", "business_address"), ("country", "country"))))
+    return feat.legacy_features(found.select("qid", "rid").join(side(q, "qid", "q"), "qid").join(side(t_, "rid", "t"), "rid"))
+
+
+def _company_sides(spark, d):
+    """queries (qid) and targets (rid) with the columns of a source; a query's true target has its id."""
+    k = F.col("c_custkey")
+    pick = lambda n, *values: F.get(F.array(*map(F.lit, values)), n.cast("int"))
+    words = F.transform(F.split(k.cast("string"), ""), lambda c: F.get(F.array(*map(F.lit, tables.NAMES[:10])), c.cast("int")))
+    form = F.pmod(F.floor(k / 20), F.lit(4))
+    zip_code, nation = (F.col("c_nationkey") * 997 + 10000).cast("string"), F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string"))
+    rows = stage(spread(read(spark, d, "customer")).select(
+        "c_custkey",
+        F.concat_ws(" ", F.array_join(words, " "), F.lit("Pvt Ltd")).alias("query_name"),
+        F.concat_ws(" ", F.when(form == 1, F.array_join(words, "")).otherwise(F.array_join(words, " ")), pick(F.pmod(k, F.lit(3)), "", "Ltd", "Private Limited")).alias("target_name"),
+        F.concat(k.cast("string"), F.lit(" St Mary Rd, Apt "), zip_code).alias("query_address"),
+        F.when(form == 2, F.concat(F.lit("9"), k.cast("string"), F.lit(" Market Ln"))).otherwise(F.concat(k.cast("string"), F.lit(" St. Mary Road "), zip_code)).alias("target_address"),
+        nation.alias("query_country"), F.when(form == 3, "").otherwise(nation).alias("target_country"), F.md5(k.cast("string")).alias("digest"),
+    ), "companies")
+    side = lambda df, key, mark: df.select(F.col("c_custkey").alias(key), F.col(f"{mark}_name").alias("business_name"), F.col(f"{mark}_address").alias("business_address"), F.col(f"{mark}_country").alias("country"), "digest")
+    return side(rows.filter("c_custkey % 20 = 0"), "qid", "query"), side(rows, "rid", "target")
+
+
+def _normalized_companies(spark, d):
+    q, t_ = _company_sides(spark, d)
+    normal = lambda df, tag: stage(df.withColumns(t.normalized_record(F.col("business_name"), F.col("business_address"), F.col("country"))), tag)
+    return normal(q, "query-companies"), normal(t_, "target-companies")
+
+
+@query
+def hybrid_companies_topk(spark, d):
+    """All eight channels over short records, as the business sources have them."""
+    found = fused_topk(_all_channels(*_normalized_companies(spark, d)))
+    return found.select("qid", "rid", F.round("rrf", 8).alias("rrf"), "n_channels", "best_rank", "global_rank")
+
+
+@query
+def normalized_companies(spark, d):
+    rows = _normalized_companies(spark, d)[1]
+    return rows.select("rid", "name_norm", "address_norm", "name_core", "name_translit", "address_translit", "country_norm", "script")
 
 
 def _features(spark, d):
-    q, t_ = _normalized_sides(spark, d)
+    q, t_ = _normalized_companies(spark, d)
     return q, t_, feat.pair_features(fused_topk(_all_channels(q, t_)).select("qid", "rid", "scores"), q, t_)
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset in local mode, a temporary folder."""
+    """spark.checkpoint.dir; where it is unset in local mode, a temporary folder of this machine."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context._jsc.sc().getCheckpointDir().getOrElse(None)
     if folder is None:
@@ -20,11 +21,35 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder, deleted when the application ends."""
+    path = f"{shared_folder(spark)}/linkloom/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
 def stage(df: DataFrame, tag: str) -> DataFrame:
     """df written as Parquet and read again: short lineage, and nothing is lost with an executor."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/linkloom/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    path = shared_path(spark, tag)
     df.write.parquet(path)
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def append_stages(spark: SparkSession, parts: Iterable[DataFrame], tag: str, schema: str) -> DataFrame:
+    """Several tables of one schema, written one after the other and read as one."""
+    path = shared_path(spark, tag)
+    for number, part in enumerate(parts):
+        part.write.parquet(f"{path}/block={number}")
+    return spark.read.schema(schema).parquet(f"{path}/block=*")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many partitions as there are cores, if it is a scan of fewer: one small file is not one task's work."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
