@@ -1,29 +1,35 @@
 """HTML extraction with removal of site templates.
 
-Each page becomes a tree of elements. Elements that are boilerplate by their tag, role or class name go
-(menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments of readers). Block
-subtrees of the whole page are hashed, inside and outside the main text and also those that go by name;
-Spark counts the hashes per host, and subtrees that recur across many pages of the host are templates,
-whose text is deleted from every page of that host.
-
-What is a template: it recurs on at least MIN_PAGES pages of the host, however many the host has. On pages
-with an `article` or `main` element these are subtrees of CONTAINERS, and others if most of their text is
-links; a bare paragraph, heading or list item that a site repeats inside its articles is still the
-articles' text. A subtree is hashed with all its text, also that of templates within it.
-
-Only hashes are shuffled: (host, hash, page) rows. A host has at most (its pages' subtrees) / MIN_PAGES
-templates. The pages that hold a template in their main text are extracted again without it; their list
-is broadcast if its counted rows are few, and joined by shuffle otherwise. One host may hold any share of
-the pages, as counts are combined before they are shuffled.
+Each page becomes a tree of elements, and each element subtree is hashed from its tag, its text and its
+children's hashes; attributes are left out, and nothing is cut from the tree before it is hashed. Spark counts
+the hashes per host, over pages with different main texts. Subtrees that recur across many pages of a host are
+templates: in the second pass each page's tree is walked from the top, and a subtree whose hash is a template's
+is deleted whole, with all templates inside it.
+
+What is a template: a subtree with text that recurs on at least MIN_PAGES pages of the host whose main texts
+differ, however many pages the host has; copies of one article count once. Subtrees are counted wherever they
+are on the page. On pages with an `article` or `main` element those deleted are subtrees of CONTAINERS, and
+others if most of their text is links; a bare paragraph, heading or list item that a site repeats inside its
+articles is still the articles' text. Without such an element any block may go.
+
+What recurrence cannot see, as it may differ from page to page, goes by its tag, role or class (menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments of readers). A class or id
+counts by its whole name, not by a word in it: `social-history` and `comments-on-keynes` are content. Names that
+content may bear too (WEAK) count only if all names of the element are of that kind.
+
+Only hashes are shuffled: (host, hash) counts, combined before the shuffle, so one host may hold any share of
+the pages. A host has at most (its pages' subtrees) / MIN_PAGES templates. The list of pages that hold a
+template in their main text is broadcast if its counted rows are few, and joined by shuffle otherwise.
 
 Text: character references are decoded; white space in a block becomes one space; blocks are trimmed and
 joined in page order by one line end. A `br` is white space within its block. If the page has `article`
 elements, the text is theirs; else that of `main`; else that of the body.
 
 Defined cases: null or empty html, and html without main text, give an empty text. Markup that ends early
-is read as far as it goes. Repeated rows each get their row; rows without page_id are extracted without
-the template step. A url without host counts as the host ''. Other columns are never read. An empty table
-gives no rows.
+is read as far as it goes; a tag that is never closed takes the rest of the page. Very long pages, deeply
+nested ones and unclosed tags take time in proportion to their length. Repeated rows each get their row; rows
+without page_id are extracted without the template step. A url without host counts as the host ''. Other columns
+are never read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -53,19 +59,39 @@ CONTAINERS = frozenset("address aside center details dialog div dl fieldset figu
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 #: An open element of the key's kind ends where one of the value's kinds begins.
 ENDS_BEFORE = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "option": frozenset(["option", "optgroup"])}
-#: Words of class names and ids that mark boilerplate.
-NAMES = frozenset("ad ads advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments disqus reply replies respond pagination pager toolbar skip widget widgets".split())
+# Words of class names and ids. A name of STRONG words (LAYOUT words may join them) marks boilerplate.
+STRONG = frozenset("ad ads advert adverts advertisement advertising adbox sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login comments disqus pagination pager".split())
+WEAK = frozenset("banner notice notices alert related recommended share sharing social comment reply replies respond widget widgets skip toolbar promotion aside".split())
+LAYOUT = frozenset("a b bar block body bottom box button buttons col column container content form group header inner item items label left link links list main message outer page panel right row section site small text title top wrap wrapper".split())
 _NAME = re.compile(r"[a-z]+")
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/a-zA-Z][^>]*$", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_OPEN = re.compile(r"[a-zA-Z][^\s/>]*")
+_UNQUOTED = re.compile(r"[^>\"']*")
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'<>]+))?")
 _SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "skip", "children")
+    __slots__ = ("tag", "skip", "children", "digest", "chars", "links")
 
     def __init__(self, tag: str, skip: bool):
         self.tag, self.skip, self.children = tag, skip, []
+        self.digest, self.chars, self.links = b"", 0, 0
+
+
+def _named(names: list[str]) -> bool:
+    """Whether class names or an id mark boilerplate."""
+    if not names:
+        return False
+    kinds = []
+    for name in names:
+        words = set(_NAME.findall(name))
+        if not words:
+            kinds.append("layout")
+        elif words <= STRONG | WEAK | LAYOUT and words & STRONG:
+            return True
+        else:
+            kinds.append("weak" if words <= WEAK | LAYOUT and words & WEAK else "layout" if words <= LAYOUT else "other")
+    return "weak" in kinds and "other" not in kinds
 
 
 def _boilerplate(tag: str, attributes: str) -> bool:
@@ -73,57 +99,127 @@ def _boilerplate(tag: str, attributes: str) -> bool:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
             return True
-        if name in ("class", "id") and not NAMES.isdisjoint(_NAME.findall(value)):
+        if name in ("class", "id") and _named(value.split()):
             return True
     return False
 
 
+class _Scanner:
+    """Finds tags one after the other, each character being looked at a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page, self.at, self.quoted = page, 0, True
+
+    def _end(self, at: int) -> int:
+        """The place of the > that closes a tag, outside quotes if the page's quotes allow that; -1 without one."""
+        page, k = self.page, at
+        while self.quoted:
+            k = _UNQUOTED.match(page, k).end()
+            if k == len(page):
+                # From here on no tag is closed outside quotes, so quotes are not looked at again.
+                self.quoted = False
+            elif page[k] == ">":
+                return k
+            else:
+                close = page.find(page[k], k + 1)
+                if close < 0:
+                    self.quoted = False
+                k = close + 1
+        return page.find(">", at)
+
+    def next(self) -> tuple[str, str, str, bool] | None:
+        """Text before the next tag, the tag's name ('' for none), its attributes, and whether it is an end tag; None at the end."""
+        page, begin = self.page, self.at
+        if begin >= len(page):
+            return None
+        at = begin
+        while True:
+            at = page.find("<", at)
+            if at < 0:
+                self.at = len(page)
+                return page[begin:], "", "", False
+            first = page[at + 1 : at + 2]
+            if first and first in "!?":
+                mark = "-->" if page.startswith("<!--", at) else ">"
+                close = page.find(mark, at + 1 + len(mark))
+                self.at = close + len(mark) if close >= 0 else len(page)
+                return page[begin:at], "", "", False
+            ends = first == "/"
+            m = _OPEN.match(page, at + 1 + ends)
+            if m:
+                close = page.find(">", m.end()) if ends else self._end(m.end())
+                self.at = close + 1 if close >= 0 else len(page)
+                if close < 0:
+                    return page[begin:at], "", "", False
+                return page[begin:at], m[0].lower(), page[m.end() : close], ends
+            at += 1
+
+
 def parse(page: str) -> Node:
     """The page's tree. Text is kept as strings among the children."""
     root = Node("html", False)
-    stack, at = [root], 0
-    while True:
-        m = _TAG.search(page, at)
-        text = page[at : m.start() if m else len(page)]
+    # Places on the stack: of each tag, and of blocks.
+    stack, places, blocks, scanner = [root], {}, [], _Scanner(page)
+
+    def cut(k: int) -> None:
+        while len(stack) > k:
+            places[stack.pop().tag].pop()
+        while blocks and blocks[-1] >= k:
+            blocks.pop()
+
+    while (found := scanner.next()) is not None:
+        text, tag, attributes, ends = found
         if text:
             stack[-1].children.append(_html.unescape(text) if "&" in text else text)
-        if not m:
-            return root
-        at = m.end()
-        tag = (m[2] or m[6] or "").lower()
         if not tag:
             continue
-        if m[1] or m[5]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                # An inline end tag does not close the block around it.
-                if stack[k].tag in BLOCKS and tag not in BLOCKS:
-                    break
+        if ends:
+            # An inline end tag does not close the block around it.
+            if places.get(tag) and (tag in BLOCKS or not blocks or places[tag][-1] > blocks[-1]):
+                cut(places[tag][-1])
             continue
         # Inline elements that are still open do not keep a paragraph open before the next block.
-        for k in range(len(stack) - 1, 0, -1):
-            ends = ENDS_BEFORE.get(stack[k].tag)
-            if ends is not None:
-                if tag in ends:
-                    del stack[k:]
-                break
-            if stack[k].tag in BLOCKS:
-                break
-        node = Node(tag, _boilerplate(tag, m[3] or m[7] or ""))
+        if blocks and tag in ENDS_BEFORE.get(stack[blocks[-1]].tag, ()):
+            cut(blocks[-1])
+        closed = attributes.endswith("/")
+        node = Node(tag, _boilerplate(tag, attributes))
         stack[-1].children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, scanner.at)
             if tag == "textarea":
-                node.children.append(_html.unescape(page[at : end.start() if end else len(page)]))
-            at = end.end() if end else len(page)
-        elif tag not in VOID and not (m[4] and tag not in BLOCKS and tag not in ("a", "b", "i", "span")):
+                node.children.append(_html.unescape(page[scanner.at : end.start() if end else len(page)]))
+            scanner.at = end.end() if end else len(page)
+        elif tag not in VOID and not (closed and tag not in BLOCKS and tag not in ("a", "b", "i", "span")):
+            if tag in BLOCKS:
+                blocks.append(len(stack))
+            places.setdefault(tag, []).append(len(stack))
             stack.append(node)
+    return root
+
+
+def _measure(root: Node) -> None:
+    """Sets each subtree's digest, characters of text and characters within links, children first."""
+    order, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        order.append(node)
+        waiting.extend(x for x in node.children if isinstance(x, Node))
+    for node in reversed(order):
+        h, chars, links = blake2b(node.tag.encode("utf-8", "surrogatepass"), digest_size=8), 0, 0
+        for child in node.children:
+            if isinstance(child, str):
+                text = _SPACES.sub(" ", child).strip(" ")
+                if text:
+                    h.update(b"\x00" + text.encode("utf-8", "surrogatepass"))
+                    chars += len(text)
+            elif child.chars:
+                h.update(b"\x01" + child.digest)
+                chars, links = chars + child.chars, links + child.links
+        node.digest, node.chars, node.links = h.digest(), chars, chars if node.tag == "a" else links
 
 
 def _mains(root: Node) -> tuple[list[Node], bool]:
@@ -142,93 +238,84 @@ def _mains(root: Node) -> tuple[list[Node], bool]:
 
 
 class Extraction:
-    """Blocks of a page, the hashes of the subtrees that may be deleted, and those of subtrees outside the main text."""
+    """A page's main text without templates, and the hashes of subtrees inside the main text and outside it."""
 
-    def __init__(self, page: str, templates: frozenset[bytes] = frozenset(), outside: bool = False):
+    def __init__(self, page: str, templates: frozenset[bytes] = frozenset()):
         self.templates = templates
-        self.blocks: list[list[str]] = [[]]
-        self.cut: set[int] = set()
-        self.hashes: set[bytes] = set()
-        self.outer: set[bytes] = set()
-        root = parse(page)
-        mains, self.named = _mains(root)
-        for node in mains:
-            self._walk(node)
-        if outside:
-            blocks, cut, inner = self.blocks, self.cut, self.hashes
-            # Where the page names no main text, only what goes by name is outside.
-            tops, self.hashes, self.named, apart = [root], self.outer, True, {id(x) for x in mains if x is not root}
-            while tops:
-                self.blocks = [[]]
-                self._walk(tops.pop(), apart, tops)
-            self.blocks, self.cut, self.hashes = blocks, cut, inner
-
-    def _walk(self, top: Node, apart: set[int] = frozenset(), skipped: list[Node] | None = None) -> None:
-        """Appends the blocks of top; leaves out the nodes of apart, and puts blocks that go by name on skipped."""
-        # Each frame: node, next child, block before it, length before it, length of links in it.
-        self._new_block()
-        stack = [[top, 0, len(self.blocks) - 1, 0]]
-        links = 0
-        while stack:
-            frame = stack[-1]
-            node, k = frame[0], frame[1]
-            if k < len(node.children):
-                frame[1] += 1
-                child = node.children[k]
-                if isinstance(child, str):
-                    self.blocks[-1].append(child)
-                    if any(f[0].tag == "a" for f in stack):
-                        links += len(child.strip())
-                elif child.tag == "br":
-                    self.blocks[-1].append(" ")
-                elif id(child) in apart:
-                    self._new_block()
-                elif child.tag in BLOCKS and not child.skip and child.tag != "hr":
-                    self._new_block()
-                    stack.append([child, 0, len(self.blocks) - 1, links])
-                elif child.tag in BLOCKS:
-                    self._new_block()
-                    if skipped is not None and child.skip:
-                        skipped.append(child)
-                elif not child.skip:
-                    stack.append([child, 0, None, links])
-                continue
-            stack.pop()
-            if node.tag not in BLOCKS:
-                continue
-            if node is not top or node.skip:
-                self._judge(node, frame[2], links - frame[3])
-            self._new_block()
-
-    def _new_block(self) -> None:
-        if self.blocks[-1]:
-            self.blocks.append([])
-
-    def _judge(self, node: Node, first: int, links: int) -> None:
-        texts = [x for x in map(_clean, self.blocks[first:]) if x]
-        if not texts:
-            return
-        if self.named and node.tag not in CONTAINERS and links < LINK_SHARE * sum(map(len, texts)):
-            return
-        digest = blake2b("\n".join([node.tag, *texts]).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-        self.hashes.add(digest)
-        if digest in self.templates:
-            # A last block that is still empty takes the text after the subtree.
-            self.cut.update(range(first, len(self.blocks) - (not self.blocks[-1])))
+        self.root = parse(page)
+        _measure(self.root)
+        self.mains, self.named = _mains(self.root)
+
+    def _may_go(self, node: Node, named: bool) -> bool:
+        """Whether a subtree is one that is deleted if it recurs."""
+        if not node.chars or node.tag not in BLOCKS or node.tag in ("html", "body", "article", "main"):
+            return False
+        return not named or node.tag in CONTAINERS or node.links >= LINK_SHARE * node.chars
+
+    @property
+    def hashes(self) -> set[bytes]:
+        """Of subtrees inside the main text."""
+        out, waiting = set(), list(self.mains)
+        while waiting:
+            node = waiting.pop()
+            if self._may_go(node, self.named):
+                out.add(node.digest)
+            waiting.extend(x for x in node.children if isinstance(x, Node) and not x.skip)
+        return out
+
+    @property
+    def outer(self) -> set[bytes]:
+        """Of subtrees outside the main text, those that go by name included."""
+        apart, out = {id(x) for x in self.mains if x is not self.root}, set()
+        waiting = [(self.root, bool(apart))]
+        while waiting:
+            node, outside = waiting.pop()
+            if id(node) in apart:
+                outside = False
+            outside = outside or node.skip
+            if outside and self._may_go(node, True):
+                out.add(node.digest)
+            waiting.extend((x, outside) for x in node.children if isinstance(x, Node))
+        return out
 
     def text(self) -> str:
-        return "\n".join(x for k, x in enumerate(map(_clean, self.blocks)) if x and k not in self.cut)
+        blocks: list[list[str]] = [[]]
+        for main in self.mains:
+            blocks.append([])
+            # Nodes still to be entered, texts, and None where a block ends.
+            waiting: list[Node | str | None] = list(reversed(main.children))
+            while waiting:
+                x = waiting.pop()
+                if x is None:
+                    blocks.append([])
+                elif isinstance(x, str):
+                    blocks[-1].append(x)
+                elif x.tag == "br":
+                    blocks[-1].append(" ")
+                elif x.tag in BLOCKS:
+                    blocks.append([])
+                    if not (x.skip or x.tag == "hr" or (x.digest in self.templates and self._may_go(x, self.named))):
+                        waiting.append(None)
+                        waiting.extend(reversed(x.children))
+                elif not x.skip:
+                    waiting.extend(reversed(x.children))
+        return "\n".join(x for x in map(_clean, blocks) if x)
 
 
 def _clean(block: list[str]) -> str:
-    return _SPACES.sub(" ", "".join(block)).strip(" ")
+    return _SPACES.sub(" ", "".join(block)).strip(" ") if block else ""
 
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [Extraction(x or "", outside=True) for x in batch.column("html").to_pylist()]
-        inner, outer = ([sorted(x) for x in sets] for sets in ((x.hashes for x in found), (x.outer - x.hashes for x in found)))
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), pa.array(inner, pa.list_(pa.binary())), pa.array(outer, pa.list_(pa.binary()))], names=["page_id", "host", "hashes", "outer"])
+        inner, outer, texts = [], [], []
+        for page in batch.column("html").to_pylist():
+            found = Extraction(page or "")
+            hashes = found.hashes
+            inner.append(sorted(hashes))
+            outer.append(sorted(found.outer - hashes))
+            texts.append(blake2b(found.text().encode("utf-8", "surrogatepass"), digest_size=8).digest())
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), pa.array(texts, pa.binary()), pa.array(inner, pa.list_(pa.binary())), pa.array(outer, pa.list_(pa.binary()))], names=["page_id", "host", "main", "hashes", "outer"])
 
 
 def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,11 +330,12 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     pages = pages.select("page_id", "url", "html", host.alias("host"))
     kind = dict(pages.dtypes)["page_id"]
     known = pages.filter(F.col("page_id").isNotNull()).select("page_id", "host", "html")
-    found = stage(known.mapInArrow(_first_pass, f"page_id {kind}, host string, hashes array<binary>, outer array<binary>"), "html-subtrees")
-    counted = found.select("host", F.explode(F.concat("hashes", "outer")).alias("hash"))
-    one_each = found.select("page_id", "host", F.explode("hashes").alias("hash"))
+    found = stage(known.mapInArrow(_first_pass, f"page_id {kind}, host string, main binary, hashes array<binary>, outer array<binary>"), "html-subtrees")
+    # Pages of a host with one main text count once for each hash that any of them has.
+    counted = found.select("host", "main", F.explode(F.concat("hashes", "outer")).alias("hash")).distinct()
     often = counted.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
     templates = stage(often.select("host", "hash"), "html-templates")
+    one_each = found.select("page_id", "host", F.explode("hashes").alias("hash"))
     # A page's list holds subtrees of that page only.
     per_page = one_each.join(small_side(templates), ["host", "hash"], "left_semi").groupBy("page_id").agg(F.collect_set("hash").alias("templates"))
     per_page = small_side(stage(per_page, "html-deleted"))
