@@ -80,12 +80,27 @@ SELECT doc_id, domain, lang, source, n_tokens, tokens AS leaf_tokens, b3 AS leaf
 
 # ---------------------------------------------------------------- tool linking; turns are unique in the tables
 
-SQL["op8_tool_linking"] = """WITH c AS (SELECT conv_id, turn, conv_id || '-' || turn AS call_id, CASE role WHEN 'system' THEN 'configure' ELSE 'ask' END AS name, text FROM conversations WHERE role IN ('user', 'system')),
-r AS (SELECT conv_id, turn, conv_id || '-' || (turn - 1) AS call_id, text FROM conversations WHERE role NOT IN ('user', 'system')),
-m AS (SELECT conv_id, 'call' AS kind, call_id, turn AS seq, turn AS spot, 0 AS part, CASE WHEN call_id IN (SELECT call_id FROM r) THEN 'linked' ELSE 'unanswered' END AS link,
-'{"arguments":{"chars":' || length(text) || ',"prompt":' || to_json(text)::VARCHAR || ',"turn":' || turn || '},"call_id":"' || call_id || '","name":"' || name || '","role":"tool_call"}' AS json FROM c
-UNION ALL SELECT r.conv_id, 'result', r.call_id, r.turn, coalesce(c.turn, r.turn), CASE WHEN c.turn IS NULL THEN 2 ELSE 1 END, CASE WHEN c.turn IS NULL THEN 'orphan' ELSE 'linked' END, '{"call_id":"' || r.call_id || '","content":' || to_json(r.text)::VARCHAR || ',"role":"tool_result"}' FROM r LEFT JOIN c USING (call_id))
-SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY spot, call_id, part, seq, json) AS position, kind, call_id, seq, link, false AS cyclic, '' AS errors, json, 1::BIGINT AS repeats FROM m"""
+_TEXT = "to_json(text)::VARCHAR"
+_BEGIN, _TURN = f"""'{{"chars":' || n || """, """',"turn":' || turn || '}'"""
+SQL["op8_tool_linking"] = f"""WITH RECURSIVE turns AS (SELECT conv_id, turn, role, text, length(text) AS n FROM conversations),
+c AS (SELECT conv_id, turn, conv_id || '-' || turn AS call_id, CASE WHEN role = 'system' THEN 'configure' WHEN n % 13 = 5 THEN 'browse' ELSE 'ask' END AS name, n % 7 AS form,
+CASE n % 5 WHEN 0 THEN [turn + 1, turn + 2] WHEN 1 THEN []::BIGINT[] ELSE [turn - 2, turn - 1] END AS after,
+CASE n % 7 WHEN 0 THEN {_BEGIN} ',"prompt":' || {_TEXT} || '}}' WHEN 1 THEN {_BEGIN} ',"prompt":' || {_TEXT} || ',"turn":"' || turn || '"}}' WHEN 2 THEN {_BEGIN} ',"note":"' || turn || '","prompt":' || {_TEXT} || {_TURN}
+WHEN 3 THEN to_json('{{"prompt":' || {_TEXT})::VARCHAR WHEN 4 THEN '[' || {_TEXT} || ']' ELSE {_BEGIN} ',"prompt":' || {_TEXT} || {_TURN} END AS arguments FROM turns WHERE role IN ('user', 'system')),
+r AS (SELECT conv_id, turn, conv_id || '-' || (turn - 1) AS call_id, text FROM turns WHERE role NOT IN ('user', 'system')),
+e AS (SELECT a.conv_id, a.turn, b.turn AS parent FROM (SELECT conv_id, turn, unnest(after) AS parent FROM c) a JOIN c b ON b.conv_id = a.conv_id AND b.turn = a.parent),
+odd AS (SELECT DISTINCT conv_id FROM e WHERE parent >= turn), o AS (SELECT e.* FROM e JOIN odd USING (conv_id)),
+reach AS (SELECT conv_id, turn, parent FROM o UNION SELECT a.conv_id, a.turn, o.parent FROM reach a JOIN o ON o.conv_id = a.conv_id AND o.turn = a.parent),
+loops AS (SELECT conv_id, turn FROM reach WHERE turn = parent), bad AS (SELECT conv_id, turn FROM loops UNION SELECT a.conv_id, a.turn FROM reach a JOIN loops l ON l.conv_id = a.conv_id AND l.turn = a.parent),
+ok AS (SELECT o.* FROM o WHERE (conv_id, turn) NOT IN (SELECT (conv_id, turn) FROM bad)),
+depth AS (SELECT conv_id, turn, 0 AS d FROM c UNION SELECT ok.conv_id, ok.turn, d + 1 FROM depth JOIN ok ON ok.conv_id = depth.conv_id AND ok.parent = depth.turn),
+heads AS (SELECT c.*, (conv_id, turn) IN (SELECT (conv_id, turn) FROM bad) AS cyclic, (SELECT max(d) FROM depth WHERE depth.conv_id = c.conv_id AND depth.turn = c.turn) AS d,
+CASE WHEN name = 'browse' THEN 'unknown_tool' ELSE ['missing:turn', 'type:turn', 'unexpected:note', 'not_json', 'not_object', '', ''][form + 1] END AS errors FROM c),
+placed AS (SELECT *, CASE WHEN cyclic THEN 1000000 ELSE d END AS level FROM heads),
+m AS (SELECT conv_id, 'call' AS kind, call_id, turn AS seq, level, cyclic, turn AS spot, 0 AS part, CASE WHEN call_id IN (SELECT call_id FROM r) THEN 'linked' ELSE 'unanswered' END AS link, errors,
+'{{"arguments":' || arguments || ',"call_id":"' || call_id || '","name":"' || name || '","role":"tool_call"}}' AS json FROM placed
+UNION ALL SELECT r.conv_id, 'result', r.call_id, r.turn, coalesce(p.level, 0), coalesce(p.cyclic, false), coalesce(p.turn, r.turn), CASE WHEN p.turn IS NULL THEN 2 ELSE 1 END, CASE WHEN p.turn IS NULL THEN 'orphan' ELSE 'linked' END, '', '{{"call_id":"' || r.call_id || '","content":' || to_json(r.text)::VARCHAR || ',"role":"tool_result"}}' FROM r LEFT JOIN placed p USING (call_id))
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY level, spot, part, seq) AS position, kind, call_id, seq, link, cyclic, errors, json, 1::BIGINT AS repeats FROM m"""
 
 # ---------------------------------------------------------------- MinHash near-dedup: all links, by all shared shingles
 

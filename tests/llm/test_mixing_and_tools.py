@@ -132,8 +132,78 @@ def test_odd_messages(spark):
     assert linked(spark, [], []) == []
 
 
-def test_cells_change_no_position(spark, sf_dir):
-    turns = read(spark, sf_dir, "conversations")
-    calls, results = tl.from_turns(turns)
-    order = lambda cell: [tuple(r) for r in tl.link(calls, results, cell=cell).select("conv_id", "position", "json").orderBy("conv_id", "position").collect()]
-    assert order(1) == order(512) and len(order(512)) == turns.count()
+def brute_order(calls):
+    """Levels of calls {id: (seq, parents)} by peeling; None on or behind a cycle."""
+    level, left = {}, dict(calls)
+    while True:
+        ready = [c for c, (_, up) in left.items() if all(p in level for p in up if p in calls and p != c)]
+        if not ready:
+            return level | dict.fromkeys(left)
+        level |= {c: max((level[p] + 1 for p in left[c][1] if p in calls and p != c), default=0) for c in ready}
+        left = {c: v for c, v in left.items() if c not in level}
+
+
+@pytest.mark.parametrize("small", [0, 256])
+def test_levels_against_peeling(spark, small):
+    import random
+
+    rng = random.Random(3)
+    graphs, calls = {}, []
+    for conv in range(12):
+        n = rng.choice([1, 3, 8, 30])
+        forward = rng.choice([0.0, 0.1, 0.5])
+        graphs[conv] = {str(i): (i, [str(rng.randrange(n) if rng.random() < forward else rng.randrange(i + 1)) for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))]) for i in range(n)}
+        calls += [(conv, c, seq, "add", "{}", up) for c, (seq, up) in graphs[conv].items()]
+    out = linked(spark, calls, [], small=small)
+    for conv, graph in graphs.items():
+        level = brute_order(graph)
+        odd = any(graph[p][0] >= graph[c][0] for c, (_, up) in graph.items() for p in up if p != c)
+        order = [r.call_id for r in out if r.conv_id == conv]
+        key = lambda c: (level[c] is None, level[c] or 0, graph[c][0]) if odd else (False, 0, graph[c][0])  # noqa: B023, E731
+        assert order == sorted(graph, key=key), conv
+        assert {r.call_id for r in out if r.conv_id == conv and r.cyclic} == {c for c in graph if level[c] is None}
+
+
+def test_a_long_chain_backwards_takes_few_rounds(spark):
+    n = 3000
+    calls = [(1, str(i), i, "add", "{}", [str(i + 1)]) for i in range(n)] + [(2, str(i), i, "add", "{}", [str((i + 1) % n)]) for i in range(n)]
+    newest = lambda: max(spark.sparkContext.statusTracker().getJobIdsForGroup(), default=0)
+    before = newest()
+    out = linked(spark, calls, [])
+    assert [int(r.call_id) for r in out if r.conv_id == 1] == list(range(n - 1, -1, -1)) and all(r.cyclic for r in out if r.conv_id == 2)
+    assert 0 < newest() - before < 300
+
+
+def test_messages_at_one_place_are_numbered(spark):
+    calls = [(1, f"c{i}", 5, "add", "{}", []) for i in range(50)]
+    results = [(1, "c0", 6, f"answer {i}") for i in range(70)]
+    out = linked(spark, calls, results)
+    assert [r.position for r in out] == list(range(1, 121)) and {r.kind for r in out[:50]} == {"call"}
+
+
+def test_very_long_arguments_and_contents(spark):
+    long = "x" * (tl.MAX_ARGUMENTS + 1)
+    out = linked(spark, [(1, "a", 1, "add", long, []), (1, "b", 2, "add", '{"a":1,"b":2,"note":"' + "y" * 1_000_000 + '"}', [])], [(1, "a", 3, long)])
+    assert [(r.kind, list(r.errors), len(r.json) > 1_000_000) for r in out] == [("call", ["too_long"], True), ("result", [], True), ("call", [], True)]
+    assert json.loads(out[0].json)["arguments"] == long == json.loads(out[1].json)["content"]
+
+
+def test_extra_columns_are_not_read(spark):
+    from pyspark.sql import functions as F
+
+    wide = lambda rows, schema: spark.createDataFrame(rows, schema).withColumns({c: F.lit("clash") for c in ("level", "at", "part", "tie", "position", "parents", "head_seq", "answered")})
+    out = tl.link(wide([(1, "a", 1, "add", "{}", ["b"]), (1, "b", 2, "add", "{}", [])], CALLS), wide([(1, "a", 3, "x")], RESULTS), SCHEMAS).collect()
+    assert sorted((r.position, r.kind, r.call_id) for r in out) == [(1, "call", "b"), (2, "call", "a"), (3, "result", "a")]
+
+
+def test_turns_exercise_order_cycles_and_errors(spark, sf_dir):
+    turns = read(spark, sf_dir.replace("sf0.001", "sf0.01"), "conversations")
+    out = tl.linked_turns(turns).collect()
+    assert len(out) == turns.count()
+    assert {e.split(":")[0] for r in out for e in r.errors} == {"unknown_tool", "missing", "type", "unexpected", "not_json", "not_object"}
+    assert 0 < sum(r.cyclic for r in out) < len(out)
+    by_conv = defaultdict(list)
+    for r in sorted(out, key=lambda r: (r.conv_id, r.position)):
+        by_conv[r.conv_id].append(r)
+    moved = [c for c, rows in by_conv.items() if [r.seq for r in rows] != sorted(r.seq for r in rows) and not any(r.cyclic for r in rows)]
+    assert moved
