@@ -3,19 +3,21 @@
 A bundle is a file of independent Zstandard frames, each with some records, and a seek table in a
 skippable frame at its end (the public seekable format): any reader of Zstandard reads the whole file, and
 a reader that knows the table reads one frame. An index maps each record to bundle, frame and the record's
-offset within the uncompressed frame.
+offset within the uncompressed frame. Records are read back through it: each bundle that it names is opened,
+its seek table read from its end, and only the frames that hold records of the index are fetched.
 
 Payloads that recur are written once. Spark groups the SHA-1 digests, never the payloads; the record with
 the largest page_id of a group is the `response`, the others are `revisit` records that refer to it. The
 table of revisits is broadcast if its counted rows are few and joined by shuffle otherwise. Each task
-writes its bundles under names that follow from its partition, first under another name, then renamed, so
-a task that runs again replaces its files by equal ones.
+writes its bundles under names of its own attempt, first under another name, then renamed. What a lost or
+repeated attempt leaves behind is in no index row, so it is never read.
 
 Defined cases: null html is an empty payload, and all empty payloads are equal. Payloads shorter than
 min_bytes are all responses. If the largest page_id of a group has several rows, each is a response. A row
 without page_id is written under the id `null`; it is a response only if no row of its group has an id,
-and it is read back with a null page_id. A null url is written as an empty target. Other columns are never
-read. An empty table gives no bundles and no rows.
+and it is read back with a null page_id. A null url is written as an empty target. A very long payload is a
+frame of its own, and a bundle may be longer than bundle_bytes by one record. Ids are integers or strings
+without `>` and line ends. Other columns are never read. An empty table gives no bundles and no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import shared_path, small_side, stage
@@ -68,9 +70,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return head.encode("utf-8", "surrogatepass") + block + b"\r\n\r\n"
 
 
-def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, fields, block) of each record in uncompressed data."""
-    at = 0
+def parse_records(data: bytes, at: int = 0) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(offset, fields, block) of each record in uncompressed data, from a record's offset on."""
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
         head = data[at:end].decode("utf-8", "surrogatepass").split("\r\n")
@@ -128,24 +129,44 @@ def seek_table(bundle: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
-def read_frame(bundle: bytes, frame: int) -> bytes:
-    at, packed, size = seek_table(bundle)[frame]
-    return zstandard.ZstdDecompressor().decompress(bundle[at : at + packed], max_output_size=size)
-
-
-def read_record(bundle: bytes, frame: int, offset: int) -> tuple[dict[str, str], bytes]:
-    """The record that the index has at this frame and offset; only that frame is decompressed."""
-    _, fields, block = next(parse_records(read_frame(bundle, frame)[offset:]))
-    return fields, block
+class BundleReader:
+    """Reads records of a bundle in a seekable file; the seek table is read once, and each frame when it is wanted."""
+
+    def __init__(self, file):
+        self.file, self.codec = file, zstandard.ZstdDecompressor()
+        size = file.seek(0, os.SEEK_END)
+        # The footer tells the table's length.
+        file.seek(max(0, size - 9))
+        count, flags, magic = struct.unpack("<IBI", file.read(9))
+        if magic != SEEKABLE:
+            raise ValueError("no seek table")
+        length = count * (12 if flags & 0x80 else 8) + 9
+        file.seek(size - length)
+        self.table = seek_table(file.read(length))
+        self.open: tuple[int, bytes] = (-1, b"")
+
+    def frame(self, number: int) -> bytes:
+        if self.open[0] != number:
+            at, packed, size = self.table[number]
+            self.file.seek(at)
+            self.open = number, self.codec.decompress(self.file.read(packed), max_output_size=size)
+        return self.open[1]
+
+    def record(self, frame: int, offset: int) -> tuple[dict[str, str], bytes]:
+        """The record that the index has at this frame and offset; only that frame is decompressed."""
+        _, fields, block = next(parse_records(self.frame(frame), offset))
+        return fields, block
+
+
+def _system(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    if urlsplit(folder).scheme in ("", "file"):
+        return pyarrow.fs.LocalFileSystem(), urlsplit(folder).path
+    return pyarrow.fs.FileSystem.from_uri(folder)
 
 
 def _put(folder: str, name: str, data: bytes) -> None:
-    if urlsplit(folder).scheme in ("", "file"):
-        fs, base = pyarrow.fs.LocalFileSystem(), urlsplit(folder).path
-        os.makedirs(base, exist_ok=True)
-    else:
-        fs, base = pyarrow.fs.FileSystem.from_uri(folder)
-        fs.create_dir(base, recursive=True)
+    fs, base = _system(folder)
+    fs.create_dir(base, recursive=True)
     hidden = f"{base}/_{name}.{os.getpid()}-{os.urandom(4).hex()}"
     with fs.open_output_stream(hidden) as f:
         f.write(data)
@@ -169,11 +190,11 @@ def write_bundles(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES, fra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, number = TaskContext.get().partitionId(), 0
+        part, number = f"{TaskContext.get().partitionId():06d}-{TaskContext.get().taskAttemptId():08d}", 0
         writer, rows = BundleWriter(frame_bytes), []
 
         def close() -> pa.RecordBatch:
-            name = f"part-{part:06d}-{number:06d}.warc.zst"
+            name = f"part-{part}-{number:06d}.warc.zst"
             _put(folder, name, writer.finish())
             ids, places, sizes = zip(*rows, strict=True)
             columns = [pa.array(ids), pa.array([name] * len(rows)), pa.array([x[0] for x in places], pa.int32()), pa.array([x[1] for x in places], pa.int64()), pa.array(sizes, pa.int64())]
@@ -196,33 +217,60 @@ def write_bundles(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES, fra
     return marked.mapInArrow(run, f"page_id {kind}, bundle string, frame int, record_offset long, record_bytes long")
 
 
-def read_bundles(spark: SparkSession, folder: str, kind: str = "bigint") -> DataFrame:
-    """Reads all bundles of a folder: a row per record, digests and lengths of responses computed from what was read."""
+_READ = "payload_bytes long, payload_digest string, record_type string, refers_to {kind}, payload binary"
+
+
+def read_bundles(folder: str, index: DataFrame, payloads: bool = True) -> DataFrame:
+    """A row per row of the index (page_id, bundle, frame, record_offset), from the records that it names.
+
+    Digests and lengths of responses are computed from the payloads that were read. The index is staged, and a
+    bundle's part of it is one row: it is bounded by the bundle's size.
+    """
+    kind = dict(index.dtypes)["page_id"]
+    as_id = (lambda x: x) if kind == "string" else int
+    per_bundle = index.groupBy("bundle").agg(F.sort_array(F.collect_list(F.struct("frame", "record_offset", "page_id"))).alias("places"))
+    per_bundle = stage(per_bundle, "warc-places")
+    per_bundle = per_bundle.repartition(max(1, per_bundle.count()))
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *(["payload"] if payloads else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column("content"):
-                bundle = content.as_py()
-                for frame in range(len(seek_table(bundle))):
-                    rows = []
-                    for _, fields, block in parse_records(read_frame(bundle, frame)):
+        fs, base = _system(folder)
+        id_type = pa.string() if kind == "string" else pa.int64()
+        types = (id_type, pa.int64(), pa.string(), pa.string(), id_type, pa.binary())[: len(names)]
+
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+        for part in batches:
+            for name, places in zip(part.column("bundle").to_pylist(), part.column("places").to_pylist(), strict=True):
+                with fs.open_input_file(f"{base}/{name}") as file:
+                    reader, rows, size = BundleReader(file), [], 0
+                    for place in places:
+                        fields, block = reader.record(place["frame"], place["record_offset"])
                         payload = block.split(b"\r\n\r\n", 1)[1]
+                        page, refers = (None if x in ("", "null") else as_id(x) for x in (fields[k][len(_ID) + 1 : -1] if k in fields else "" for k in ("WARC-Record-ID", "WARC-Refers-To")))
+                        if page != place["page_id"]:
+                            raise ValueError(f"{name} has {page!r} where the index has {place['page_id']!r}")
                         revisit = fields["WARC-Type"] == "revisit"
-                        page, refers = (None if x in ("", "null") else int(x) for x in (fields[k][len(_ID) + 1 : -1] if k in fields else "" for k in ("WARC-Record-ID", "WARC-Refers-To")))
-                        digest, size = (fields["WARC-Payload-Digest"][5:], int(fields["X-Payload-Length"])) if revisit else (digest_of(payload), len(payload))
-                        rows.append((page, size, digest, fields["WARC-Type"], refers, None if revisit else payload))
-                    types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
+                        digest, length = (fields["WARC-Payload-Digest"][5:], int(fields["X-Payload-Length"])) if revisit else (digest_of(payload), len(payload))
+                        rows.append((page, length, digest, fields["WARC-Type"], refers, None if revisit else payload)[: len(names)])
+                        size += len(payload) if payloads else 0
+                        if size > FRAME_BYTES or len(rows) >= 4096:
+                            yield batch(rows)
+                            rows, size = [], 0
+                    if rows:
+                        yield batch(rows)
+
+    schema = f"page_id {kind}, " + _READ.format(kind=kind)
+    return per_bundle.mapInArrow(run, schema if payloads else schema.removesuffix(", payload binary"))
+
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").schema("path string, modificationTime timestamp, length long, content binary").load(folder)
-    return files.select("content").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+def lookup(folder: str, index: DataFrame, ids: DataFrame) -> DataFrame:
+    """The records of some ids (page_id), payloads included: only their frames are read."""
+    return read_bundles(folder, index.join(ids.select("page_id").distinct(), "page_id", "left_semi"))
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Writes pages to a new folder of bundles and reads them back, without the payloads."""
-    spark = pages.sparkSession
-    folder = shared_path(spark, "warc")
-    index = stage(write_bundles(pages, folder), "warc-index")
-    if not index.limit(1).count():
-        return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    return read_bundles(spark, folder).drop("payload")
+    """Writes pages to a new folder of bundles and reads them back through the index, without the payloads."""
+    folder = shared_path(pages.sparkSession, "warc")
+    return read_bundles(folder, stage(write_bundles(pages, folder), "warc-index"), payloads=False)

@@ -1,13 +1,15 @@
 import base64
 import hashlib
+import io
+import os
 
 import pytest
 import zstandard
 from helpers import LONG
 
-from linkloom.llm._common import read, shared_path
 from linkloom.llm.html_extract import Extraction, extract
-from linkloom.llm.warc_bundles import BundleWriter, parse_records, read_bundles, read_frame, read_record, record, round_trip, seek_table, write_bundles
+from linkloom.llm._common import read, shared_path, stage
+from linkloom.llm.warc_bundles import BundleReader, BundleWriter, lookup, parse_records, read_bundles, record, round_trip, seek_table, write_bundles
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="<p>no</p>";</script><style>p{}</style></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">A</a></li></ul></nav><div class="ad">Buy</div><aside>Side</aside>
@@ -81,10 +83,12 @@ def test_frames_are_independent_and_found_by_the_table():
     assert len(seek_table(bundle)) == len({f for f, _ in places}) > 5
     whole = zstandard.ZstdDecompressor().stream_reader(bundle, read_across_frames=True).read()
     assert whole == b"".join(made)
+    reader = BundleReader(io.BytesIO(bundle))
+    assert reader.table == seek_table(bundle)
     for i, (frame, offset) in enumerate(places):
-        fields, block = read_record(bundle, frame, offset)
+        fields, block = reader.record(frame, offset)
         assert fields["WARC-Record-ID"] == f"<urn:page:{i}>" and block.endswith(f"payload {i} é".encode())
-        assert any(o == offset for o, _, _ in parse_records(read_frame(bundle, frame)))
+        assert any(o == offset for o, _, _ in parse_records(reader.frame(frame)))
 
 
 def expected(pages, min_bytes=0):
@@ -110,21 +114,46 @@ def test_round_trip(spark, sf_dir):
 
 def test_index_and_payloads(spark, sf_dir):
     pages, folder = read(spark, sf_dir, "pages"), shared_path(spark, "bundles")
-    index = write_bundles(pages, folder, bundle_bytes=20_000, frame_bytes=8_000).collect()
-    html = {r.page_id: r.html or "" for r in pages.collect()}
-    assert len(index) == len(html) and len({r.bundle for r in index}) > 1
+    index = stage(write_bundles(pages, folder, bundle_bytes=20_000, frame_bytes=8_000), "test-index")
+    rows, html = index.collect(), {r.page_id: r.html or "" for r in pages.collect()}
+    assert len(rows) == len(html) and len({r.bundle for r in rows}) > 1
     path = folder.removeprefix("file:").replace("//", "/", 1) if folder.startswith("file:") else folder
-    for r in index[::7]:
+    for r in rows[::7]:
         with open(f"{path}/{r.bundle}", "rb") as f:
-            fields, block = read_record(f.read(), r.frame, r.record_offset)
+            fields, block = BundleReader(f).record(r.frame, r.record_offset)
         assert fields["WARC-Record-ID"] == f"<urn:page:{r.page_id}>"
         if fields["WARC-Type"] == "response":
             assert block.split(b"\r\n\r\n", 1)[1].decode() == html[r.page_id]
-    assert {(r.page_id, bytes(r.payload).decode()) for r in read_bundles(spark, folder).filter("record_type = 'response'").collect()} <= set(html.items())
+    read_back = read_bundles(folder, index).collect()
+    assert {r.page_id for r in read_back} == set(html)
+    assert {(r.page_id, bytes(r.payload).decode()) for r in read_back if r.record_type == "response"} <= set(html.items())
+    wanted = pages.filter("page_id % 9 = 0").select("page_id")
+    assert {r.page_id for r in lookup(folder, index, wanted).collect()} == {i for i in html if i % 9 == 0}
+
+
+def test_bundles_outside_the_index_are_not_read(spark, sf_dir):
+    pages, folder = read(spark, sf_dir, "pages"), shared_path(spark, "bundles")
+    write_bundles(pages.filter("page_id < 9"), folder).collect()  # as a lost attempt would leave them
+    index = stage(write_bundles(pages, folder), "test-index")
+    assert len(os.listdir(folder.removeprefix("file://"))) > len({r.bundle for r in index.collect()})
+    assert sorted(r.page_id for r in read_bundles(folder, index).collect()) == sorted(r.page_id for r in pages.collect())
+
+
+def test_an_index_of_other_bundles_is_refused(spark, sf_dir):
+    pages, folder = read(spark, sf_dir, "pages"), shared_path(spark, "bundles")
+    index = stage(write_bundles(pages, folder), "test-index")
+    with pytest.raises(Exception, match="where the index has"):
+        read_bundles(folder, index.withColumn("page_id", index.page_id + 1)).collect()
+
+
+def test_string_ids(spark):
+    rows = [("a", "u", "x"), ("b", "u", "x"), ("c", None, None)]
+    out = round_trip(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert {(r.page_id, r.record_type, r.refers_to) for r in out} == {("a", "revisit", "b"), ("b", "response", None), ("c", "response", None)}
 
 
 def test_small_payloads_are_all_responses(spark):
     folder = shared_path(spark, "bundles")
-    write_bundles(odd_pages(spark), folder, min_bytes=9).collect()
-    kinds = {(r.page_id, r.record_type) for r in read_bundles(spark, folder).collect()}
+    index = stage(write_bundles(odd_pages(spark), folder, min_bytes=9), "test-index")
+    kinds = {(r.page_id, r.record_type) for r in read_bundles(folder, index).collect()}
     assert {(3, "response"), (4, "response"), (1, "revisit"), (6, "response")} <= kinds
