@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space as the contracts define it, for Java's and DuckDB's regular expressions.
@@ -54,5 +54,37 @@ def drop_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.join(small_side(stage(ids.distinct(), "dropped")), key, "left_anti")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def row_key(*values: Column) -> Column:
+    """128 bits that stand for some values; null is a value of its own."""
+    apart = [x for v in values for x in (v.isNull(), F.coalesce(v.cast("string"), F.lit("")))]
+    return F.struct(F.xxhash64(*apart).alias("h1"), F.xxhash64(F.lit(1), *apart).alias("h2"))
+
+
+def drop_rows(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """Rows of docs whose row_key is not in keys (one column, key)."""
+    name = fresh(docs, "key")
+    keys = small_side(stage(keys.distinct().withColumnRenamed("key", name), "dropped"))
+    return docs.withColumn(name, key).join(keys, name, "left_anti").drop(name)
+
+
+def joined_by_key(many: DataFrame, one: DataFrame, key: str, hot: DataFrame, row: str) -> DataFrame:
+    """The inner join of two sides; a key of hot (key, parts) is parts tasks' work: many is dealt by row, one is repeated."""
+    hot = stage(hot, "hot-keys")
+    if not hot.limit(1).count():
+        return many.join(one, key)
+    hot = small_side(hot)
+    parts = F.coalesce(F.col("parts"), F.lit(1)).cast("long")
+    left = many.join(hot, key, "left").withColumn("part", F.pmod(F.xxhash64(row), parts)).drop("parts")
+    right = one.join(hot, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+    return left.join(right, [key, "part"]).drop("part")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

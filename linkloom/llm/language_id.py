@@ -10,7 +10,8 @@ over positions for all texts of a chunk together, so that no Python loop runs ov
 The model has BUCKETS numbers a language and a script table; its size depends on the number of languages
 only.
 
-Defined cases: a null text, or one without a letter, is `und` with score 0 and has no span. A text with
+Defined cases: a null text, or one without a letter, is `und` with score 0 and has no span, also if it has
+combining marks. A very long text is a chunk of its own. A text with
 letters in scripts that no language was learned in is judged with all languages as candidates. If nothing
 can be learned, every text is `und`. Ties go to the language that sorts first. Repeated rows each get
 their result. Other columns are never read. An empty table gives no rows.
@@ -30,6 +31,8 @@ from ._common import stage
 from .quality_classifier import remainder
 
 BUCKETS = 1 << 15
+#: More languages than that are refused, so that the learned table, BUCKETS numbers a language, stays some hundred MB.
+MAX_LANGUAGES = 500
 #: What a switch of language costs, in natural logarithms.
 PENALTY = 8.0
 #: A script is a language's if so large a share of its letters is in it.
@@ -46,14 +49,15 @@ _SCRIPT = np.array([0, *(SCRIPTS.index(name) for _, name in SCRIPT_RANGES)], np.
 _tables: list[np.ndarray] = []
 
 
-def _letters(points: np.ndarray) -> np.ndarray:
+def _of_kind(points: np.ndarray, kind: str) -> np.ndarray:
+    """Whether the code points' general category begins with kind: L for letters, M for marks."""
     if not _tables:
-        _tables.append(np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x10000)]))
-    low = np.minimum(points, 0xFFFF)
-    out = _tables[0][low]
+        first = [unicodedata.category(chr(c))[0] for c in range(0x10000)]
+        _tables.extend([np.array([x == k for x in first]) for k in "LM"])
+    out = _tables["LM".index(kind)][np.minimum(points, 0xFFFF)]
     high = np.flatnonzero(points > 0xFFFF)
     if len(high):
-        out[high] = [unicodedata.category(chr(c))[0] in "LM" for c in points[high].tolist()]
+        out[high] = [unicodedata.category(chr(c))[0] == kind for c in points[high].tolist()]
     return out
 
 
@@ -66,9 +70,16 @@ class Words:
         # A blank after each text ends its last word.
         points = np.frombuffer((" ".join(lowered) + " ").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         begin = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
-        letter = _letters(points)
+        # A word is a run of letters and marks with a letter in it; marks alone are none.
+        real = _of_kind(points, "L")
+        letter = real | _of_kind(points, "M")
         edges = np.diff(np.concatenate([[False], letter, [False]]).astype(np.int8))
         self.starts, self.ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        before = np.concatenate([[0], np.cumsum(real)])
+        letters = before[self.ends] - before[self.starts]
+        for a, e in zip(self.starts[letters == 0].tolist(), self.ends[letters == 0].tolist(), strict=True):
+            letter[a:e] = False
+        self.starts, self.ends = self.starts[letters > 0], self.ends[letters > 0]
         self.text = np.searchsorted(begin, self.starts, "right") - 1
         self.length = self.ends - self.starts
         padded = np.where(letter, points, 32)
@@ -76,7 +87,10 @@ class Words:
         hashed = (previous * 0x1F35 + padded * 0x5BD1E995 + following * 0x27D4EB2F) & 0xFFFFFFFF
         self.gram = ((hashed * 0x9E3779B1 & 0xFFFFFFFF) >> 17).astype(np.int64)
         self.letter = letter
-        self.script = _SCRIPT[np.searchsorted(_STARTS, points[self.starts], "right") - 1]
+        # The script is that of the word's first letter; a mark may stand before it.
+        first = np.flatnonzero(real)
+        first = first[np.searchsorted(first, self.starts)] if len(self.starts) else self.starts
+        self.script = _SCRIPT[np.searchsorted(_STARTS, points[first], "right") - 1]
 
     def per_word(self, values: np.ndarray) -> np.ndarray:
         sums = np.concatenate([[0.0], np.cumsum(np.where(self.letter, values, 0.0))])
@@ -160,7 +174,10 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Learns from the rows with a language whose remainder is not HELD_OUT."""
     known = docs.filter(F.col(lang_col).isNotNull() & (remainder(F.col(id_col), FOLDS) != HELD_OUT))
     cells = known.select(F.col(text_col), F.col(lang_col)).mapInArrow(_counted, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    rows = stage(cells, "language-counts").toPandas()  # at most BUCKETS rows a language
+    cells = stage(cells, "language-counts")
+    if cells.select("lang").distinct().count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    rows = cells.toPandas()  # at most BUCKETS rows a language, and MAX_LANGUAGES languages
     langs = sorted(set(rows["lang"]))
     counts = np.zeros((len(langs), BUCKETS + len(SCRIPTS)))
     if len(rows):

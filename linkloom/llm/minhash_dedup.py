@@ -2,8 +2,8 @@
 
 A document is posted under each (coordinate, value) pair of its MinHash signature. Two documents that
 agree in at least MATCHES of COORDINATES coordinates are candidates; each candidate pair is confirmed on
-the full shingle sets. At a similarity of 0.85 a pair is missed with a probability of about 2e-5, and with
-a similarity of 0.9 of 1e-9.
+the full shingle sets. At a similarity of 0.85 a pair has fewer matches with a probability of 1.5e-7, at 0.9 of
+2e-12, and is then still joined if other documents connect it.
 
 * Prefix: coordinate-value pairs are ordered by their number of documents, rare ones first. Documents
   with m shared pairs agree in MATCHES of them only if they meet in the first m - MATCHES + 1 of each,
@@ -14,23 +14,28 @@ a similarity of 0.9 of 1e-9.
   it is the hub of many lists and connects most of the group at once. It then leaves its lists, and lists
   whose documents are all connected are done.
 * Merging: the documents of the lists that remain are dealt into blocks, a large component into blocks of
-  its own and others by the hub they met. Lists are merged block by block: two blocks that share a list
+  its own and others by the hub they met, and each by the size of its set, so that blocks whose sizes are too
+  far apart to link are never compared. Lists are merged block by block: two blocks that share a list
   and hold different components are compared once, however many lists they share, on full sets. So every
   pair that meets in a list is tested or already connected, and no pair of documents becomes a row.
 * Connection is kept by label propagation with pointer jumping over the confirmed links.
 
 Blocks are bounded by documents and by shingles, so a hot group is many tasks' work. A hub's members are
-confirmed in blocks too. Counts and minima are combined before they are shuffled. Signatures, lists and
-links are written to the shared folder between steps.
+confirmed in blocks too, with the same bounds. A coordinate value of more than HOT documents, or of more than
+HOT_BLOCKS blocks, is dealt among several tasks. Counts and minima are combined before they are shuffled.
+Signatures, lists and links are written to the shared folder between steps.
 
 Defined cases: a null text, and one without words, has an empty set and is linked with nothing. A text of
 one to four words is one shingle, its whole sequence. Words are compared after lower-casing A-Z. Repeated
-rows with one doc_id are one document. A row without doc_id is linked with nothing: its component_id is
-null and it is kept. Other columns are never read. An empty table gives no rows.
+rows with one doc_id and one text are one document; of rows with one doc_id and different texts each links as its
+own text does, under the one id. A row without doc_id is linked with nothing: its component_id is null and it is
+kept. Ids are integers, or text that reads as one. A very long text is hashed alone and is a block of its own if it
+has more shingles than a block. Other columns are never read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,13 +43,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_ROWS, drop_ids, stage
+from ._common import BROADCAST_ROWS, drop_ids, joined_by_key, stage
 from ._shingles import chunks, shingle_sets
 
-COORDINATES, MATCHES = 64, 42
+COORDINATES, MATCHES = 64, 38
 MIN_PERCENT = 85
 #: Members of a hub, or documents of a block, that are compared together, and the shingles that a block aims at.
-BLOCK, BLOCK_SHINGLES = 128, 1 << 20
+BLOCK, BLOCK_SHINGLES = 128, 1 << 19
+#: Documents of a coordinate value, and blocks of one, that are one task's work.
+HOT, HOT_BLOCKS = 1024, 256
 #: Shingles that are counted at once when two blocks are compared.
 _COLUMNS = 1 << 13
 
@@ -108,9 +115,19 @@ def _confirm(min_percent: int):
     return confirm
 
 
+def _parts(n_shingles: Column) -> Column:
+    """The number of blocks for a group of documents."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(n_shingles) / BLOCK_SHINGLES))
+
+
+def _size_class(min_percent: int) -> Column:
+    """Sets that are similar enough are of one size class or of neighbouring ones."""
+    return F.floor(F.log(F.col("n_shingles").cast("double")) / (math.log(100 / min_percent) * (1 + 1e-9)) if min_percent < 100 else F.col("n_shingles")).cast("long")
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, min_percent: int) -> DataFrame:
-    """The pairs (a a hub, b) whose full sets are similar enough. pairs is staged, docs has doc_id and text."""
-    blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    """The pairs (a a hub, b) whose full sets are similar enough. pairs (a, b, n shingles of b) is staged, docs has doc_id and text."""
+    blocks = pairs.groupBy("a").agg(_parts(F.col("n")).alias("blocks"))
     spread = pairs.join(blocks, "a").select("a", "b", F.pmod(F.xxhash64("b"), "blocks").alias("block"))
     members = spread.select(F.col("b").alias("doc_id"), "a", "block", F.lit(False).alias("is_hub"))
     hubs = blocks.select(F.col("a").alias("doc_id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("is_hub"))
@@ -171,14 +188,15 @@ def merged(docs: DataFrame, rest: DataFrame, met: DataFrame, min_percent: int) -
     degree = met.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
     anchors = met.join(degree, "a").groupBy(F.col("b").alias("doc")).agg(F.max(F.struct("degree", "a"))["a"].alias("anchor"))
     large = own.groupBy("comp").count().filter(F.col("count") >= BLOCK // 2).select("comp", F.col("comp").alias("large"))
-    keyed = stage(own.join(anchors, "doc", "left").join(large, "comp", "left").withColumn("key", F.coalesce("large", "anchor", "doc")), "minhash-keyed")
-    parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))
-    dealt = keyed.join(keyed.groupBy("key").agg(parts.alias("parts")), "key")
-    members = stage(dealt.select("doc", "comp", F.xxhash64("key", F.pmod(F.xxhash64("doc"), "parts")).alias("block")), "minhash-blocks")
-    posts = rest.select("tok", "doc").join(members, "doc").groupBy("tok", "block").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    keyed = own.join(anchors, "doc", "left").join(large, "comp", "left").withColumns({"key": F.coalesce("large", "anchor", "doc"), "class": _size_class(min_percent)})
+    keyed = stage(keyed, "minhash-keyed")
+    dealt = keyed.join(keyed.groupBy("key", "class").agg(_parts(F.col("n_shingles")).alias("parts")), ["key", "class"])
+    members = stage(dealt.select("doc", "comp", "class", F.xxhash64("key", "class", F.pmod(F.xxhash64("doc"), "parts")).alias("block")), "minhash-blocks")
+    posts = rest.select("tok", "doc").join(members, "doc").groupBy("tok", "block", "class").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     posts = stage(posts, "minhash-block-posts")
-    sides = [posts.select("tok", F.col("block").alias(x), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in "ab"]
-    meet = sides[0].join(sides[1], "tok").filter("a <= b and least(low_a, low_b) < greatest(high_a, high_b)").select("a", "b").distinct()
+    sides = [posts.select("tok", *(F.col(c).alias(n) for c, n in (("block", x), ("low", f"low_{x}"), ("high", f"high_{x}"), ("class", f"class_{x}")))) for x in "ab"]
+    hot = posts.groupBy("tok").agg(F.ceil(F.count(F.lit(1)) / HOT_BLOCKS).alias("parts")).filter("parts > 1")
+    meet = joined_by_key(sides[0], sides[1], "tok", hot, "a").filter("a <= b and abs(class_a - class_b) <= 1 and least(low_a, low_b) < greatest(high_a, high_b)").select("a", "b").distinct()
     meet = stage(meet, "minhash-block-pairs")
     sets = docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").select("text", "doc_id")
     sets = stage(sets.mapInArrow(_sets, "shingles binary, doc_id long").dropDuplicates(["doc_id"]), "minhash-sets")
@@ -207,7 +225,8 @@ def _posted(sig: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
     own = sig.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     tokens = own.select(F.col("doc_id").alias("doc"), "n_shingles", F.posexplode("sig").alias("k", "v")).select("doc", "n_shingles", F.xxhash64("k", "v").alias("tok"))
     shared = stage(tokens.groupBy("tok").count().filter("count > 1").withColumnRenamed("count", "df"), "minhash-shared")
-    lists = tokens.join(shared, "tok").groupBy("doc", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("toks"))
+    hot = shared.select("tok", F.ceil(F.col("df") / HOT).alias("parts")).filter("parts > 1")
+    lists = joined_by_key(tokens, shared, "tok", hot, "doc").groupBy("doc", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("toks"))
     lists = lists.filter(F.size("toks") >= matches)
     all_toks = F.sort_array(F.transform("toks", lambda x: x["tok"])).alias("all_toks")
     weight = F.aggregate("toks", F.lit(0).cast("long"), lambda total, x: total + x["df"]).alias("weight")
@@ -223,15 +242,17 @@ def near_groups(docs: DataFrame, min_percent: int = MIN_PERCENT, matches: int =
     posted = stage(_posted(sig, reps, matches), "minhash-posted")
     lists = posted.select("doc", "n_shingles", "weight", F.explode("prefix.tok").alias("tok"))
     hubs = lists.groupBy("tok").agg(F.max(F.struct("weight", "doc"))["doc"].alias("hub"), F.count(F.lit(1)).alias("n"))
-    hubs = stage(hubs.filter("n > 1").select("tok", "hub"), "minhash-hubs")
-    met = lists.join(hubs, "tok").filter("doc != hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
+    hubs = stage(hubs.filter("n > 1"), "minhash-hubs")
+    hot, hubs = hubs.select("tok", F.ceil(F.col("n") / HOT).alias("parts")).filter("parts > 1"), hubs.select("tok", "hub")
+    listed = joined_by_key(lists, hubs, "tok", hot, "doc")
+    met = listed.filter("doc != hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
     met = stage(met, "minhash-met")
     side = lambda name: posted.select(F.col("doc").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("all_toks").alias(f"toks_{name}"))
     similar: Column = (100 * F.least("n_a", "n_b") >= min_percent * F.greatest("n_a", "n_b")) & (F.size(F.array_intersect("toks_a", "toks_b")) >= matches)
-    candidates = stage(met.join(side("a"), "a").join(side("b"), "b").filter(similar).select("a", "b"), "minhash-candidates")
+    candidates = stage(met.join(side("a"), "a").join(side("b"), "b").filter(similar).select("a", "b", F.col("n_b").alias("n")), "minhash-candidates")
     links = stage(confirmed(docs, candidates, min_percent), "minhash-links")
     labels = components(links)
-    placed = lists.join(hubs, "tok").filter("doc != hub").join(labels, F.col("doc") == labels["node"], "left")
+    placed = listed.filter("doc != hub").join(labels, F.col("doc") == labels["node"], "left")
     placed = stage(placed.select("tok", "doc", "n_shingles", F.coalesce("comp", "doc").alias("comp")), "minhash-placed")
     several = placed.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("tok")
     more = merged(docs, stage(placed.join(several, "tok", "left_semi"), "minhash-rest"), met, min_percent)

@@ -32,7 +32,7 @@ def _bins() -> str:
 def _distances(p: str, good: str) -> str:
     part = lambda v: f"CASE WHEN {v} > 0 THEN {v} * log2({v} / ((x + y) / 2)) ELSE 0 END"
     return f"""ref{p} AS (SELECT lang_key, kind, k, sum(c)::DOUBLE AS r FROM cells JOIN {good} USING (doc_id) GROUP BY ALL), tot{p} AS (SELECT lang_key, kind, sum(r) AS rs FROM ref{p} GROUP BY ALL),
-d{p} AS (SELECT doc_id, kind, sqrt(greatest(sum(({part("x")} + {part("y")}) / 2), 0)) AS dist FROM (SELECT doc_id, kind, c / s AS x, r / rs AS y FROM cells JOIN sums USING (doc_id, kind) JOIN ref{p} USING (lang_key, kind, k) JOIN tot{p} USING (lang_key, kind) WHERE s > 0 AND rs > 0) GROUP BY ALL)"""
+d{p} AS (SELECT doc_id, kind, CASE WHEN min(s) = 0 THEN 1 ELSE sqrt(greatest(sum(({part("x")} + {part("y")}) / 2), 0)) END AS dist FROM (SELECT doc_id, kind, s, CASE WHEN s > 0 THEN c / s ELSE 0 END AS x, r / rs AS y FROM cells JOIN sums USING (doc_id, kind) JOIN ref{p} USING (lang_key, kind, k) JOIN tot{p} USING (lang_key, kind) WHERE rs > 0) GROUP BY ALL)"""
 
 
 SQL["op10_quality_rules"] = f"""WITH w AS (SELECT doc_id, lang, coalesce(lang, '') AS lang_key, coalesce(text, '') AS text, {WORDS} AS w FROM documents),

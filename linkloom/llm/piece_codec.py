@@ -8,8 +8,10 @@ of the corpus would have to move every word of every text. A table beyond TABLE_
 and filled anew, which changes no result. For a model with crossing pieces, or one whose normalizer does
 more than mark blanks, whole texts are encoded.
 
-Defined cases: a null text is encoded as an empty one, which has only the begin and end ids. Repeated rows
-each get their own result; other columns are passed through as named. An empty table gives no rows.
+Defined cases: a null text is encoded as an empty one, which has only the begin and end ids. Very long texts
+are encoded whole, in the task that reads them. Repeated rows each get their own result. Columns named in keep
+are passed through; one with the name of a result has `_in` put after its name. Other columns are never read. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -78,10 +80,26 @@ class PieceCodec:
         return self.library.decode(ids.tolist())
 
 
-def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
-    """id_col, ids (begin and end included) and the decoded text; with digests: n_tokens and SHA-256 of both instead."""
+#: Results by name, and their types.
+RESULTS = {"n_tokens": "long", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", results: tuple[str, ...] = ("ids", "decoded"), keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns of keep, and the wanted results: begin and end are among the ids, digests are SHA-256."""
+    if unknown := set(results) - set(RESULTS):
+        raise ValueError(f"no such results: {sorted(unknown)}")
     model = docs.sparkSession.sparkContext.broadcast(_read(model_path))
-    kind = dict(docs.dtypes)[id_col]
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    passed = {c: f"{c}_in" if c in results else c for c in keep if c != id_col}
+    names = ["doc_id", *passed.values(), *results]
+    make = {
+        "n_tokens": lambda ids, texts: pa.array([len(x) for x in ids], pa.int64()),
+        "ids": lambda ids, texts: pa.array([x.tolist() for x in ids], pa.list_(pa.int32())),
+        "decoded": lambda ids, texts: pa.array(texts, pa.string()),
+        "ids_sha256": lambda ids, texts: pa.array([_little(x) for x in ids], pa.string()),
+        "decoded_sha256": lambda ids, texts: pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts], pa.string()),
+    }
+    decodes = any(x.startswith("decoded") for x in results)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = PieceCodec(model.value)
@@ -89,16 +107,12 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
                 ids = [codec.encode(x or "") for x in part.column(1).to_pylist()]
-                decoded = [codec.decode(x) for x in ids]
-                if digests:
-                    columns = [pa.array([len(x) for x in ids], pa.int64()), pa.array([_little(x) for x in ids]), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded])]
-                    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-                else:
-                    columns, names = [pa.array([x.tolist() for x in ids], pa.list_(pa.int32())), pa.array(decoded)], ["ids", "decoded"]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=[id_col, *names])
-
-    out = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {kind}, {out}")
+                texts = [codec.decode(x) for x in ids] if decodes else []
+                yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], *(make[x](ids, texts) for x in results)], names=names)
+
+    schema = [f"doc_id {kinds[id_col]}", *(f"`{name}` {kinds[c]}" for c, name in passed.items()), *(f"{x} {RESULTS[x]}" for x in results)]
+    columns = [F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(passed))]
+    return docs.select(*columns).mapInArrow(run, ", ".join(schema))
 
 
 def _little(ids: array) -> str:

@@ -10,8 +10,11 @@ between, and only per-language sums are shuffled.
 
 Defined cases: a null or blank text has no words and fails the base rules. A null language is compared
 with the histogram of all documents without language; a language without a word list, or without
-references, gets no word test. Repeated rows each get their own verdict. Other columns are never read.
-Window equality is that of 64-bit hashes of the five words. An empty table gives no rows.
+references, gets no word test. A text without any common word has the word distance 1. Repeated rows each get
+their own verdict, and the filter keeps or drops each row by its own, whatever its doc_id; a verdict depends on
+text and language only, so rows are found again by these. A very long text is one task's row, with arrays of its
+words and windows. Other columns are never read. Window equality is that of 64-bit hashes of the five words. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import WHITE, drop_ids, stage
+from ._common import WHITE, drop_rows, row_key, stage
 
 # Common function words of each language.
 COMMON_WORDS = {
@@ -43,7 +46,7 @@ def _fold(values: Column) -> Column:
 
 
 def js_distance(p: Column, q: Column) -> Column:
-    """Distance of two arrays of counts; null if either has no count."""
+    """Distance of two arrays of counts: 1 if only the first has no count, null if the second has none."""
     ps, qs = _fold(p), _fold(q)
 
     def part(x: Column, m: Column) -> Column:
@@ -53,12 +56,13 @@ def js_distance(p: Column, q: Column) -> Column:
         x, y = a / ps, b / qs
         return (part(x, (x + y) / 2) + part(y, (x + y) / 2)) / 2
 
-    return F.when((ps > 0) & (qs > 0), F.sqrt(F.greatest(_fold(F.zip_with(p, q, term)), F.lit(0.0))))
+    return F.when((ps > 0) & (qs > 0), F.sqrt(F.greatest(_fold(F.zip_with(p, q, term)), F.lit(0.0)))).when((ps == 0) & (qs > 0), F.lit(1.0))
 
 
 def document_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: the base counts and both histograms."""
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.coalesce(text_col, F.lit("")).alias("text"))
+    df = df.withColumn("key", row_key(F.col("text"), F.col("lang")))
     df = df.withColumn("w", F.array_remove(F.split("text", WHITE), ""))
     df = df.withColumn("n_words", F.size("w").cast("long"))
     w = F.col("w")
@@ -93,7 +97,7 @@ def document_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     common = F.col("common")
     count = lambda x: ((F.length(common) - F.length(F.replace(common, F.concat(F.lit(" "), x, F.lit(" ")), F.lit("")))) / (F.length(x) + 2))
     return df.select(
-        "doc_id", "lang", "n_words",
+        "doc_id", "lang", "key", "n_words",
         F.length("joined").cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -120,10 +124,10 @@ def quality_verdicts(docs: DataFrame, max_class_distance: float = MAX_CLASS_DIST
     far_classes = (F.col("n_words") >= min_class_words) & (F.col("class_distance") > max_class_distance + class_noise / F.sqrt("n_words"))
     far_words = (F.col("n_words") >= min_word_words) & (F.col("word_distance") > max_word_distance)
     far = F.coalesce(far_classes, F.lit(False)) | F.coalesce(far_words, F.lit(False))
-    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", (~F.col("base_failed") & ~far).alias("kept"))
+    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "key")
 
 
-def quality_filter(docs: DataFrame, **options) -> DataFrame:
+def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns."""
-    verdicts = stage(quality_verdicts(docs, **options), "quality-verdicts")
-    return drop_ids(docs, verdicts.filter("not kept").select("doc_id"))
+    verdicts = stage(quality_verdicts(docs, text_col=text_col, lang_col=lang_col, **options).filter("not kept").select("key"), "quality-verdicts")
+    return drop_rows(docs, row_key(F.coalesce(text_col, F.lit("")), F.col(lang_col)), verdicts)

@@ -48,7 +48,7 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_decode(read(spark, sf_dir, "documents"), piece_model(), digests=True)
+    return encode_decode(read(spark, sf_dir, "documents"), piece_model(), results=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

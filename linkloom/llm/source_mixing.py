@@ -4,8 +4,10 @@ Documents are leaves' rows in a tree of domain, language and source. A budget of
 At each node it is shared among the children by weight; a child that cannot use its share, because its
 documents are fewer even when repeated max_epochs times, takes what it can, and the rest is shared among
 its siblings by weight. Only when all siblings are full does a shortage remain for the level above, where
-the node's capacity is the sum of its leaves': so shortages move to siblings before ancestors. Windows over
-the siblings give the water level in closed form, so neither a loop nor the driver sees the tree.
+the node's capacity is the sum of its leaves': so shortages move to siblings before ancestors. Running sums over
+the siblings give the water level in closed form, so neither a loop nor the driver sees the tree. Where a level
+has more than FEW nodes, its running sums are those of the ranges of one sort and of the rows within a range, so
+millions of sources under one language are many tasks' work.
 
 A leaf with budget A and T tokens takes A div T whole epochs. The rest is a prefix of the next epoch's
 order, which is by a hash of seed, epoch and doc_id: documents are taken while the running sum of their
@@ -17,9 +19,11 @@ Only DataFrame functions are used; texts are not shuffled.
 
 Defined cases: null domain, language or source are values of their own. A null or blank text has no tokens
 and is taken with every epoch and every prefix that reaches it. Weights that a table does not name are 1.
-Ties of the hash go by doc_id; repeated rows with one doc_id are taken or left together, and count each.
-A row without doc_id hashes as an empty id. A budget of more than the root's capacity takes all documents
-max_epochs times. An empty table gives no rows.
+Ties of the hash go by doc_id; repeated rows with one doc_id in one leaf are taken or left together, and count
+each. A row without doc_id hashes as an empty id. A budget of more than the root's capacity takes all documents
+max_epochs times. A very long text is one document like any other; one that is longer than its leaf's rest ends
+the prefix. `mixed` finds rows again by doc_id, domain, language and source, and other columns may have any name.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,11 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._common import WHITE, drop_ids, small_side, stage
+from ._common import WHITE, fresh, row_key, small_side, stage
 
 SEED, MAX_EPOCHS, SHARE = 17, 2, 0.6
-#: About so many documents are in a cell of a leaf.
-CELL_DOCS = 500
+#: At most about so many documents are in a cell of a leaf.
+CELL_DOCS = 64
+#: A level of the tree with at most so many nodes has its running sums from one window a parent.
+FEW = 100_000
 DIGITS = 12
 DOMAINS = 4
 LANG_WEIGHTS = {"en": 4, "de": 2, "fr": 2, "es": 2}
@@ -57,23 +63,40 @@ def _weight(column: Column, weights: dict[str, float]) -> Column:
     return out
 
 
-def _shared(nodes: DataFrame, parent: list[str], budget: str, out: str) -> DataFrame:
+def _before(nodes: DataFrame, parent: list[str], few: int) -> DataFrame:
+    """Adds used and gone: capacity and weight of the siblings that are full before a row."""
+    order = [*parent, "ratio", "key"]
+    if nodes.count() <= few:
+        before = Window.partitionBy(*parent).orderBy("ratio", "key").rowsBetween(Window.unboundedPreceding, -1)
+        return nodes.withColumns({"used": F.coalesce(F.sum("capacity").over(before), F.lit(0)), "gone": F.coalesce(F.sum("weight").over(before), F.lit(0.0))})
+    ordered = nodes.orderBy(*order).withColumn("id", F.monotonically_increasing_id())
+    ordered = stage(ordered.withColumn("range", F.shiftrightunsigned("id", 33)), "mix-ordered")
+    ranges = ordered.groupBy(*parent, "range").agg(F.sum("capacity").alias("in_capacity"), F.sum("weight").alias("in_weight"))
+    # A parent has at most as many ranges as the sort has tasks.
+    upto = Window.partitionBy(*parent).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select(*parent, "range", F.coalesce(F.sum("in_capacity").over(upto), F.lit(0)).alias("start_used"), F.coalesce(F.sum("in_weight").over(upto), F.lit(0.0)).alias("start_gone"))
+    within = Window.partitionBy(*parent, "range").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    own = ordered.withColumns({"used": F.coalesce(F.sum("capacity").over(within), F.lit(0)), "gone": F.coalesce(F.sum("weight").over(within), F.lit(0.0))})
+    joined = own.join(stage(starts, "mix-starts"), [*parent, "range"])
+    return joined.withColumns({"used": F.col("used") + F.col("start_used"), "gone": F.col("gone") + F.col("start_gone")}).drop("id", "range", "start_used", "start_gone")
+
+
+def _shared(nodes: DataFrame, parent: list[str], budget: str, out: str, few: int) -> DataFrame:
     """Shares each parent's budget among its rows of nodes (weight, capacity, key): min(capacity, level * weight)."""
-    full_first = Window.partitionBy(*parent).orderBy((F.col("capacity") / F.col("weight")).asc(), "key")
-    before = full_first.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy(*parent)
-    used, gone = F.coalesce(F.sum("capacity").over(before), F.lit(0)), F.coalesce(F.sum("weight").over(before), F.lit(0.0))
+    nodes = stage(nodes.withColumn("ratio", F.col("capacity") / F.col("weight")), "mix-nodes")
+    weights = nodes.groupBy(*parent).agg(F.sum("weight").alias("weights"))
     # The level if all rows before this one are full and this one and the later ones are not.
-    level = (F.col(budget) - used) / (F.sum("weight").over(every) - gone)
-    nodes = nodes.withColumn("ratio", F.col("capacity") / F.col("weight")).withColumn("level", level).withColumn("is_full", F.col("level") * F.col("weight") >= F.col("capacity"))
-    found = F.min(F.when(~F.col("is_full"), F.struct("ratio", "key", "level"))).over(every)["level"]
-    nodes = nodes.withColumn("water", found)
+    level = (F.col(budget) - F.col("used")) / (F.col("weights") - F.col("gone"))
+    nodes = _before(nodes, parent, few).join(small_side(stage(weights, "mix-weights")), parent).withColumn("level", level)
+    nodes = nodes.withColumn("is_full", F.col("level") * F.col("weight") >= F.col("capacity"))
+    water = nodes.filter("not is_full").groupBy(*parent).agg(F.min(F.struct("ratio", "key", "level"))["level"].alias("water"))
+    nodes = nodes.join(small_side(stage(water, "mix-water")), parent, "left")
     # Rows before the first that is not full are full; without any such row all are.
     share = F.when(F.col("water").isNull() | F.col("is_full"), F.col("capacity").cast("double")).otherwise(F.least(F.col("capacity").cast("double"), F.col("water") * F.col("weight")))
-    return nodes.withColumn(out, F.floor(share + F.lit(1e-6)).cast("long")).drop("level", "is_full", "ratio", "water")
+    return nodes.withColumn(out, F.floor(share + F.lit(1e-6)).cast("long")).drop("level", "is_full", "ratio", "water", "used", "gone", "weights")
 
 
-def leaf_budgets(leaves: DataFrame, share: float, max_epochs: int, weights: dict[str, dict[str, float]]) -> DataFrame:
+def leaf_budgets(leaves: DataFrame, share: float, max_epochs: int, weights: dict[str, dict[str, float]], few: int = FEW) -> DataFrame:
     """Adds budget to leaves (domain, lang, source as non-null text, tokens). share is of all tokens."""
     if any(not w > 0 for level in weights.values() for w in level.values()):
         raise ValueError("weights must be positive")
@@ -87,7 +110,7 @@ def leaf_budgets(leaves: DataFrame, share: float, max_epochs: int, weights: dict
         nodes = leaves.groupBy(*path).agg(F.sum("cap").alias("capacity"))
         nodes = nodes.withColumn("b0", F.lit(budget).cast("long")) if budgeted is None else nodes.join(budgeted, parent)
         nodes = nodes.withColumn("weight", _weight(F.col(level), weights.get(level, {}))).withColumn("key", F.col(level)).withColumn("root", F.lit(0))
-        budgeted = _shared(nodes, parent or ["root"], f"b{depth}", f"b{depth + 1}").select(*path, f"b{depth + 1}")
+        budgeted = _shared(nodes, parent or ["root"], f"b{depth}", f"b{depth + 1}", few).select(*path, f"b{depth + 1}")
         parent = path
     return leaves.join(budgeted.withColumnRenamed(f"b{len(LEVELS)}", "budget"), list(LEVELS)).drop("cap").withColumn("leaf", name)
 
@@ -126,13 +149,13 @@ def mixture(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
     return whole.select(*columns).unionByName(taken.select(*columns))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", source_col: str = "source", domain: Column | None = None, **options) -> DataFrame:
     """The rows of docs as often as the mixture takes them, with all their columns."""
-    copies = stage(mixture(docs, **options).select("doc_id", "copies"), "mix-copies")
-    out = drop_ids(docs, copies.filter("copies < 1").select("doc_id"))
-    most = copies.agg(F.max("copies")).first()[0] or 0
-    if most <= 1:
-        return out
-    more = small_side(stage(copies.filter("copies > 1").distinct().select(F.col("doc_id").alias("_more_id"), F.col("copies").alias("_copies")), "mix-more"))
-    times = F.sequence(F.lit(1).cast("long"), F.coalesce("_copies", F.lit(1)))
-    return out.join(more, out["doc_id"] == more["_more_id"], "left").withColumn("_time", F.explode(times)).select(*(out[c] for c in out.columns))
+    own = domain_of(F.col(source_col)) if domain is None else domain
+    found = mixture(docs, id_col=id_col, lang_col=lang_col, source_col=source_col, domain=own, **options)
+    key, copies, time = (fresh(docs, x) for x in ("key", "copies", "time"))
+    others = found.filter("copies <> 1").select(row_key(F.col("doc_id"), F.col("domain"), F.col("lang"), F.col("source")).alias(key), F.col("copies").alias(copies)).distinct()
+    others = small_side(stage(others, "mix-copies"))
+    marked = docs.withColumn(key, row_key(F.col(id_col), own, F.col(lang_col), F.col(source_col))).join(others, key, "left")
+    times = F.sequence(F.lit(1).cast("long"), F.coalesce(copies, F.lit(1)))
+    return marked.filter(F.coalesce(copies, F.lit(1)) > 0).withColumn(time, F.explode(times)).select(*docs.columns)

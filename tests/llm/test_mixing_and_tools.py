@@ -84,6 +84,32 @@ def test_mixture_of_odd_rows(spark):
         sm.mixture(odd_docs(spark), weights={"lang": {"en": 0}})
 
 
+def test_many_siblings_are_shared_alike(spark, sf_dir):
+    """Running sums of ranges give what one window gives."""
+    docs = read(spark, sf_dir, "documents")
+    leaves = docs.selectExpr("concat('d', doc_id % 3) as domain", "lang", "concat('s', doc_id % 60) as source", "size(split(text, ' ')) as tokens").groupBy("domain", "lang", "source").agg({"tokens": "sum"}).withColumnRenamed("sum(tokens)", "tokens")
+    weights = {"domain": {"d0": 3}, "lang": {"en": 2}}
+    found = [{(r.domain, r.lang, r.source): r.budget for r in sm.leaf_budgets(leaves, 0.7, 1, weights, few=few).collect()} for few in (0, 10**6)]
+    assert found[0] == found[1] and len(found[0]) == leaves.count()
+
+
+def test_mixed_keeps_columns_of_any_name(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    docs = read(spark, sf_dir, "documents")
+    wide = docs.withColumns({c: F.lit("clash") for c in ("key", "copies", "time", "_time", "_copies", "_more_id", "h1", "leaf", "order", "cell", "domain", "used", "range")})
+    wide = wide.unionByName(wide.filter("doc_id % 7 = 0")).unionByName(wide.filter("doc_id < 3").withColumn("doc_id", F.lit(None).cast("bigint")))
+    out = sm.mixed(wide)
+    assert out.columns == wide.columns
+    taken = {}
+    for r in sm.mixture(wide).collect():
+        taken.setdefault((r.doc_id, r.lang, r.source), []).append(r.copies)
+    got = defaultdict(int)
+    for r in out.collect():
+        got[r.doc_id, r.lang, r.source] += 1
+    assert dict(got) == {k: sum(v) for k, v in taken.items() if sum(v)}
+
+
 # ---------------------------------------------------------------- tools
 
 CALLS = "conv_id bigint, call_id string, seq bigint, name string, arguments string, after array<string>"

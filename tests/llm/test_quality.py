@@ -55,12 +55,12 @@ def test_divergence_against_numpy(spark):
     from linkloom.llm.quality_rules import js_distance
 
     p, q = [3.0, 0.0, 5.0, 2.0], [1.0, 4.0, 0.0, 5.0]
-    df = spark.createDataFrame([(p, q), (p, p), (p, [0.0] * 4)], "p array<double>, q array<double>")
+    df = spark.createDataFrame([(p, q), (p, p), (p, [0.0] * 4), ([0.0] * 4, p)], "p array<double>, q array<double>")
     found = [r[0] for r in df.select(js_distance(F.col("p"), F.col("q"))).collect()]
     a, b = np.array(p) / sum(p), np.array(q) / sum(q)
     mid = (a + b) / 2
     half = lambda x: sum(v * np.log2(v / m) for v, m in zip(x, mid, strict=True) if v)
-    assert abs(found[0] - np.sqrt((half(a) + half(b)) / 2)) < 1e-12 and found[1] == 0 and found[2] is None
+    assert abs(found[0] - np.sqrt((half(a) + half(b)) / 2)) < 1e-12 and found[1] == 0 and found[2] is None and found[3] == 1
 
 
 def test_filter_keeps_columns(spark):
@@ -68,6 +68,35 @@ def test_filter_keeps_columns(spark):
     assert quality_filter(docs).columns == docs.columns
 
 
+def test_filter_judges_each_row_by_its_own_verdict(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    known = read(spark, sf_dir, "documents")
+    fine = quality_verdicts(known).filter("kept and n_words > 150").select("doc_id").join(known.filter("lang = 'en'"), "doc_id").orderBy("doc_id").first()
+    good, bad = fine.text + " end", "### $$$ " * 50
+    rows_in = [(1, good, "en"), (1, bad, "en"), (None, bad, "en"), (None, good, "en"), (2, None, None), (3, good, "en"), (3, good, "en"), (4, bad, None)]
+    docs = spark.createDataFrame([(i, t, x, "s") for i, t, x in rows_in], "doc_id bigint, text string, lang string, source string")
+    table = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").withColumn("doc_id", F.col("doc_id") + 1000)
+    both = docs.unionByName(table).withColumns({c: F.lit("clash") for c in ("key", "h1", "classes", "lang_key", "ref_words")})
+    kept = quality_filter(both)
+    assert kept.columns == both.columns
+    verdicts = rows(quality_verdicts(both).filter("kept and (doc_id is null or doc_id < 1000)"), "doc_id")
+    own = kept.filter("doc_id is null or doc_id < 1000")
+    assert rows(own, "doc_id") == verdicts == [(None,), (1,), (3,), (3,)] and {r.text for r in own.collect()} == {good}
+    assert kept.filter("doc_id >= 1000").count() == quality_verdicts(both).filter("kept and doc_id >= 1000").count()
+
+
+def test_a_long_text_without_common_words_fails(spark, sf_dir):
+    import random
+
+    rng = random.Random(2)
+    strange = " ".join("".join(rng.choice("etaoinshrdlucmfwypvbgk") for _ in range(rng.choice([3, 5, 7]))) for _ in range(300)) + "."
+    table = read(spark, sf_dir, "documents")
+    docs = table.unionByName(table.limit(1).selectExpr("-1L as doc_id", f"'{strange}' as text", "'en' as lang", "source", "n_chars"))
+    row = quality_verdicts(docs).filter("doc_id = -1").first()
+    assert row.word_distance == 1.0 and not row.base_failed and not row.kept
+
+
 # ---------------------------------------------------------------- classifier
 
 

@@ -46,7 +46,7 @@ def test_a_full_table_is_emptied(codec, monkeypatch):
 def test_encoding_of_tables(spark, sf_dir):
     library = sentencepiece.SentencePieceProcessor(model_file=piece_model())
     for docs in (read(spark, sf_dir, "documents"), odd_docs(spark)):
-        found = encode_decode(docs, piece_model(), digests=True).collect()
+        found = encode_decode(docs, piece_model(), results=("n_tokens", "ids_sha256", "decoded_sha256")).collect()
         key = lambda r: (r[0] is not None, str(r))
         expected = []
         for r in docs.collect():
@@ -55,6 +55,11 @@ def test_encoding_of_tables(spark, sf_dir):
         assert sorted(map(tuple, found), key=key) == sorted(expected, key=key)
     assert encode_decode(no_docs(spark), piece_model()).count() == 0
     assert encode_decode(odd_docs(spark), piece_model()).columns == ["doc_id", "ids", "decoded"]
+    kept = encode_decode(odd_docs(spark), piece_model(), keep=("lang", "ids", "n_chars"))
+    assert kept.columns == ["doc_id", "lang", "ids_in", "n_chars", "ids", "decoded"]
+    assert {(r.doc_id, r.lang, r.n_chars) for r in kept.collect()} == {(r.doc_id, r.lang, r.n_chars) for r in odd_docs(spark).collect()} and {r.ids_in for r in kept.collect()} == {"clash"}
+    by_other = encode_decode(odd_docs(spark).selectExpr("n_chars as ids", "text"), piece_model(), id_col="ids")
+    assert by_other.columns == ["doc_id", "ids", "decoded"] and by_other.count() == 11
 
 
 # ---------------------------------------------------------------- languages
@@ -112,3 +117,11 @@ def test_languages_of_odd_rows(spark):
     assert li.languages(no_docs(spark)).count() == 0
     unlabelled = odd_docs(spark).selectExpr("doc_id", "text", "cast(null as string) lang")
     assert {r.lang_pred for r in li.languages(unlabelled).collect()} == {"und"}
+
+
+def test_marks_alone_are_no_letters(spark):
+    model = learned(spark)
+    docs = spark.createDataFrame([(1, "\u0301\u0302 \u093e"), (2, "e\u0301 the house"), (3, "\u0301the")], "doc_id bigint, text string")
+    out = {r.doc_id: r for r in li.identify(docs, model).collect()}
+    assert (out[1].lang_pred, out[1].score, out[1].spans) == ("und", 0.0, [])
+    assert out[2].lang_pred == "en" and out[3].lang_pred in model.langs
