@@ -1,4 +1,16 @@
-"""A corpus pipeline of five stages over the table documents, each written as Parquet and read again."""
+"""A corpus pipeline of five stages over the table documents, each written as Parquet and read again.
+
+The stages, in order: quality rules, exact dedup, MinHash near-dedup, mixing of sources to target weights, and
+encoding. All but the last return the columns that they get; the last one gives each row's ids, ready to train
+on, with its language, source, token count and digests, instead of its text.
+
+Defined cases, as the stages' operators have them: a null or blank text fails the quality rules and goes. Rows
+are judged by the rules each on its own, also those that share a doc_id. Of equal texts the smallest doc_id stays;
+repeated rows of one doc_id and text stay together through the dedup stages, and a row without doc_id passes
+both. The mixture takes rows with one doc_id, language and source as often as each other, up to MIX_EPOCHS times.
+Very long texts pass every stage whole. Columns of any other name are kept up to the last stage. An empty table
+gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -10,11 +22,10 @@ from linkloom.llm.minhash_dedup import near_dedup
 from linkloom.llm.piece_codec import encode_decode
 from linkloom.llm.quality_rules import quality_filter
 from linkloom.llm.queries import piece_model
+from linkloom.llm.source_mixing import MAX_EPOCHS as MIX_EPOCHS
+from linkloom.llm.source_mixing import SHARE as MIX_SHARE
 from linkloom.llm.source_mixing import mixed
 
-#: The mixture takes nine tenths of the tokens, each document once at most: large leaves give the tenth up first.
-MIX_SHARE, MIX_EPOCHS = 0.9, 1
-
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_filter(docs)
@@ -33,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode_decode(docs, piece_model(), digests=True)
+    return encode_decode(docs, piece_model(), results=("n_tokens", "ids", "ids_sha256", "decoded_sha256"), keep=("lang", "source"))
 
 
 STAGES = [
