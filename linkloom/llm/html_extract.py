@@ -314,30 +314,36 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = found.hashes
             inner.append(sorted(hashes))
             outer.append(sorted(found.outer - hashes))
-            texts.append(blake2b(found.text().encode("utf-8", "surrogatepass"), digest_size=8).digest())
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), pa.array(texts, pa.binary()), pa.array(inner, pa.list_(pa.binary())), pa.array(outer, pa.list_(pa.binary()))], names=["page_id", "host", "main", "hashes", "outer"])
+            texts.append(found.text())
+        lists = [pa.array(x, pa.list_(pa.binary())) for x in (inner, outer)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host")), pa.array(texts, pa.string()), *lists], names=["page_id", "url", "host", "text", "hashes", "outer"])
 
 
 def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [Extraction(x or "", frozenset(t or ())).text() for x, t in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        texts = [Extraction(x or "", frozenset(t)).text() for x, t in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """page_id, url, text and n_chars of each row of pages (page_id, url, html)."""
+    """page_id, url, text and n_chars of each row of pages (page_id, url, html).
+
+    The first pass keeps each page's text; only pages that hold a template in it are read again.
+    """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^/]*//(?:[^/@]*@)?([^/:?#]*)", 1))
     pages = pages.select("page_id", "url", "html", host.alias("host"))
     kind = dict(pages.dtypes)["page_id"]
-    known = pages.filter(F.col("page_id").isNotNull()).select("page_id", "host", "html")
-    found = stage(known.mapInArrow(_first_pass, f"page_id {kind}, host string, main binary, hashes array<binary>, outer array<binary>"), "html-subtrees")
+    found = stage(pages.mapInArrow(_first_pass, f"page_id {kind}, url string, host string, text string, hashes array<binary>, outer array<binary>"), "html-subtrees")
+    known = found.filter(F.col("page_id").isNotNull())
     # Pages of a host with one main text count once for each hash that any of them has.
-    counted = found.select("host", "main", F.explode(F.concat("hashes", "outer")).alias("hash")).distinct()
+    main = F.struct(F.xxhash64("text"), F.xxhash64(F.lit(1), "text")).alias("main")
+    counted = known.select("host", main, F.explode(F.concat("hashes", "outer")).alias("hash")).distinct()
     often = counted.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
     templates = stage(often.select("host", "hash"), "html-templates")
-    one_each = found.select("page_id", "host", F.explode("hashes").alias("hash"))
+    one_each = known.select("page_id", "host", F.explode("hashes").alias("hash"))
     # A page's list holds subtrees of that page only.
     per_page = one_each.join(small_side(templates), ["host", "hash"], "left_semi").groupBy("page_id").agg(F.collect_set("hash").alias("templates"))
     per_page = small_side(stage(per_page, "html-deleted"))
-    joined = pages.join(per_page, "page_id", "left").select("page_id", "url", "html", "templates")
-    return joined.mapInArrow(_second_pass, f"page_id {kind}, url string, text string, n_chars long")
+    again = pages.join(per_page, "page_id").select("page_id", "url", "html", "templates").mapInArrow(_second_pass, f"page_id {kind}, url string, text string")
+    plain = found.join(per_page, "page_id", "left_anti").select("page_id", "url", "text")
+    return plain.unionByName(again).withColumn("n_chars", F.length("text").cast("long"))
