@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -88,9 +91,15 @@ def out_of_fold(pairs: DataFrame, names, c: float = 1.0) -> DataFrame:
     return out
 
 
-def importances(model: PipelineModel, names) -> list[tuple[str, float]]:
-    """Features by their gain (K8)."""
-    return sorted(zip(names, model.stages[-1].featureImportances.toArray().tolist(), strict=True), key=lambda x: (-x[1], x[0]))
+_SPLIT = re.compile(r"If \(feature (\d+) ")
+
+
+def importances(model: PipelineModel, names) -> list[tuple[str, float, int]]:
+    """Features by their gain, with the number of splits on each (K8)."""
+    trees = model.stages[-1]
+    splits = Counter(int(k) for tree in trees.trees for k in _SPLIT.findall(tree.toDebugString))
+    rows = [(name, float(gain), splits[k]) for k, (name, gain) in enumerate(zip(names, trees.featureImportances.toArray(), strict=True))]
+    return sorted(rows, key=lambda x: (-x[1], x[0]))
 
 
 # ---------------------------------------------------------------- artifacts

@@ -83,7 +83,7 @@ class Analyzer:
 
 
 #: The retrieval channel, the word model of the features, and the oldest generation's channel.
-CHAR, WORD, LEGACY = Analyzer(), Analyzer(kind="word", sublinear=False), Analyzer(low=2, high=5, sublinear=False, min_df=1, max_features=200_000)
+CHAR, WORD, LEGACY = Analyzer(), Analyzer(kind="word", sublinear=False, min_df=1), Analyzer(low=2, high=5, sublinear=False, min_df=1, max_features=200_000)
 
 
 @dataclass(frozen=True)
@@ -328,7 +328,11 @@ def _product(block: Block, row: np.ndarray, term: np.ndarray, w: np.ndarray, ids
             starts = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
             scores[some[starts]] += np.add.reduceat(gathered, starts, axis=0)
         np.round(scores, PLACES, out=scores)
-        hit = (scores > 0) & (scores >= best.least[first:end])
+        least = best.least[first:end]
+        if n > 2 * best.k:
+            # What is not among the k best of these targets is not among those of all.
+            least = np.maximum(least, np.partition(scores, n - best.k, axis=0)[n - best.k])
+        hit = (scores > 0) & (scores >= least)
         t, q = np.nonzero(hit)
         if len(t):
             best.add(q + first, scores[t, q], ids[t])

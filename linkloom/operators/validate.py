@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.files import dump_json, file_stats
-from ..sources.tables import FIELDS, TRUTH_FIELDS, bad_id_list, id_list, read_lines, read_repairing, well_formed
+from ..sources.tables import FIELDS, TRUTH_FIELDS, bad_id_list, id_list, read_lines, read_lists, read_repairing, well_formed
 
 EXAMPLES = 25
 
@@ -122,3 +122,11 @@ def same_order(a: DataFrame, b: DataFrame) -> bool:
     """Whether two tables (place, qid) list the same queries at the same places."""
     both = a.select("place", F.col("qid").alias("qa")).join(b.select("place", F.col("qid").alias("qb")), "place", "full_outer")
     return not both.filter(~F.col("qa").eqNullSafe(F.col("qb"))).limit(1).count()
+
+
+def validate_files(spark, matches: str, candidates: str, queries: DataFrame, targets: DataFrame) -> int:
+    """The number of queries of two list files that are valid and in the same order; raises otherwise."""
+    m, c = read_lists(spark, matches, TRUTH_FIELDS[1]), read_lists(spark, candidates, "candidate_entity_ids")
+    if not same_order(m, c):
+        raise IntegrityError("the files list their queries in different order")
+    return validate_output(m, c, queries, targets)

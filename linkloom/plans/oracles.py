@@ -110,7 +110,7 @@ def fused(source: str) -> str:
 
 SQL["bm25_topk"] = f"WITH {PARTS}, {bm25('x', 'pq', 'pt')} SELECT * FROM x_top"
 SQL["tfidf_char_topk"] = f"WITH {PARTS}, {tfidf('x', 'pq', 'pt')} SELECT * FROM x_top"
-SQL["tfidf_word_topk"] = f"WITH {PARTS}, {tfidf('x', 'pq', 'pt', 'word', sublinear=False)} SELECT * FROM x_top"
+SQL["tfidf_word_topk"] = f"WITH {PARTS}, {tfidf('x', 'pq', 'pt', 'word', sublinear=False, min_df=1)} SELECT * FROM x_top"
 SQL["tfidf_legacy_topk"] = f"WITH {PARTS}, {tfidf('x', 'pq', 'pt', low=2, sublinear=False, min_df=1, max_features=200_000)} SELECT * FROM x_top"
 SQL["bm25_topk_two_field"] = f"WITH {SEARCH}, {field_sides('name')}, {field_sides('address')}, {bm25('bn', 'q_name', 't_name')}, {bm25('ba', 'q_address', 't_address')} SELECT qid, rid FROM bn_top UNION SELECT qid, rid FROM ba_top"
 SQL["budget_recut"] = f"WITH {PARTS}, {bm25('b', 'pq', 'pt', 50)}, {tfidf('c', 'pq', 'pt', k=50)} SELECT qid, rid, 'bm25_text' AS channel, rank FROM b_top WHERE rank <= 10 UNION ALL SELECT qid, rid, 'tfidf_text', rank FROM c_top WHERE rank <= 20"

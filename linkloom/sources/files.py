@@ -1,18 +1,18 @@
-"""Control-plane files: JSON, digests, archives, manifests. These are small and handled by the driver."""
+"""Control-plane files: JSON, digests, archives, manifests. These are small, or read in blocks by the driver."""
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
-import shutil
 import zipfile
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
-from pathlib import Path
 
 from ..functions.text import ADDRESS_MAPPINGS, NAME_MAPPINGS, SUFFIXES
+from . import storage
 
+# Names and formats of input files, teams and configurations.
 VERSION = "hybrid-v2"
 _NAME = re.compile(r"^(train|test)_(source[123]|ground_truth)(\(\d+\))?\.tsv$", re.I)
 _TEAM = re.compile(r"[A-Za-z0-9_-]+")
@@ -23,15 +23,11 @@ _TEAM = re.compile(r"[A-Za-z0-9_-]+")
 
 def dump_json(path: str, value) -> None:
     """Writes JSON under another name, then renames it (K3)."""
-    at = Path(path)
-    at.parent.mkdir(parents=True, exist_ok=True)
-    hidden = at.with_name(at.name + ".tmp")
-    hidden.write_text(json.dumps(value, indent=2, ensure_ascii=False), encoding="utf-8")
-    os.replace(hidden, at)
+    storage.write(path, [json.dumps(value, indent=2, ensure_ascii=False).encode()])
 
 
 def read_json(path: str):
-    return json.loads(Path(path).read_text(encoding="utf-8"))
+    return json.loads(storage.read(path))
 
 
 @dataclass(frozen=True)
@@ -49,6 +45,8 @@ class Config:
     ngrams: tuple[int, int] = (3, 5)
     min_df: int = 2
     max_features: int = 150_000
+    #: Rows that the vocabulary is taken from; 0 for all.
+    vocabulary_rows: int = 0
     tfidf_k: int = 20
     bm25_k: int = 20
     max_tokens: int = 16
@@ -78,12 +76,11 @@ def load_config(path: str) -> Config:
 def file_stats(path: str) -> dict:
     """sha256, bytes and physical lines; a last line without its end counts."""
     digest, size, lines, last = hashlib.sha256(), 0, 0, b"\n"
-    with open(path, "rb") as f:
-        while block := f.read(1 << 20):
-            digest.update(block)
-            size += len(block)
-            lines += block.count(b"\n")
-            last = block[-1:]
+    for block in storage.blocks(path):
+        digest.update(block)
+        size += len(block)
+        lines += block.count(b"\n")
+        last = block[-1:]
     return {"sha256": digest.hexdigest(), "bytes": size, "physical_lines": lines + (last != b"\n")}
 
 
@@ -96,7 +93,7 @@ def fingerprint(folder: str, split: str) -> dict:
 def require_same_manifest(path: str, manifest: dict) -> bool:
     """Whether path holds this manifest; writes it if there is none, refuses another."""
     value = json.loads(json.dumps(manifest))
-    if not Path(path).exists():
+    if not storage.exists(path):
         dump_json(path, value)
         return False
     if read_json(path) != value:
@@ -113,13 +110,19 @@ def canonical_name(name: str) -> str | None:
     return f"{m[1]}_{m[2]}.tsv".lower() if m else None
 
 
+def _archive(source: str) -> zipfile.ZipFile | None:
+    at = storage._local(source)
+    return zipfile.ZipFile(at) if at is not None and zipfile.is_zipfile(at) else None
+
+
 def discover(source: str) -> dict[str, str]:
-    """Canonical name to member or path in a ZIP file or folder, searched recursively."""
-    if zipfile.is_zipfile(source):
-        with zipfile.ZipFile(source) as z:
-            members = [x.filename for x in z.infolist() if not x.is_dir()]
+    """Canonical name to member or path in a ZIP file of this machine or a folder, searched recursively."""
+    archive = _archive(source)
+    if archive is None:
+        members = storage.files(source)
     else:
-        members = [str(p) for p in sorted(Path(source).rglob("*")) if p.is_file()]
+        with archive:
+            members = [x.filename for x in archive.infolist() if not x.is_dir()]
     out: dict[str, str] = {}
     for member in members:
         name = canonical_name(member)
@@ -133,25 +136,29 @@ def discover(source: str) -> dict[str, str]:
     return out
 
 
+def _member(archive: zipfile.ZipFile, name: str) -> Iterator[bytes]:
+    with archive.open(name) as f:
+        while block := f.read(storage.BLOCK):
+            yield block
+
+
 def prepare(source: str, output: str, split: str = "train") -> dict:
     """Copies a split's files byte for byte; equal files that exist stay, others are refused."""
     found = discover(source)
     wanted = [f"{split}_source{n}.tsv" for n in (1, 2, 3)] + ([f"{split}_ground_truth.tsv"] if split == "train" else [])
     if missing := [x for x in wanted if x not in found]:
         raise ValueError(f"missing: {', '.join(missing)}")
-    archive = zipfile.ZipFile(source) if zipfile.is_zipfile(source) else None
-    Path(output).mkdir(parents=True, exist_ok=True)
+    archive = _archive(source)
     manifest = {}
     try:
         for name in wanted:
-            target, hidden = Path(output, name), Path(output, name + ".copying")
-            with archive.open(found[name]) if archive else open(found[name], "rb") as f, open(hidden, "wb") as g:
-                shutil.copyfileobj(f, g, 1 << 20)
-            stats = file_stats(str(hidden))
-            if target.exists() and file_stats(str(target)) != stats:
-                hidden.unlink()
+            target, hidden = f"{output}/{name}", f"{output}/{name}.copying"
+            storage.write(hidden, _member(archive, found[name]) if archive else storage.blocks(found[name]))
+            stats = file_stats(hidden)
+            if storage.exists(target) and file_stats(target) != stats:
+                storage.remove(hidden)
                 raise ValueError(f"{target} differs from input")
-            os.replace(hidden, target)
+            storage.rename(hidden, target)
             manifest[name] = stats
     finally:
         if archive:
@@ -160,12 +167,33 @@ def prepare(source: str, output: str, split: str = "train") -> dict:
     return manifest
 
 
-def package(results: dict[str, str], output: str, team: str) -> str:
-    """A ZIP of validated result files under the team's folder."""
+#: What each kind of run puts beside its two result files: nothing, a model, or a model and configurations.
+MODES = ("lists", "model", "hybrid")
+
+
+def check_team(team: str) -> None:
     if not _TEAM.fullmatch(team):
         raise ValueError("a team's name has letters, digits, _ and - only")
-    path = f"{output}/{team}.zip"
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for name, source in sorted(results.items()):
-            z.write(source, f"{team}/{name}")
+
+
+def pack(destination: str, team: str, mode: str, results: list[str], model: list[str] = (), configs: list[str] = (), documents: list[str] = (), code: str = "code/solution") -> str:
+    """A ZIP in the fixed layout; the lists are expected to be validated already (see plans.linkage.package, K12)."""
+    import io
+
+    check_team(team)
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}")
+    if (mode == "lists") == bool(model):
+        raise ValueError("a model goes with the modes that have one")
+    base = lambda x: x.rsplit("/", 1)[-1]
+    places = [(x, f"output/{base(x)}") for x in results] + [(x, f"{code}/artifacts/{base(x)}") for x in model]
+    places += [(x, f"{code}/configs/{base(x)}") for x in configs if mode == "hybrid"] + [(x, f"{code}/{base(x)}") for x in documents]
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for source, name in places:
+            with z.open(name, "w", force_zip64=True) as f:
+                for block in storage.blocks(source):
+                    f.write(block)
+    path = f"{destination}/" + ("submission.zip" if mode == "hybrid" else f"{team}_submission.zip")
+    storage.write(path, [held.getvalue()])
     return path

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
+
+# The columns of the files, and the names of repairs.
 FIELDS = ("entity_id", "business_name", "business_address", "country")
 TRUTH_FIELDS = ("source1_entity_id", "matched_entity_ids")
 MISSING_COUNTRY, EXTRA_TABS = "missing_trailing_country", "extra_tabs_in_address"
@@ -22,15 +25,28 @@ class TableError(ValueError):
 
 
 def read_lines(spark: SparkSession, path: str, fields: tuple[str, ...]) -> DataFrame:
-    """The lines of a file after its header, which must equal fields. Column line, without a carriage return."""
-    lines = spark.read.text(path)
+    """line and n, its number in the file, of the lines after the header, which must equal fields; no carriage returns.
+
+    A large file is read by several tasks, which see their own lines only, so the lines of each are counted first.
+    """
+    lines = spark.read.text(path).withColumn("id", F.monotonically_increasing_id())
     head = lines.limit(1).collect()
-    first = head[0].value.removeprefix("﻿").removesuffix("\r") if head else ""
+    first = head[0].value.removeprefix("\ufeff").removesuffix("\r") if head else ""
     if first.split("\t") != list(fields):
         raise TableError(f"{path}: header {first!r} is not {fields}")
-    clean = F.regexp_replace("value", "\r$", "").alias("line")
+    part = F.shiftrightunsigned("id", 33)
+    own = F.col("id").bitwiseAND((1 << 33) - 1)
+    if spark.read.text(path).rdd.getNumPartitions() > 1:
+        counts = lines.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("c")).orderBy("part").collect()  # a row a task
+        starts, total = [], 0
+        for r in counts:
+            starts.append((r.part, total))
+            total += r.c
+        lines = lines.withColumn("part", part).join(F.broadcast(spark.createDataFrame(starts, "part long, start long")), "part")
+        own = own + F.col("start")
+    numbered = lines.select(F.regexp_replace("value", "\r$", "").alias("line"), (own + 1).alias("n"))
     # The header is the first line of the file; an equal line further down is a malformed row of its own.
-    return lines.select(clean, F.monotonically_increasing_id().alias("n")).filter((F.col("n") > 0)).select("line", "n")
+    return numbered.filter("n > 1")
 
 
 def _reject(bad: DataFrame, path: str, what: str) -> None:
@@ -38,11 +54,17 @@ def _reject(bad: DataFrame, path: str, what: str) -> None:
         raise TableError(f"{path}: {what}: " + "; ".join(str(r[0])[:80] for r in found))
 
 
-def read_strict(spark: SparkSession, path: str, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """A table whose rows all have every field, and whose ids are neither blank, padded nor repeated."""
-    parts = read_lines(spark, path, fields).filter("line <> ''").select("line", F.split("line", "\t", -1).alias("p"))
+def split_fields(line: Column) -> Column:
+    """The fields of a line. One in quotes loses them, a doubled quote in it is one, and a tab in it is text."""
+    field = F.regexp_extract_all(F.concat(F.lit("\t"), line), F.lit(r'\t("(?:[^"]|"")*"(?=\t|$)|[^\t]*)'), F.lit(1))
+    return F.transform(field, lambda x: F.when(x.rlike(r'^"(?:[^"]|"")*"$'), F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
+
+
+def read_strict(spark: SparkSession, path: str, fields: tuple[str, ...] = FIELDS, numbered: bool = False) -> DataFrame:
+    """A table whose rows all have every field, and whose ids are neither blank, padded nor repeated (R1); n is the line's number."""
+    parts = read_lines(spark, path, fields).filter("line <> ''").select("line", "n", split_fields(F.col("line")).alias("p"))
     _reject(parts.filter(F.size("p") != len(fields)).select("line"), path, "wrong number of fields")
-    rows = parts.select(*(F.col("p")[k].alias(f) for k, f in enumerate(fields)))
+    rows = parts.select(*(F.col("p")[k].alias(f) for k, f in enumerate(fields)), *(["n"] if numbered else []))
     key = fields[0]
     _reject(rows.filter((F.trim(key) == "") | (F.trim(key) != F.col(key))).select(key), path, "blank or padded id")
     _reject(rows.groupBy(key).count().filter("count > 1").select(key), path, "repeated id")
@@ -65,15 +87,10 @@ def read_repairing(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     lines = read_lines(spark, path, FIELDS)
     rows = repaired(lines)
     _reject(rows.filter("repair = 'broken'").select("line"), path, "cannot be repaired")
-    audit = rows.filter("repair is not null").select(numbered(F.col("n")).alias("line"), "entity_id", "repair")
+    audit = rows.filter("repair is not null").select(F.col("n").alias("line"), "entity_id", "repair")
     return rows.select(*FIELDS), audit
 
 
-def numbered(n: Column) -> Column:
-    """Line number of a row's place in a file that one task reads; in a larger file, order and not number."""
-    return (n + 1).cast("long")
-
-
 def well_formed(entity_id: Column, source: int) -> Column:
     """S{n}- in front, not padded, no comma."""
     return entity_id.startswith(f"S{source}-") & (F.trim(entity_id) == entity_id) & ~F.contains(entity_id, F.lit(","))
@@ -105,10 +122,10 @@ def bad_id_list(text: Column) -> Column:
 
 
 def read_lists(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """qid and ids of a list file."""
-    rows = read_strict(spark, path, (TRUTH_FIELDS[0], column))
+    """qid, ids and place (the line's number) of a list file."""
+    rows = read_strict(spark, path, (TRUTH_FIELDS[0], column), numbered=True)
     _reject(rows.filter(bad_id_list(F.col(column))).select(column), path, "bad id list")
-    return rows.select(F.col(TRUTH_FIELDS[0]).alias("qid"), id_list(F.col(column)).alias("ids"))
+    return rows.select(F.col(TRUTH_FIELDS[0]).alias("qid"), id_list(F.col(column)).alias("ids"), F.col("n").alias("place"))
 
 
 def links_of(lists: DataFrame) -> DataFrame:
@@ -130,39 +147,34 @@ def read_truth(spark: SparkSession, path: str, queries: DataFrame, targets: Data
 
 
 def write_lists(lists: DataFrame, queries: DataFrame, path: str, column: str) -> None:
-    """One TSV of all queries in their order with sorted ids; written aside and renamed by the driver (K1, K2).
+    """One TSV of all queries in their order with sorted ids, written aside and renamed (K1).
 
     queries has qid and place. The file is one by contract, so its rows pass one task; they are ids only.
     """
-    import os
-    import shutil
-    from pathlib import Path
-
     ids = F.array_join(F.array_sort(F.coalesce("ids", F.array().cast("array<string>"))), ",")
-    rows = queries.select("qid", "place").join(lists, "qid", "left").orderBy("place").select(F.concat_ws("\t", "qid", ids).alias("value"))
-    spark = queries.sparkSession
-    hidden = f"{path}.tmp"
-    head = spark.createDataFrame([(f"{TRUTH_FIELDS[0]}\t{column}",)], "value string")
-    rows.coalesce(1).write.mode("overwrite").text(hidden)
-    parts = sorted(Path(hidden).glob("part-*"))
-    final = f"{path}.done"
-    with open(final, "wb") as out:
-        out.write(head.first().value.encode() + b"\n")
-        for part in parts:
-            with open(part, "rb") as f:
-                shutil.copyfileobj(f, out)
-    os.replace(final, path)
-    shutil.rmtree(hidden)
+    rows = queries.select("qid", "place").join(lists.select("qid", "ids"), "qid", "left").select(F.lit(1).alias("part"), "place", F.concat_ws("\t", "qid", ids).alias("value"))
+    head = queries.sparkSession.range(1).select(F.lit(0).alias("part"), F.lit(None).cast(dict(rows.dtypes)["place"]).alias("place"), F.lit(f"{TRUTH_FIELDS[0]}\t{column}").alias("value"))
+    storage.one_file(head.unionByName(rows).orderBy("part", "place").select("value"), path)
+
+
+def write_table(rows: DataFrame, path: str, order: str) -> int:
+    """One TSV file with header, sorted (K9, K14); a report or a bounded sample, which passes one task. Gives the number of rows."""
+    text = F.concat_ws("\t", *(F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), "[\t\r\n]", " ") for c in rows.columns))
+    body = rows.select(F.lit(1).alias("part"), F.col(order).alias("o"), text.alias("value"))
+    head = rows.sparkSession.range(1).select(F.lit(0).alias("part"), F.lit(None).cast(dict(body.dtypes)["o"]).alias("o"), F.lit("\t".join(rows.columns)).alias("value"))
+    storage.one_file(head.unionByName(body).orderBy("part", "o", "value").select("value"), path)
+    return rows.count()
 
 
 def write_tsv(rows: DataFrame, path: str, by: str | None = None) -> None:
-    """A folder of TSV files with header, one subfolder per value of by."""
+    """A folder of TSV files with header, one subfolder per value of by."""
     writer = rows.write.mode("overwrite").option("header", True).option("sep", "\t").option("emptyValue", "").option("quote", "\u0000")
     (writer.partitionBy(by) if by else writer).csv(path)
 
 
 # ---------------------------------------------------------------- fixture
 
+# The names of the example.
 NAMES = ("Orchid", "Maple", "Falcon", "Cedar", "Lotus", "Amber", "River", "Coral", "Silver", "Olive", "Banyan", "Pearl")
 
 
@@ -190,9 +202,6 @@ def fixture(spark: SparkSession, split: str = "train", n: int = 12) -> dict[str,
 
 def write_fixture(spark: SparkSession, folder: str, split: str = "train", n: int = 12) -> None:
     """The fixture as TSV files; a handful of rows."""
-    from pathlib import Path
-
-    Path(folder).mkdir(parents=True, exist_ok=True)
     for name, df in fixture(spark, split, n).items():
         lines = ["\t".join(df.columns), *("\t".join(r) for r in df.orderBy(df.columns[0]).collect())]
-        Path(folder, f"{split}_{name}.tsv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+        storage.write(f"{folder}/{split}_{name}.tsv", [("\n".join(lines) + "\n").encode()])

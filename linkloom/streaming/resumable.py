@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +15,7 @@ def run_available(spark: SparkSession, source: str, schema: str, checkpoint: str
     Each batch replaces a subfolder of its own, so one that is run again leaves its rows once. A checkpoint is
     bound to its manifest: with another model, threshold or catalog it is refused.
     """
-    require_same_manifest(str(Path(checkpoint, "manifest.json")), manifest)
+    require_same_manifest(f"{checkpoint}/manifest.json", manifest)
     done = []
 
     def batch(df: DataFrame, number: int) -> None:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.operators.validate import IntegrityError, audit
-from linkloom.sources import files, tables
+from linkloom.sources import files, storage, tables
 
 HEADER = "\t".join(tables.FIELDS)
 
@@ -96,4 +96,50 @@ def test_manifests_and_configuration(tmp_path):
     with pytest.raises(ValueError):
         files.load_config(str(tmp_path / "c.json"))
     with pytest.raises(ValueError):
-        files.package({}, str(tmp_path), "a/b")
+        files.pack(str(tmp_path), "a/b", "lists", [])
+
+
+def test_quoted_fields(spark, tmp_path):
+    path = put(tmp_path, "q.tsv", HEADER, 'S1-1\t"A ""B"""\t"C\tD"\tE', 'S1-2\tx"y\t""\t')
+    assert [tuple(r) for r in tables.read_strict(spark, path).orderBy("entity_id").collect()] == [("S1-1", 'A "B"', "C\tD", "E"), ("S1-2", 'x"y', "", "")]
+
+
+def test_line_numbers_of_a_file_of_many_tasks(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    path = put(tmp_path, "n.tsv", HEADER, *(f"S1-{i:05}\tA\tB" + ("\tC" if i % 50 else "") for i in range(3000)))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert spark.read.text(path).rdd.getNumPartitions() > 4
+        _, repairs = tables.read_repairing(spark, path)
+        assert [tuple(r)[:2] for r in repairs.orderBy("line").collect()] == [(i + 2, f"S1-{i:05}") for i in range(0, 3000, 50)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_files_through_the_file_systems_of_spark(spark, tmp_path, monkeypatch):
+    """The way that paths of distributed file systems take, tried on this machine's."""
+    monkeypatch.setattr(storage, "_local", lambda path: None)
+    folder = f"file://{tmp_path}/deep"
+    files.dump_json(f"{folder}/a.json", {"x": "é"})
+    files.dump_json(f"{folder}/a.json", {"x": "ü"})
+    assert files.read_json(f"{folder}/a.json") == {"x": "ü"} and storage.exists(f"{folder}/a.json") and not storage.exists(f"{folder}/b.json")
+    big = bytes(range(256)) * 10_000
+    storage.write(f"{folder}/big", [big, b"end"])
+    assert storage.read(f"{folder}/big") == big + b"end" and files.file_stats(f"{folder}/big")["bytes"] == len(big) + 3
+    assert files.require_same_manifest(f"{folder}/m.json", {"a": 1}) is False and files.require_same_manifest(f"{folder}/m.json", {"a": 1}) is True
+    lists = spark.createDataFrame([("b", ["S3-1", "S2-1"]), ("a", [])], "qid string, ids array<string>")
+    tables.write_lists(lists, lists.selectExpr("qid", "qid as place"), f"{folder}/out.tsv", "matched_entity_ids")
+    assert storage.read(f"{folder}/out.tsv") == b"source1_entity_id\tmatched_entity_ids\na\t\nb\tS2-1,S3-1\n"
+    names = [x.rsplit("/", 1)[-1] for x in storage.files(folder)]
+    assert {"a.json", "big", "m.json", "out.tsv"} <= set(names)
+    storage.remove(f"{folder}/big")
+    assert not storage.exists(f"{folder}/big")
+
+
+def test_prefixes_of_files(spark):
+    from linkloom.operators.profile import first_rows
+
+    rows = spark.range(200_000).selectExpr("id % 2 as file", "id as n")
+    assert sorted((r.file, r.n) for r in first_rows(rows, 3).collect()) == [(0, 0), (0, 2), (0, 4), (1, 1), (1, 3), (1, 5)]
