@@ -7,7 +7,8 @@ Ridge scores of the labelled rows that the solution did not see are counted on a
 isotonic regression of these counts turns scores into probabilities. Every labelled row that may be
 learned from is used; there is no sample.
 
-Defined cases: a null text is scored as an empty one, and every text gets a score. Labels are averaged per
+Defined cases: a null text is scored as an empty one, and every text gets a score. A very long text is measured
+whole, in a chunk of its own. Labels are averaged per
 doc_id, so repeated labels count once; a null label is no label. Without any label to learn from, or with
 one class only, the score is the mean label, or 0.5 if there is none. Repeated rows each get their score.
 Other columns are never read. An empty table gives no rows.

@@ -125,3 +125,91 @@ def test_marks_alone_are_no_letters(spark):
     out = {r.doc_id: r for r in li.identify(docs, model).collect()}
     assert (out[1].lang_pred, out[1].score, out[1].spans) == ("und", 0.0, [])
     assert out[2].lang_pred == "en" and out[3].lang_pred in model.langs
+
+
+# ---------------------------------------------------------------- language ID's whole way in plain Python
+
+
+def plain_words(text):
+    """Runs of letters and marks with a letter, as (start, end) in the lower-cased text."""
+    import unicodedata
+
+    out, begin = [], None
+    for k, c in enumerate(text + " "):
+        if unicodedata.category(c)[0] in "LM":
+            begin = k if begin is None else begin
+        elif begin is not None:
+            if any(unicodedata.category(x)[0] == "L" for x in text[begin:k]):
+                out.append((begin, k))
+            begin = None
+    return out
+
+
+def plain_script(c):
+    return li.SCRIPTS.index("Latin" if ord(c) < li.SCRIPT_RANGES[0][0] else [name for start, name in li.SCRIPT_RANGES if start <= ord(c)][-1])
+
+
+def plain_cells(word):
+    """The cells of a word's letter trigrams, with a blank before and after it."""
+    p = [32, *map(ord, word), 32]
+    out = []
+    for a, b, c in zip(p, p[1:], p[2:], strict=False):
+        h = (a * 0x1F35 + b * 0x5BD1E995 + c * 0x27D4EB2F) & 0xFFFFFFFF
+        out.append((h * 0x9E3779B1 & 0xFFFFFFFF) >> 17)
+    return out
+
+
+def test_languages_of_the_table_against_plain_python(spark, sf_dir):
+    import math
+    import unicodedata
+    from collections import Counter
+
+    docs = read(spark, sf_dir, "documents")
+    rows = [(r.doc_id, (r.text or "").lower(), r.lang) for r in docs.collect()]
+    rows += [(100_001, "the end der anfang " * 30 + "и the", None), (100_002, "", None), (100_003, "12 \u0301", None)]
+    both = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame([(i, t, lang) for i, t, lang in rows[-3:]], "doc_id bigint, text string, lang string"))
+    found = {r.doc_id: r for r in li.languages(both).collect()}
+    grams, scripts = {}, {}
+    for i, text, lang in rows:
+        if lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            for a, e in plain_words(text):
+                word = text[a:e]
+                grams.setdefault(lang, Counter()).update(plain_cells(word))
+                scripts.setdefault(lang, Counter())[plain_script(next(c for c in word if unicodedata.category(c)[0] == "L"))] += len(word)
+    langs = sorted(grams)
+    total = {x: sum(grams[x].values()) + 0.5 * li.BUCKETS for x in langs}
+    logs = {x: (lambda cell, x=x: math.log((grams[x][cell] + 0.5) / total[x])) for x in langs}
+    for i, text, _ in rows:
+        spans, words = [], plain_words(text)
+        best, back = None, []
+        for a, e in words:
+            word = text[a:e]
+            script = plain_script(next(c for c in word if unicodedata.category(c)[0] == "L"))
+            allowed = [scripts[x][script] >= li.SCRIPT_SHARE * sum(scripts[x].values()) for x in langs]
+            own = [sum(map(logs[x], plain_cells(word))) if ok or not any(allowed) else -1e9 for x, ok in zip(langs, allowed, strict=True)]
+            if best is None:
+                best = own
+                continue
+            top = max(range(len(langs)), key=lambda k: best[k])
+            back.append([top if best[top] - li.PENALTY > best[k] else k for k in range(len(langs))])
+            best = [max(best[k], best[top] - li.PENALTY) + own[k] for k in range(len(langs))]
+        r = found[i]
+        if not words:
+            assert (r.lang_pred, r.score, r.spans) == ("und", 0.0, [])
+            continue
+        state = max(range(len(langs)), key=lambda k: best[k])
+        path = [state]
+        for row in reversed(back):
+            state = row[state]
+            path.append(state)
+        path.reverse()
+        share = Counter()
+        for (a, e), k in zip(words, path, strict=True):
+            share[langs[k]] += e - a
+        top = max(sorted(share), key=lambda x: share[x])
+        assert r.lang_pred == top and abs(r.score - share[top] / sum(share.values())) < 1e-9, i
+        for k, x in enumerate(path):
+            if not spans or spans[-1][2] != langs[x]:
+                spans.append([k, k + 1, langs[x]])
+            spans[-1][1] = k + 1
+        assert [[s.first, s.end, s.lang] for s in r.spans] == spans, i
