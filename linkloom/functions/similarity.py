@@ -36,9 +36,10 @@ def length_ratio(a: Column, b: Column) -> Column:
 
 
 def common_prefix(a: Column, b: Column) -> Column:
-    """Length of the common prefix: the number of lengths at which both prefixes are equal."""
-    upto = F.sequence(F.lit(1), F.greatest(F.least(F.length(a), F.length(b)), F.lit(1)))
-    return F.size(F.filter(upto, lambda n: F.substring(a, F.lit(1), n) == F.substring(b, F.lit(1), n)))
+    """Length of the common prefix: the place before the first at which the characters differ."""
+    same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x.eqNullSafe(y))
+    differs = F.array_position(same, False)
+    return F.when(differs == 0, F.least(F.length(a), F.length(b))).otherwise(differs - 1)
 
 
 def prefix_similarity(a: Column, b: Column) -> Column:

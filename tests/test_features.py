@@ -203,3 +203,46 @@ def test_configured_normalisation(spark):
     assert (x.name_norm, x.name_core, x.address_norm, x.name_translit) == ("bar gmbh kg", "bar", "haupt strasse 5", "")
     plain = row.select(*(v.alias(k) for k, v in t.normalized_record(F.col("n"), F.col("a"), F.col("c"), name_mappings={}, suffixes=()).items())).first()
     assert plain.name_core == plain.name_norm == unicodedata.normalize("NFKC", "foo gmbh kg")
+
+
+def test_legacy_features_against_plain_python(spark):
+    from difflib import SequenceMatcher
+
+    rows = [(a[0], b[0], *a[1:], *b[1:]) for a in RECORDS for b in RECORDS]
+    columns = [f"{c}_{side}" for side in "qt" for c in ("name", "address", "country")]
+    df = spark.createDataFrame(rows, "qid bigint, rid bigint, " + ", ".join(f"{c} string" for c in columns))
+
+    def plain(x):
+        x = "".join(c for c in unicodedata.normalize("NFKD", x.casefold()) if not unicodedata.combining(c)).replace("&", " and ")
+        return " ".join("".join(c if c == "_" or c.isspace() or unicodedata.category(c)[0] in "LN" else " " for c in x).split())
+
+    found = {(r.qid, r.rid): r for r in feat.legacy_features(df).collect()}
+    for q, r, *values in rows:
+        nq, aq, cq, nt, at, ct = map(plain, values)
+        want = []
+        for a, b in ((nq, nt), (aq, at)):
+            want += [SequenceMatcher(None, a, b, autojunk=False).ratio() if a and b else 0.0, sets(a.split(), b.split())[0], float(a == b != "")]
+        na, nb = set(re.findall(r"\d+", aq)), set(re.findall(r"\d+", at))
+        want += [sets(na, nb)[0], float(bool(na and nb) and not na & nb), float(cq == ct != ""), float(bool(cq and ct) and cq != ct), float(not nq or not nt), float(not aq or not at)]
+        assert [found[q, r][k] for k in feat.LEGACY_NAMES] == pytest.approx(want, abs=1e-9), (q, r)
+
+
+@pytest.mark.parametrize("a,b,n", [("", "", 0), ("a", "", 0), ("abc", "abd", 2), ("abc", "abc", 3), ("ab", "abc", 2), ("x", "y", 0), ("é🙂a", "é🙂b", 2)])
+def test_common_prefixes(spark, a, b, n):
+    from linkloom.functions.similarity import common_prefix
+
+    assert spark.createDataFrame([(a, b)], "a string, b string").select(common_prefix(F.col("a"), F.col("b"))).first()[0] == n
+
+
+def test_token_ratios_of_the_table(spark, sf_dir):
+    from difflib import SequenceMatcher
+
+    from linkloom.plans import queries as plans
+
+    pairs = {r.p_partkey: (r.a, r.b) for r in plans.part_pairs(spark, sf_dir).collect()}
+    found = plans.QUERIES["token_ratio_features"](spark, sf_dir).collect()
+    assert len(found) == len(pairs)
+    for r in found:
+        a, b = pairs[r.p_partkey]
+        want = (token_set(a, b), indel(" ".join(sorted(a.split())), " ".join(sorted(b.split()))), SequenceMatcher(None, a, b, autojunk=False).ratio())
+        assert (r.token_set, r.token_sort, r.sequence) == pytest.approx(want, abs=2e-6)
