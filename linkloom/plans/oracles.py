@@ -198,6 +198,23 @@ SELECT 'repeated_query' AS problem, 0::BIGINT AS n UNION ALL SELECT 'unknown_que
 UNION ALL SELECT 'query_without_row', count(*) FROM q WHERE qid NOT IN (SELECT qid FROM m) OR qid NOT IN (SELECT qid FROM c)
 UNION ALL SELECT 'match_not_candidate', count(*) FROM (SELECT * FROM m EXCEPT SELECT * FROM c) UNION ALL SELECT 'unknown_target', count(*) FROM unknown"""
 
+# ---------------------------------------------------------------- files
+
+FILE = "file AS (SELECT *, 'S2-' || lpad(c_custkey::VARCHAR, 9, '0') AS entity_id FROM customer)"
+SQL["strict_read"] = f"WITH {FILE} SELECT entity_id, c_name AS business_name, c_mktsegment AS business_address, c_nationkey::VARCHAR AS country FROM file"
+SQL["repair_lines"] = f"WITH {LINES}, n AS (SELECT *, row_number() OVER (ORDER BY c_custkey) + 1 AS line FROM lines) SELECT line, 'S2-' || c_custkey AS entity_id, CASE fields WHEN 3 THEN 'missing_trailing_country' ELSE 'extra_tabs_in_address' END AS repair FROM n WHERE fields <> 4"
+SQL["source_set"] = "SELECT source, c_nationkey::VARCHAR AS country, count(*) AS n, 'S' || source || '-' || lpad(min(c_custkey)::VARCHAR, 9, '0') AS first_id FROM customer, (SELECT unnest([1, 2, 3])::BIGINT AS source) GROUP BY source, c_nationkey"
+SQL["file_statistics"] = f"WITH {FILE}, whole AS (SELECT concat_ws(chr(9), 'entity_id', 'business_name', 'business_address', 'country') || chr(10) || string_agg(concat_ws(chr(9), entity_id, c_name, c_mktsegment, c_nationkey) || chr(10), '' ORDER BY c_custkey) AS text, count(*) + 1 AS n FROM file) SELECT sha256(text) AS sha256, strlen(text)::BIGINT AS bytes, n AS physical_lines FROM whole"
+LISTS = f"{RECORDS}, l AS (SELECT DISTINCT a.entity_id AS qid, b.entity_id AS tid FROM rec a JOIN rec b USING (digest) WHERE a.source = 1 AND b.source > 1)"
+SQL["list_file"] = f"WITH {LISTS} SELECT entity_id AS qid, coalesce(string_agg(tid, ',' ORDER BY tid), '') AS ids, row_number() OVER (ORDER BY entity_id) + 1 AS line FROM rec LEFT JOIN l ON qid = entity_id WHERE source = 1 GROUP BY entity_id"
+SQL["truth_read"] = f"WITH {LISTS} SELECT * FROM l"
+SQL["files_validated"] = f"WITH {RECORDS} SELECT count(*) AS n_queries FROM rec WHERE source = 1"
+SQL["manifest_guard"] = "SELECT * FROM (VALUES ('first', 'false'), ('same', 'true'), ('other', 'refused')) v(run, answer)"
+SQL["resumed_scores"] = "SELECT o_orderkey, floor(o_totalprice)::BIGINT AS score FROM orders"
+SQL["first_of_each"] = "SELECT file, n, c_name FROM (SELECT c_nationkey AS file, c_custkey AS n, c_name, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer) WHERE r <= 5"
+SQL["threshold_validity"] = "SELECT c_custkey, (c_acctbal / 5000 BETWEEN 0 AND 1.000001)::BIGINT AS valid FROM customer"
+SQL["tfidf_empty_vocabulary"] = "SELECT 0::BIGINT AS qid, 0::BIGINT AS rid, 0.0::DOUBLE AS score, 0::BIGINT AS rank WHERE false"
+
 # ---------------------------------------------------------------- profiles
 
 SQL["distribution_disc"] = "WITH d AS (SELECT lang, length(text) AS v FROM documents) SELECT lang, count(*) AS count, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean, quantile_disc(v, 0.5) AS median, quantile_disc(v, 0.95) AS p95 FROM d GROUP BY lang"

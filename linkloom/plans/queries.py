@@ -22,8 +22,10 @@ from ..operators import exact, graph, profile, retrieval, validate
 from ..operators import features as feat
 from ..operators import model as m
 from ..operators.fusion import budgeted, fused_topk, restricted
-from ..sources import tables
-from ..sources.staging import spread, stage
+from ..sources import files, storage, tables
+from ..sources.staging import shared_path, spread, stage
+from ..streaming import resumable
+from . import linkage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -370,6 +372,127 @@ def validate_output(spark, d):
     return validate.output_problems(lists, capped, q, targets)
 
 
+# ---------------------------------------------------------------- files
+
+
+def _file(spark, d, tag, n=2, fields=tables.FIELDS):
+    """The path of a TSV file of all customers as a source, ordered by id."""
+    k = F.col("c_custkey")
+    line = F.concat_ws("\t", F.concat(F.lit(f"S{n}-"), F.lpad(k.cast("string"), 9, "0")), "c_name", "c_mktsegment", F.col("c_nationkey").cast("string"))
+    return _written(spark, read(spark, d, "customer").select(k.alias("place"), line.alias("value")), tag, fields)
+
+
+def _written(spark, lines, tag, fields):
+    path = shared_path(spark, tag) + ".tsv"
+    head = spark.range(1).select(F.lit(-1).cast("bigint").alias("place"), F.lit("\t".join(fields)).alias("value"))
+    storage.one_file(head.unionByName(lines).orderBy("place").select("value"), path)
+    return path
+
+
+@query
+def strict_read(spark, d):
+    return tables.read_strict(spark, _file(spark, d, "strict"))
+
+
+@query
+def repair_lines(spark, d):
+    """Which lines of a file were mended, by number."""
+    lines = _lines(spark, d).select(F.col("c_custkey").alias("place"), F.col("line").alias("value"))
+    return tables.read_repairing(spark, _written(spark, lines, "repair", tables.FIELDS))[1]
+
+
+@query
+def source_set(spark, d):
+    folder = shared_path(spark, "sources")
+    for n in (1, 2, 3):
+        storage.rename(_file(spark, d, f"source{n}", n), f"{folder}/train_source{n}.tsv")
+    first, others = tables.read_sources(spark, folder, "train")
+    every = first.select(F.lit(1).alias("source"), "entity_id", "country").unionByName(others.select("source", "entity_id", "country"))
+    return every.groupBy("source", "country").agg(F.count(F.lit(1)).alias("n"), F.min("entity_id").alias("first_id")).withColumn("source", long(F.col("source")))
+
+
+@query
+def file_statistics(spark, d):
+    stats = files.file_stats(_file(spark, d, "stats"))
+    return spark.createDataFrame([(stats["sha256"], stats["bytes"], stats["physical_lines"])], "sha256 string, bytes bigint, physical_lines bigint")
+
+
+def _lists(spark, d):
+    q, links = _truth(spark, d)
+    lists = links.groupBy("qid").agg(F.collect_set("tid").alias("ids"))
+    return q.join(lists, "qid", "left").select("qid", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
+
+
+@query
+def list_file(spark, d):
+    """Truth written as a list file and read back, with each query's line."""
+    path, lists = shared_path(spark, "lists") + ".tsv", _lists(spark, d)
+    tables.write_lists(lists, lists.select("qid", F.col("qid").alias("place")), path, tables.TRUTH_FIELDS[1])
+    found = tables.read_lists(spark, path, tables.TRUTH_FIELDS[1])
+    return found.select("qid", F.array_join("ids", ",").alias("ids"), F.col("place").alias("line"))
+
+
+@query
+def truth_read(spark, d):
+    """Links of a truth file that names known queries and targets only."""
+    path, lists = shared_path(spark, "truth") + ".tsv", _lists(spark, d)
+    tables.write_lists(lists, lists.select("qid", F.col("qid").alias("place")), path, tables.TRUTH_FIELDS[1])
+    r = records(spark, d)
+    return tables.links_of(tables.read_truth(spark, path, r.filter("source = 1"), r.filter("source > 1")))
+
+
+@query
+def files_validated(spark, d):
+    """The number of queries of two list files, staged, validated and put in their places."""
+    lists, r = stage(_lists(spark, d), "file-lists"), records(spark, d)
+    n = linkage.write_pair(spark, lists, lists, lists.select("qid"), r.filter("source > 1").select(F.col("entity_id").alias("tid")), shared_path(spark, "pair"))
+    return spark.createDataFrame([(n,)], "n_queries bigint")
+
+
+@query
+def manifest_guard(spark, d):
+    """What a manifest says to the same run, and to a run over other tables."""
+    path = shared_path(spark, "manifest") + ".json"
+    manifest = {"rows": read(spark, d, "customer").count()}
+    out = [("first", str(files.require_same_manifest(path, manifest)).lower()), ("same", str(files.require_same_manifest(path, manifest)).lower())]
+    try:
+        files.require_same_manifest(path, {"rows": manifest["rows"] + 1})
+    except ValueError:
+        out.append(("other", "refused"))
+    return spark.createDataFrame(out, "run string, answer string")
+
+
+@query
+def resumed_scores(spark, d):
+    """Orders scored as files that come in two lots, each file once."""
+    orders, base = read(spark, d, "orders").select("o_orderkey", "o_totalprice"), shared_path(spark, "resumed")
+    score = lambda df: df.select("o_orderkey", F.floor("o_totalprice").alias("score"))
+    for lot in (0, 1):
+        orders.filter(F.pmod("o_orderkey", F.lit(2)) == lot).write.mode("append").parquet(f"{base}/in")
+        for _ in range(2):  # the second run finds nothing new
+            resumable.run_available(spark, f"{base}/in", "o_orderkey bigint, o_totalprice double", f"{base}/state", f"{base}/out", {"model": 1}, score)
+    return resumable.rows_of(spark, f"{base}/out")
+
+
+@query
+def first_of_each(spark, d):
+    rows = read(spark, d, "customer").select(F.col("c_nationkey").alias("file"), F.col("c_custkey").alias("n"), "c_name")
+    return profile.first_rows(rows, 5)
+
+
+@query
+def threshold_validity(spark, d):
+    value = F.col("c_acctbal") / 5000
+    return read(spark, d, "customer").select("c_custkey", long(ev.valid_threshold(value)).alias("valid"))
+
+
+@query
+def tfidf_empty_vocabulary(spark, d):
+    """No term is in so many rows, so the channel is silently empty."""
+    names = read(spark, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("rid"), t.clean_ascii(F.col("n_name")).alias("text"))
+    return retrieval.tfidf_topk(names.withColumnRenamed("rid", "qid"), names, analyzer=retrieval.Analyzer(min_df=1000))
+
+
 # ---------------------------------------------------------------- profiles
 
 
@@ -745,5 +868,20 @@ def gbt_score(spark, d):
     return m.scored(m.fit_trees(pairs.filter("split = 'train'"), feat.FEATURE_NAMES), pairs.filter("split <> 'train'")).select("qid", "rid", "y", "score")
 
 
+@query
+def linear_score(spark, d):
+    """The linear reference model's scores of the pairs outside the training split."""
+    pairs, groups = _training(spark, d)
+    pairs = stage(pairs.join(graph.grouped_split(groups).select("qid", "split"), "qid"), "split-pairs")
+    return m.scored(m.fit_reference(pairs.filter("split = 'train'"), feat.FEATURE_NAMES), pairs.filter("split <> 'train'")).select("qid", "rid", "y", "score")
+
+
+@query
+def feature_distributions(spark, d):
+    """Mean, median and p95 of all features, by label."""
+    pairs, _ = _training(spark, d)
+    return profile.feature_summary(pairs.withColumn("sample_type", F.when(F.col("y") == 1, "true").otherwise("wrong")), list(feat.FEATURE_NAMES))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
