@@ -41,7 +41,7 @@ MAX_FEATURES = 150_000
 #: Entries of query vectors and queries that are sent to the tasks at once: at most some 50 MB.
 BLOCK_ENTRIES, BLOCK_QUERIES = 1 << 22, 1 << 12
 #: Cells of the dense part of a block that a task multiplies with at a time, and entries of targets at a time.
-DENSE_CELLS, GATHERED = 1 << 22, 1 << 14
+DENSE_CELLS, GATHERED = 1 << 22, 1 << 13
 
 
 # ---------------------------------------------------------------- terms
@@ -320,13 +320,17 @@ def _product(block: Block, row: np.ndarray, term: np.ndarray, w: np.ndarray, ids
         used = np.flatnonzero(local >= 0)
         r, p, v = row[used], local[used], w[used]
         scores = np.zeros((n, end - first))
-        for low in range(0, len(used), GATHERED):
-            high = min(low + GATHERED, len(used))
-            gathered = dense[p[low:high]]
-            gathered *= v[low:high, None]
-            some = r[low:high]
-            starts = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
-            scores[some[starts]] += np.add.reduceat(gathered, starts, axis=0)
+        bounds = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1], [True]])) if len(r) else np.zeros(1, np.int64)
+        # Some targets at a time: their terms' rows of the block, then a product of vector and matrix for each.
+        k = 0
+        while k < len(bounds) - 1:
+            low = bounds[k]
+            stop = max(k + 1, int(np.searchsorted(bounds, low + GATHERED, "right")) - 1)
+            gathered = np.take(dense, p[low : bounds[stop]], axis=0)
+            for at_row in range(k, stop):
+                begin, till = bounds[at_row] - low, bounds[at_row + 1] - low
+                np.dot(v[low + begin : low + till], gathered[begin:till], out=scores[r[bounds[at_row]]])
+            k = stop
         np.round(scores, PLACES, out=scores)
         least = best.least[first:end]
         if n > 2 * best.k:
