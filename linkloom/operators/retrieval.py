@@ -124,6 +124,32 @@ def _strings(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+class _Tally:
+    """Rows and frequency of terms; what comes in is merged once it is as much as what is there."""
+
+    def __init__(self):
+        self.size, self.waiting, self.pending = 0, [], 0
+
+    def add(self, term: np.ndarray, tf: np.ndarray) -> None:
+        self.waiting.append((term, np.ones(len(term), np.int64), tf.astype(np.int64)))
+        self.pending += len(term)
+        if self.pending > max(1 << 18, 2 * self.size):
+            self._merge()
+
+    def _merge(self) -> None:
+        if len(self.waiting) > 1 or self.pending:
+            term, df, cf = (np.concatenate(x) for x in zip(*self.waiting, strict=True))
+            h, inverse = np.unique(term, return_inverse=True)
+            self.waiting = [(h, np.bincount(inverse, df, len(h)).astype(np.int64), np.bincount(inverse, cf, len(h)).astype(np.int64))]
+            self.size, self.pending = len(h), 0
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self._merge()
+        out = self.waiting[0] if self.waiting else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.size, self.waiting, self.pending = 0, [], 0
+        return out
+
+
 def vocabularies(rows: DataFrame, wanted: dict[str, tuple[str, Analyzer]]) -> dict[str, Vocabulary]:
     """The vocabulary of each wanted name: (field of rows, analyzer), all counted in one pass over rows."""
     names = list(wanted)
@@ -136,13 +162,12 @@ def vocabularies(rows: DataFrame, wanted: dict[str, tuple[str, Analyzer]]) -> di
     places = [(fields.index(f), a) for f, a in wanted.values()]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [[np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)] for _ in places]
-        n = 0
+        tallies, n = [_Tally() for _ in places], 0
+        names = ["channel", "term", "df", "cf"]
 
         def out(k: int) -> pa.RecordBatch:
-            h, df, cf = kept[k]
-            kept[k] = [h[:0], df[:0], cf[:0]]
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k, np.int32)), pa.array(h.view(np.int64)), pa.array(df), pa.array(cf)], names=["channel", "term", "df", "cf"])
+            h, df, cf = tallies[k].taken()
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k, np.int32)), pa.array(h.view(np.int64)), pa.array(df), pa.array(cf)], names=names)
 
         for batch in batches:
             n += batch.num_rows
@@ -150,15 +175,12 @@ def vocabularies(rows: DataFrame, wanted: dict[str, tuple[str, Analyzer]]) -> di
             for k, (place, analyzer) in enumerate(places):
                 for first, end in chunks(texts[place]):
                     _, term, tf = counted(*analyzer.terms(texts[place][first:end]))
-                    both = np.concatenate([kept[k][0], term])
-                    h, inverse = np.unique(both, return_inverse=True)
-                    df = np.bincount(inverse, np.concatenate([kept[k][1], np.ones(len(term), np.int64)]), len(h)).astype(np.int64)
-                    kept[k] = [h, df, np.bincount(inverse, np.concatenate([kept[k][2], tf]), len(h)).astype(np.int64)]
-                    if len(h) > 1 << 20:
+                    tallies[k].add(term, tf)
+                    if tallies[k].size > 1 << 20:
                         yield out(k)
         for k in range(len(places)):
             yield out(k)
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([n], pa.int64()), pa.array([0], pa.int64())], names=["channel", "term", "df", "cf"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([n], pa.int64()), pa.array([0], pa.int64())], names=names)
 
     counts = spread(rows.select(*fields)).mapInArrow(count, "channel int, term long, df long, cf long")
     counts = stage(counts.groupBy("channel", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")), "term-counts")

@@ -45,11 +45,19 @@ def append_stages(spark: SparkSession, parts: Iterable[DataFrame], tag: str, sch
     return spark.read.schema(schema).parquet(f"{path}/block=*")
 
 
+#: A task of a spread table has at least about so many bytes of its files.
+TASK_BYTES = 1 << 14
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """df in as many partitions as there are cores, if it is a scan of fewer: one small file is not one task's work."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    """df in as many partitions as there are cores, if it is a scan of fewer: one small file is not one task's work.
+
+    A table of few bytes gets fewer partitions, so that a large cluster is not sent empty tasks.
+    """
+    execution = df._jdf.queryExecution()
+    plan = execution.executedPlan().toString()
     if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
         return df
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(execution.optimizedPlan().stats().sizeInBytes()))
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, max(1, size // TASK_BYTES))
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
