@@ -15,11 +15,12 @@ sorted, no blanks outside strings.
 The output is one row per message, not one per conversation, as a conversation may hold a third of all
 rows. Positions come from one sort of all messages by conversation, level, place and a hash: its ranges divide a
 conversation, a sequence number or a call of any size among tasks, rows are numbered within their range, and the
-ranges' counts are added up. Equal messages are counted together first. Only DataFrame functions are used.
+ranges' counts are added up. Equal messages are counted together first. Texts are written once, as JSON, and
+joined back by row id; digests stand for them in every other step. Only DataFrame functions are used.
 
 Defined cases: `link` of a call is `linked` or `unanswered`, of a result `linked` or `orphan`. Several
-calls with one id in a conversation: the one with the smallest (seq, name, arguments, after) is the call, the
-others are `repeated`. Several results of a call are all linked. Equal messages are one row with `repeats`.
+calls with one id in a conversation: the one with the smallest (seq, name, MD5 of arguments, after) is the call,
+the others are `repeated`. Several results of a call are all linked. Equal messages are one row with `repeats`.
 Messages at one place are ordered by a hash. Named calls that the conversation does not have, and a call's own
 id, are ignored. Null conv_id, call_id or seq: such a message links with nothing (null never equals); its
 position is counted among messages with the same conv_id, null seq first. Null or broken arguments give the
@@ -147,50 +148,60 @@ def _levels(heads: DataFrame, edges: DataFrame, small: int = SMALL) -> DataFrame
     return stage(found.select("conv_id", "call_id", F.coalesce("level", F.lit(LAST)).alias("level")), "tools-levels")
 
 
+def _messages(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
+    """All messages with their JSON, an id for the row, and the digest of arguments or content, written once."""
+    given = F.coalesce(canonical(F.col("arguments")), json_scalar(F.col("arguments")))
+    call_json = F.concat(F.lit('{"arguments":'), given, F.lit(',"call_id":'), json_scalar(F.col("call_id")), F.lit(',"name":'), json_scalar(F.col("name")), F.lit(',"role":"tool_call"}'))
+    result_json = F.concat(F.lit('{"call_id":'), json_scalar(F.col("call_id")), F.lit(',"content":'), json_scalar(F.col("content")), F.lit(',"role":"tool_result"}'))
+    none = F.array().cast("array<string>")
+    rows = calls.select("conv_id", "call_id", "seq", F.lit("call").alias("kind"), "name", "after", F.md5("arguments").alias("digest"), argument_errors(F.col("name"), F.col("arguments"), schemas).alias("errors"), call_json.alias("json"))
+    more = results.select("conv_id", "call_id", "seq", F.lit("result").alias("kind"), F.lit(None).cast("string").alias("name"), none.alias("after"), F.md5("content").alias("digest"), none.alias("errors"), result_json.alias("json"))
+    return stage(rows.unionByName(more).withColumn("id", F.monotonically_increasing_id()), "tools-messages")
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS, small: int = SMALL) -> DataFrame:
     """calls: conv_id, call_id, seq, name, arguments, after (array of call ids). results: conv_id, call_id, seq, content.
 
-    Gives conv_id, position (from 1), kind, call_id, seq, link, cyclic, errors, json, repeats.
+    Gives conv_id, position (from 1), kind, call_id, seq, link, cyclic, errors, json, repeats. Texts are written once
+    and joined back by row id; all other steps move ids and digests.
     """
-    calls = stage(calls.groupBy("conv_id", "call_id", "seq", "name", "arguments", "after").agg(F.count(F.lit(1)).alias("repeats")), "tools-calls")
-    results = stage(results.groupBy("conv_id", "call_id", "seq", "content").agg(F.count(F.lit(1)).alias("repeats")), "tools-results")
+    messages = _messages(calls, results, schemas)
+    same = ["kind", "conv_id", "call_id", "seq", "name", "after", "digest"]
+    distinct = stage(messages.groupBy(*same).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("repeats")), "tools-distinct")
+    calls, results = distinct.filter("kind = 'call'"), distinct.filter("kind = 'result'")
     key = ["conv_id", "call_id"]
-    first = F.min(F.struct("seq", "name", "arguments", "after"))
+    first = F.min(F.struct("seq", "name", "digest", "after"))
     heads = calls.filter("conv_id is not null and call_id is not null and seq is not null").groupBy(*key).agg(first.alias("head"))
-    heads = stage(heads.select(*key, "head.seq", "head.name", "head.arguments", "head.after"), "tools-heads")
+    heads = stage(heads.select(*key, "head.seq", "head.name", "head.digest", "head.after"), "tools-heads")
     edges = heads.select(*key, "seq", F.explode(F.array_distinct("after")).alias("parent")).filter("parent != call_id")
     edges = stage(edges.join(heads.select("conv_id", F.col("call_id").alias("parent"), F.col("seq").alias("parent_seq")), ["conv_id", "parent"]), "tools-known")
     levels = _levels(heads, edges, small)
-    heads = stage(heads.join(levels, key, "left").select(*key, F.col("seq").alias("head_seq"), F.col("name").alias("head_name"), F.col("arguments").alias("head_arguments"), F.col("after").alias("head_after"), F.coalesce("level", F.lit(0)).alias("level")), "tools-placed")
-    answered = results.select(*key).distinct().withColumn("answered", F.lit(True))
-    answered = stage(answered, "tools-answered")
+    heads = heads.select(*key, *(F.col(c).alias(f"head_{c}") for c in ("seq", "name", "digest", "after")))
+    heads = stage(heads.join(levels, key, "left").withColumn("level", F.coalesce("level", F.lit(0))), "tools-placed")
+    answered = stage(results.select(*key).distinct().withColumn("answered", F.lit(True)), "tools-answered")
 
-    head_of_call = calls.join(heads, key, "left").join(answered, key, "left")
     is_head = F.lit(True)
-    for c in ("seq", "name", "arguments", "after"):
+    for c in ("seq", "name", "digest", "after"):
         is_head = is_head & F.col(c).eqNullSafe(F.col(f"head_{c}"))
-    given = F.coalesce(canonical(F.col("arguments")), json_scalar(F.col("arguments")))
-    call_json = F.concat(F.lit('{"arguments":'), given, F.lit(',"call_id":'), json_scalar(F.col("call_id")), F.lit(',"name":'), json_scalar(F.col("name")), F.lit(',"role":"tool_call"}'))
-    call_rows = head_of_call.select(
-        "conv_id", "call_id", "seq", F.lit("call").alias("kind"), F.coalesce("level", F.lit(0)).alias("level"), F.col("seq").alias("at"), F.lit(0).alias("part"),
-        F.when(F.col("head_seq").isNotNull() & ~is_head, "repeated").when(F.col("answered"), "linked").otherwise("unanswered").alias("link"),
-        argument_errors(F.col("name"), F.col("arguments"), schemas).alias("errors"), call_json.alias("json"), "repeats",
+    level, tie = F.coalesce("level", F.lit(0)).alias("level"), F.md5(F.concat_ws(":", "call_id", "name", "digest")).alias("tie")
+    call_rows = calls.join(heads, key, "left").join(answered, key, "left").select(
+        "id", "conv_id", "seq", level, F.col("seq").alias("at"), F.lit(0).alias("part"), tie,
+        F.when(F.col("head_seq").isNotNull() & ~is_head, "repeated").when(F.col("answered"), "linked").otherwise("unanswered").alias("link"), "repeats",
     )
-    result_json = F.concat(F.lit('{"call_id":'), json_scalar(F.col("call_id")), F.lit(',"content":'), json_scalar(F.col("content")), F.lit(',"role":"tool_result"}'))
     has_call = F.col("head_seq").isNotNull()
     result_rows = results.join(heads, key, "left").select(
-        "conv_id", "call_id", "seq", F.lit("result").alias("kind"), F.coalesce("level", F.lit(0)).alias("level"), F.coalesce("head_seq", "seq").alias("at"), F.when(has_call, 1).otherwise(2).alias("part"),
-        F.when(has_call, "linked").otherwise("orphan").alias("link"), F.array().cast("array<string>").alias("errors"), result_json.alias("json"), "repeats",
+        "id", "conv_id", "seq", level, F.coalesce("head_seq", "seq").alias("at"), F.when(has_call, 1).otherwise(2).alias("part"), tie,
+        F.when(has_call, "linked").otherwise("orphan").alias("link"), "repeats",
     )
-    rows = call_rows.unionByName(result_rows).withColumn("tie", F.md5(F.concat_ws(":", "call_id", "json")))
-    return _numbered(stage(rows, "tools-rows"))
+    numbered = small_side(_numbered(stage(call_rows.unionByName(result_rows), "tools-rows")))
+    return messages.join(numbered, "id").select("conv_id", "position", "kind", "call_id", "seq", "link", "cyclic", "errors", "json", "repeats")
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
-    """The rows with their position in the conversation."""
-    ordered = rows.orderBy("conv_id", "level", "at", "part", "seq", "tie", "link").withColumn("id", F.monotonically_increasing_id())
+    """id, position in the conversation, link, cyclic and repeats of the rows."""
+    ordered = rows.orderBy("conv_id", "level", "at", "part", "seq", "tie", "id").withColumn("at_id", F.monotonically_increasing_id())
     # The number of a row within its range of the sort, and of the range.
-    ordered = stage(ordered.withColumns({"range": F.shiftrightunsigned("id", 33), "own": F.col("id").bitwiseAND((1 << 33) - 1)}).drop("id", "at", "part", "tie"), "tools-ordered")
+    ordered = stage(ordered.select("id", "conv_id", "level", "link", "repeats", F.shiftrightunsigned("at_id", 33).alias("range"), F.col("at_id").bitwiseAND((1 << 33) - 1).alias("own")), "tools-ordered")
     ranges = ordered.groupBy("range").agg(F.count(F.lit(1)).alias("inside"))
     # A row a range; there are as many as tasks of the sort.
     upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -198,8 +209,8 @@ def _numbered(rows: DataFrame) -> DataFrame:
     placed = ordered.join(F.broadcast(offsets), "range").withColumn("place", F.col("before") + F.col("own"))
     starts = small_side(stage(placed.groupBy("conv_id").agg(F.min("place").alias("start")).withColumnRenamed("conv_id", "of"), "tools-starts"))
     position = (F.col("place") - F.col("start") + 1).cast("long").alias("position")
-    cyclic = (F.col("level") == LAST).alias("cyclic")
-    return placed.join(starts, placed["conv_id"].eqNullSafe(starts["of"])).select("conv_id", position, "kind", "call_id", "seq", "link", cyclic, "errors", "json", "repeats")
+    found = placed.join(starts, placed["conv_id"].eqNullSafe(starts["of"])).select("id", position, "link", (F.col("level") == LAST).alias("cyclic"), "repeats")
+    return stage(found, "tools-numbered")
 
 
 def from_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
