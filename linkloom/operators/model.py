@@ -69,7 +69,7 @@ def fit_reference(pairs: DataFrame, names, alpha: float = 1e-4, max_iter: int =
 
 def fit_trees(pairs: DataFrame, names, rounds: int = 200, depth: int = 5, rate: float = 0.05, min_rows: int = 20, seed: int = 42) -> PipelineModel:
     """Boosted trees, the primary model (M5)."""
-    model = GBTClassifier(labelCol="y", featuresCol="raw", maxIter=rounds, maxDepth=depth, stepSize=rate, minInstancesPerNode=min_rows, seed=seed, cacheNodeIds=True, maxMemoryInMB=512)
+    model = GBTClassifier(labelCol="y", featuresCol="raw", maxIter=rounds, maxDepth=depth, stepSize=rate, minInstancesPerNode=min_rows, seed=seed, maxMemoryInMB=512)
     return _fit(Pipeline(stages=[_assembled(names), model]), pairs)
 
 
