@@ -84,3 +84,12 @@ def test_features_of_equal_fields_are_made_once(spark):
             assert r[f"tname_{x}"] == r[f"name_{x}"] and r[f"taddress_{x}"] == r[f"address_{x}"]
     columns = [c for c in feat.FEATURE_NAMES if c.startswith(("tname", "taddress"))]
     assert sorted(map(tuple, plain.select("qid", *columns).collect())) == sorted(map(tuple, marked.select("qid", *columns).collect()))
+
+
+def test_a_mode_searches_its_own_channels(spark, sf_dir, monkeypatch):
+    from linkloom.plans import queries as q
+
+    searched, old = [], rt.search
+    monkeypatch.setattr(rt, "search", lambda queries, targets, channels, *more, **named: searched.extend(c.name for c in channels) or old(queries, targets, channels, *more, **named))
+    assert q.rrf_mode_subset(spark, sf_dir).count() > 0
+    assert sorted(searched) == ["tfidf_address", "tfidf_name"]
