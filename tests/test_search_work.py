@@ -93,3 +93,39 @@ def test_a_mode_searches_its_own_channels(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(rt, "search", lambda queries, targets, channels, *more, **named: searched.extend(c.name for c in channels) or old(queries, targets, channels, *more, **named))
     assert q.rrf_mode_subset(spark, sf_dir).count() > 0
     assert sorted(searched) == ["tfidf_address", "tfidf_name"]
+
+
+def test_equal_vectors_are_multiplied_once():
+    """Texts with the same entries are one row with their k smallest ids; others keep their own."""
+    entries = {0: [(1, 0.5), (2, 1.0)], 1: [(1, 0.5), (2, 1.0)], 2: [(1, 0.5)], 3: [(1, 0.5), (2, 1.0)], 5: [(1, 0.5), (2, 2.0)], 6: [(1, 0.5)], 7: [(1, 0.5)]}
+    row, term, w = (np.array(x) for x in zip(*((r, t, v) for r, e in entries.items() for t, v in e), strict=True))
+    begin, number, ids = np.array([0, 2, 3, 4, 6, 7, 8, 9]), np.array([2, 1, 1, 2, 1, 1, 1, 1]), np.array([7, 9, 1, 4, 2, 8, 3, 5, 6, 0])
+    vectors, begin, number, ids = rt._grouped((row, term, w), begin, number, ids, 3)
+    lists = {tuple(zip(vectors[1][vectors[0] == k].tolist(), vectors[2][vectors[0] == k].tolist(), strict=True)): ids[begin[k] : begin[k] + number[k]].tolist() for k in np.unique(vectors[0])}
+    # Row 4 has no entry and is in no list.
+    assert lists == {((1, 0.5), (2, 1.0)): [1, 2, 7], ((1, 0.5),): [0, 4, 6], ((1, 0.5), (2, 2.0)): [5]}
+
+
+def test_bm25_multiplies_what_queries_ask_for(spark, monkeypatch):
+    """6,000 targets with words of their own differ for no query."""
+    rows, old = [], rt._product
+    monkeypatch.setattr(rt, "_product", lambda block, dense, row, term, w, n: rows.append(n) or old(block, dense, row, term, w, n))
+    block = rt.Block(rt.Channel("bm25_text", "text", "bm25"), ["a"], [np.array([3, 5], np.uint64)], [np.ones(2)])
+    block.set_weights(np.array([1.0, 2.0]))
+    block.set_shares(np.array([0.5, 0.5]))
+    best, n = rt.Best(1, 4), 6000
+    vectors = np.arange(n), np.arange(n) % 2, np.ones(n)
+    rt._offer(block, block.dense(), vectors, n, best, np.arange(n), np.ones(n, np.int64), np.arange(n)[::-1].copy())
+    best.settle()
+    assert sum(rows) == 2 and best.target.tolist() == [0, 2, 4, 6] and best.score.tolist() == [2.0] * 4
+
+
+def test_repeated_query_ids_have_one_list(spark):
+    t = spark.createDataFrame([(i, f"common word{i % 9}") for i in range(90)], "rid bigint, text string")
+    q = spark.createDataFrame([(1, "common word1"), (1, "common word2"), (2, "common word3")], "qid bigint, text string")
+    found = rt.tfidf_topk(q, t, 6).orderBy("qid", "rank").collect()
+    assert [r["rank"] for r in found] == [*range(1, 7), *range(1, 7)]
+    assert [r.rid for r in found if r.qid == 1] == [1, 2, 10, 11, 19, 20] and [r.rid for r in found if r.qid == 2] == [3, 12, 21, 30, 39, 48]
+    # Without repeated ids no row a query and target is ranked again.
+    once = rt.tfidf_topk(q.filter("text <> 'common word2'"), t, 6)
+    assert "Window" not in once._jdf.queryExecution().executedPlan().toString()
