@@ -129,3 +129,16 @@ def test_repeated_query_ids_have_one_list(spark):
     # Without repeated ids no row a query and target is ranked again.
     once = rt.tfidf_topk(q.filter("text <> 'common word2'"), t, 6)
     assert "Window" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_texts_are_taken_apart_once(spark):
+    """Vocabularies and query vectors of 4,000 rows of 8 texts, with the numbers of all rows."""
+    tally = rt._Tally()
+    tally.add(np.array([5, 7, 5], np.uint64), np.array([2, 1, 1]), np.array([3, 3, 4]))
+    assert [x.tolist() for x in tally.taken()] == [[5, 7], [7, 3], [10, 3]]
+    rows = spark.range(4000).selectExpr("id AS qid", "concat('common word', id % 8) AS text").coalesce(1)
+    v = rt.vocabularies(rows, {"x": ("text", rt.CHAR)})["x"]
+    assert np.isclose(v.idf.min(), 1) and np.isclose(v.idf.max(), np.log(4001 / 501) + 1)
+    vectors = rt._query_vectors(rows, [rt.Channel("x", "text", "tfidf")], {"x": v})
+    assert vectors.count() == 4000 and vectors.select("terms", "weights").distinct().count() == 8
+    assert vectors.selectExpr("count(distinct qid % 8, md5(terms))").first()[0] == 8
