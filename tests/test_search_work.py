@@ -142,3 +142,40 @@ def test_equal_texts_are_taken_apart_once(spark):
     vectors = rt._query_vectors(rows, [rt.Channel("x", "text", "tfidf")], {"x": v})
     assert vectors.count() == 4000 and vectors.select("terms", "weights").distinct().count() == 8
     assert vectors.selectExpr("count(distinct qid % 8, md5(terms))").first()[0] == 8
+
+
+def test_long_texts_are_multiplied_in_tiles_of_like_texts(monkeypatch):
+    """Three languages share one word in fifty: tiles give the lists that whole vectors give, and few terms are dense between two languages."""
+    rng = np.random.default_rng(5)
+    said = lambda n: {(k, t): float(v) for k in range(n) for t, v in zip(np.where(rng.random(150) < 0.02, rng.integers(9000, 9050, 150), k % 3 * 3000 + rng.integers(0, 600, 150)), rng.random(150) + 0.1, strict=True)}
+    queries, texts = said(90), said(240)
+    entries = lambda x: tuple(np.array(c) for c in zip(*((k, t, v) for (k, t), v in sorted(x.items())), strict=True))
+    row, term, w = entries(queries)
+    monkeypatch.setattr(rt, "TILE", 40)
+    block = rt.Block(rt.Channel("tfidf_text", "text", "tfidf"), [f"q{k}" for k in range(90)], [term[row == k].astype(np.uint64) for k in range(90)], [w[row == k] for k in range(90)])
+    row, term, w = entries(texts)
+    at, known = block.places.of(term.astype(np.uint64))
+    block.set_shares(np.bincount(at[known], minlength=len(block.terms)) / 240)
+    assert sorted(x for part in block.parts for x in part.ids) == sorted(f"q{k}" for k in range(90))
+    assert all(len(part.ids) <= 40 for part in block.parts) and sum(len({int(x[1:]) % 3 for x in part.ids}) == 1 for part in block.parts) >= len(block.parts) - 2 > 0
+    bests, dense, old = [rt.Best(len(part.ids), 7) for part in block.parts], [], rt._add_lists
+    monkeypatch.setattr(rt, "_add_lists", lambda part, sizes, scores, row, term, w: dense.append(scores.size) or old(part, sizes, scores, row, term, w))
+    rt._offer_tiles(block, (row[known], at[known], w[known]), bests, np.arange(240), np.ones(240, np.int64), np.arange(240))
+    assert len(dense) >= 2 * len(block.parts) and max(dense) <= 40 * 40
+    for part, best in zip(block.parts, bests, strict=True):
+        best.settle()
+        for k, name in enumerate(part.ids):
+            scores = {r: round(sum(v * queries.get((int(name[1:]), t), 0.0) for (x, t), v in texts.items() if x == r), 6) for r in range(int(name[1:]) % 3, 240, 3)}
+            want = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:7]
+            own = best.query == k
+            assert best.target[own].tolist() == [r for r, _ in want] and best.score[own].tolist() == pytest.approx([s for _, s in want], abs=2e-6)
+
+
+def test_most_of_many_equal_scores_are_not_sorted():
+    best = rt.Best(1, 4)
+    for first in range(0, 6000, 10):
+        best.add(np.zeros(10, np.int64), np.ones(10), np.arange(first, first + 10))
+    assert best.pending == 0 and best.target.tolist() == [0, 1, 2, 3]
+    best.add(np.zeros(2, np.int64), np.array([1.0, 2.0]), np.array([-1, 9000]))
+    best.settle()
+    assert best.target.tolist() == [9000, -1, 0, 1]
