@@ -179,3 +179,12 @@ def test_most_of_many_equal_scores_are_not_sorted():
     best.add(np.zeros(2, np.int64), np.array([1.0, 2.0]), np.array([-1, 9000]))
     best.settle()
     assert best.target.tolist() == [9000, -1, 0, 1]
+
+
+def test_a_search_of_names_writes_no_addresses(spark, sf_dir):
+    from linkloom.plans import queries as q
+
+    queries, targets = q.search_sides(spark, sf_dir, ("name",))
+    assert queries.columns == ["qid", "name"] and targets.columns == ["rid", "name"]
+    assert targets.count() == q.read(spark, sf_dir, "documents").count()
+    assert q.search_sides(spark, sf_dir)[1].columns == ["rid", "name", "address"]
