@@ -95,6 +95,20 @@ def test_a_mode_searches_its_own_channels(spark, sf_dir, monkeypatch):
     assert sorted(searched) == ["tfidf_address", "tfidf_name"]
 
 
+@pytest.mark.parametrize(("name", "expected"), [("attribution", ("multiple_families", 3)), ("recall_at_k", (8, *[1.0] * 7)), ("cap_decision", ("select_k20",))])
+def test_queries_without_links_are_not_searched_for(spark, tmp_path, monkeypatch, name, expected):
+    """Of the eight queries, 5 and 25 have an equal text among the targets; all eight are counted."""
+    from linkloom.plans import queries as q
+
+    like = {51: 5, 52: 5, 53: 25}
+    rows = [(k, f"name {like.get(k, k)}\nbody common {like.get(k, k) % 7}", "en", "src0", 20) for k in (*range(1, 41), *like)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    searched, old = [], rt.search
+    monkeypatch.setattr(rt, "search", lambda queries, *more, **named: searched.append(sorted(r.qid for r in queries.select("qid").collect())) or old(queries, *more, **named))
+    assert [tuple(r) for r in q.QUERIES[name](spark, str(tmp_path)).collect()] == [expected]
+    assert searched == [[5, 25]]
+
+
 def test_equal_vectors_are_multiplied_once():
     """Texts with the same entries are one row with their k smallest ids; others keep their own."""
     entries = {0: [(1, 0.5), (2, 1.0)], 1: [(1, 0.5), (2, 1.0)], 2: [(1, 0.5)], 3: [(1, 0.5), (2, 1.0)], 5: [(1, 0.5), (2, 2.0)], 6: [(1, 0.5)], 7: [(1, 0.5)]}
