@@ -95,7 +95,7 @@ def test_a_mode_searches_its_own_channels(spark, sf_dir, monkeypatch):
     assert sorted(searched) == ["tfidf_address", "tfidf_name"]
 
 
-@pytest.mark.parametrize(("name", "expected"), [("attribution", ("multiple_families", 3)), ("recall_at_k", (8, *[1.0] * 7)), ("cap_decision", ("select_k20",))])
+@pytest.mark.parametrize(("name", "expected"), [("attribution", ("multiple_families", 3)), ("recall_at_k", (8, 1.0, 1.0, 0.666667, 1.0, 1.0, 1.0, 1.0)), ("cap_decision", ("select_k20",))])
 def test_queries_without_links_are_not_searched_for(spark, tmp_path, monkeypatch, name, expected):
     """Of the eight queries, 5 and 25 have an equal text among the targets; all eight are counted."""
     from linkloom.plans import queries as q
@@ -109,6 +109,30 @@ def test_queries_without_links_are_not_searched_for(spark, tmp_path, monkeypatch
     assert searched == [[5, 25]]
 
 
+def test_texts_of_several_fields_are_taken_apart_once(spark, monkeypatch):
+    """Vocabularies are each field's own, though equal texts of two fields are counted together."""
+    taken, old = [], rt.Analyzer.counts
+    monkeypatch.setattr(rt.Analyzer, "counts", lambda self, texts, known=None: taken.extend(texts) or old(self, texts, known))
+    monkeypatch.setattr(rt, "spread", lambda df: Rows(df))
+
+    class Rows:
+        """Counts in this process, as a task does."""
+
+        def __init__(self, df):
+            self.df = df
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return self.df.sparkSession.createDataFrame([r for b in run(iter(self.df.coalesce(1).toArrow().to_batches())) for r in map(lambda x: tuple(x.values()), b.to_pylist())], schema)
+
+    rows = spark.createDataFrame([("alpha beta", "alpha beta"), ("alpha beta", "alpha gamma"), ("gamma delta", "gamma delta"), (None, "beta")], "a string, b string")
+    found = rt.vocabularies(rows, {"x": ("a", rt.WORD), "y": ("b", rt.WORD)})
+    assert Counter(taken) == {"alpha beta": 1, "alpha gamma": 1, "gamma delta": 1, "beta": 1, "": 1}
+    for name, dfs in (("x", [2, 2, 1, 1]), ("y", [2, 2, 2, 1])):
+        words = Points(["alpha beta gamma delta"]).words("LN_")[1]
+        v = found[name]
+        assert np.allclose(v.idf[v.places.of(words)[0]], np.log(5 / (1 + np.array(dfs))) + 1) and len(v.terms) == 4
+
+
 def test_equal_vectors_are_multiplied_once():
     """Texts with the same entries are one row with their k smallest ids; others keep their own."""
     entries = {0: [(1, 0.5), (2, 1.0)], 1: [(1, 0.5), (2, 1.0)], 2: [(1, 0.5)], 3: [(1, 0.5), (2, 1.0)], 5: [(1, 0.5), (2, 2.0)], 6: [(1, 0.5)], 7: [(1, 0.5)]}
